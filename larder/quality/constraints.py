@@ -104,13 +104,15 @@ def is_null(column: str) -> Constraint:
     )
 
 
-def _unless_null(column: str, name: str, predicate: str, condition: Column) -> Constraint:
+def _unless_null(
+    column: str, name: str, predicate: str, condition: Callable[[Column], Column]
+) -> Constraint:
     """A condition on values; NULL is the business of ``complete``, so it passes."""
     return _compliance(
         column,
         f"{column} {name}",
         f"`{column}` IS NULL OR {predicate}",
-        lambda _: _column(column).isNull() | condition,
+        lambda _: _column(column).isNull() | condition(_column(column)),
     )
 
 
@@ -120,43 +122,55 @@ def in_range(column: str, lower: float, upper: float) -> Constraint:
         column,
         f"between {lower} and {upper}",
         f"`{column}` BETWEEN {lower} AND {upper}",
-        _column(column).between(F.lit(lower), F.lit(upper)),
+        lambda value: value.between(F.lit(lower), F.lit(upper)),
     )
 
 
 def less_than(column: str, bound: float) -> Constraint:
     """The value is below the bound, or NULL."""
     return _unless_null(
-        column, f"less than {bound}", f"`{column}` < {bound}", _column(column) < F.lit(bound)
+        column,
+        f"less than {bound}",
+        f"`{column}` < {bound}",
+        lambda value: value < F.lit(bound),
     )
 
 
 def greater_than(column: str, bound: float) -> Constraint:
     """The value is above the bound, or NULL."""
     return _unless_null(
-        column, f"greater than {bound}", f"`{column}` > {bound}", _column(column) > F.lit(bound)
+        column,
+        f"greater than {bound}",
+        f"`{column}` > {bound}",
+        lambda value: value > F.lit(bound),
     )
 
 
 def upper_case(column: str) -> Constraint:
     """The text is its own upper-case form, or NULL."""
-    value = _column(column)
     return _unless_null(
-        column, "is upper case", f"`{column}` = UPPER(`{column}`)", value == F.upper(value)
+        column,
+        "is upper case",
+        f"`{column}` = UPPER(`{column}`)",
+        lambda value: value == F.upper(value),
     )
 
 
 def lower_case(column: str) -> Constraint:
     """The text is its own lower-case form, or NULL."""
-    value = _column(column)
     return _unless_null(
-        column, "is lower case", f"`{column}` = LOWER(`{column}`)", value == F.lower(value)
+        column,
+        "is lower case",
+        f"`{column}` = LOWER(`{column}`)",
+        lambda value: value == F.lower(value),
     )
 
 
 def trimmed(column: str) -> Constraint:
     """The text neither starts nor ends with a blank, or is NULL."""
-    value = _column(column)
     return _unless_null(
-        column, "is trimmed", f"`{column}` = TRIM(`{column}`)", value == F.trim(value)
+        column,
+        "is trimmed",
+        f"`{column}` = TRIM(`{column}`)",
+        lambda value: value == F.trim(value),
     )

@@ -24,7 +24,7 @@ def stream_files(
     schema: T.StructType,
     file_format: str = "json",
     files_per_batch: int | None = None,
-    bytes_per_batch: str | None = None,
+    bytes_per_batch: int | None = None,
 ) -> DataFrame:
     """A folder as a stream; without a limit a batch takes all files that are there."""
     reader = spark.readStream.format(file_format).schema(schema)

@@ -1,0 +1,145 @@
+import pytest
+from pyspark.sql import functions as F
+
+from larder import quality as q
+from larder.schemas import RECIPE
+from tests.cookbook import row, rows
+
+NUMBER = "v int"
+TEXT = "v string"
+
+
+def outcome(df, *constraints):
+    results = q.run_suite(df, q.Suite("s", constraints)).orderBy("ordinal").collect()
+    return [(r["metric"], r["constraint_status"]) for r in results]
+
+
+def frame(spark, values, schema):
+    return spark.createDataFrame([(v,) for v in values], schema)
+
+
+CASES = [
+    (q.complete("v"), TEXT, ["a", "", "b"], 1.0),
+    (q.complete("v"), TEXT, ["a", None], 0.5),
+    (q.complete("v"), TEXT, [None, None], 0.0),
+    (q.unique("v"), TEXT, ["a", "b", "c"], 1.0),
+    (q.unique("v"), TEXT, ["a", "b", "b", "b"], 0.25),
+    (q.unique("v"), TEXT, ["a", "b", None, None], 1.0),
+    (q.unique("v"), TEXT, ["a" * 40, "b" * 40, "b" * 40], 1 / 3),
+    (q.unique("v"), TEXT, [None, None], None),
+    (q.unique("v"), NUMBER, [1, 2, 2, None], 1 / 3),
+    (q.unique("v"), "v double", [0.0, -0.0, 1.0], 1 / 3),
+    (q.contained_in("v", ["a", "b"]), TEXT, ["a", "b", None], 1.0),
+    (q.contained_in("v", ["a", "b"]), TEXT, ["a", "x", "y", None], 0.5),
+    (q.contained_in("v", ["a", "b"]), TEXT, [None], 1.0),
+    (q.non_negative("v"), NUMBER, [0, 5, None], 1.0),
+    (q.non_negative("v"), NUMBER, [-1, 5], 0.5),
+    (q.non_negative("v"), NUMBER, [None], 1.0),
+    (q.non_negative("v"), TEXT, ["PT30M", "x-1", "-", ""], 1.0),
+    (q.non_negative("v"), TEXT, ["-3", " -0.5 ", "-1e2", "7"], 0.25),
+    (q.non_negative("v"), "v double", [-1e-12, -1e11, float("nan"), -0.5], 0.75),
+    (q.is_null("v"), TEXT, [None, None], 1.0),
+    (q.is_null("v"), TEXT, ["a", None], 0.5),
+    (q.in_range("v", 1, 3), NUMBER, [1, 3, None], 1.0),
+    (q.in_range("v", 1, 3), NUMBER, [0, 4, 2, 2], 0.5),
+    (q.less_than("v", 3), NUMBER, [2, 3], 0.5),
+    (q.greater_than("v", 3), NUMBER, [3, 4], 0.5),
+    (q.upper_case("v"), TEXT, ["A1", "a", None, "B"], 0.75),
+    (q.lower_case("v"), TEXT, ["A1", "a", None, "b"], 0.75),
+    (q.trimmed("v"), TEXT, ["a b", " a", "a ", None], 0.5),
+]
+
+
+@pytest.mark.parametrize(("constraint", "schema", "values", "metric"), CASES)
+def test_metric(spark, constraint, schema, values, metric):
+    status = "Success" if metric == 1.0 else "Failure"
+    assert outcome(frame(spark, values, schema), constraint) == [(metric, status)]
+
+
+def test_empty_dataset_gives_no_rows(spark):
+    empty = frame(spark, [], TEXT)
+    assert outcome(empty, q.complete("v"), q.unique("v"), q.non_negative("v")) == []
+
+
+def test_many_constraints_keep_their_place(spark):
+    df = spark.createDataFrame([("a", 1, -1), ("a", 2, 1)], "x string, y int, z int")
+    got = outcome(df, q.unique("x"), q.complete("y"), q.unique("y"), q.non_negative("z"))
+    assert got == [(0.0, "Failure"), (1.0, "Success"), (1.0, "Success"), (0.5, "Failure")]
+
+
+def test_labels():
+    assert q.complete("name").label == "CompletenessConstraint(Completeness(name,None))"
+    assert q.unique("url").label == "UniquenessConstraint(Uniqueness(List(url),None))"
+    assert q.contained_in("c", ["a", "it's"]).label == (
+        "ComplianceConstraint(Compliance(c contained in a,it's,"
+        "`c` IS NULL OR `c` IN ('a','it''s'),None))"
+    )
+    assert q.non_negative("n").label == (
+        "ComplianceConstraint(Compliance(n is non-negative,"
+        "COALESCE(CAST(n AS DECIMAL(20,10)), 0.0) >= 0,None))"
+    )
+
+
+def test_suite_lookup():
+    assert q.suite_for("recipe").name == "recipe"
+    assert q.suite_for("files|output|Recipe_Aggregate").name == "recipe_aggregate"
+    with pytest.raises(KeyError, match="drinks"):
+        q.suite_for("files|drinks")
+
+
+def test_suites_as_defined():
+    recipe, aggregate = q.suite_for("recipe"), q.suite_for("recipe_aggregate")
+    assert len(recipe.constraints) == 9
+    assert recipe.columns == ["name", "cookTime", "prepTime", "ingredients", "image", "url"]
+    assert len(aggregate.constraints) == 5
+
+
+@pytest.mark.parametrize("partitions", [1, 8])
+def test_report(spark, partitions):
+    records = [*rows(), row("Stew", "peas", "PT1H", None, 99)]
+    df = spark.createDataFrame(records, RECIPE).repartition(partitions)
+    report = q.format_report(q.run_suite(df, q.suite_for("recipe")))
+    assert report.columns == ["File_Name", "Test_Case_Id", "Test_Case", "Test_Result"]
+    got = {r["Test_Case_Id"]: (r["File_Name"], r["Test_Result"]) for r in report.collect()}
+    # prepTime and ingredients have a NULL, two recipes share a name.
+    failed = {2, 3, 6}
+    assert got == {
+        f"RECIPE_TC_{i}": ("RECIPE", "Failure" if i in failed else "Success") for i in range(9)
+    }
+
+
+def test_aggregate_suite(spark):
+    schema = "difficulty string, avg_total_cooking_time double"
+    good = [("easy", 20.5), ("medium", 45.0), ("hard", 100.0)]
+    results = q.run_suite(spark.createDataFrame(good, schema), q.suite_for("recipe_aggregate"))
+    assert {r["constraint_status"] for r in results.collect()} == {"Success"}
+    bad = [("easy", -1.0), ("easy", 45.0), ("odd", None)]
+    results = q.run_suite(spark.createDataFrame(bad, schema), q.suite_for("recipe_aggregate"))
+    got = [r["constraint_status"] for r in results.orderBy("ordinal").collect()]
+    assert got == ["Success", "Failure", "Failure", "Failure", "Failure"]
+
+
+def test_gate(spark):
+    suite = q.Suite("s", (q.complete("v"), q.unique("v")))
+    good, bad = frame(spark, ["a", "b"], TEXT), frame(spark, ["a", "a", None], TEXT)
+    q.enforce(q.run_suite(good, suite), "input")
+    with pytest.raises(q.QualityGateError) as error:
+        q.enforce(q.run_suite(bad, suite), "input")
+    assert error.value.failures == [c.label for c in suite.constraints]
+    assert [tuple(r) for r in q.verdict(good, suite, "in").collect()] == [("in", 2, 0, "pass")]
+    assert [tuple(r) for r in q.verdict(bad, suite, "in").collect()] == [("in", 2, 2, "stop")]
+    empty = q.verdict(frame(spark, [], TEXT), suite, "in").first()
+    assert tuple(empty) == ("in", 0, 0, "empty")
+
+
+def test_hot_value(spark):
+    """A value held by a third of all rows is counted like any other."""
+    df = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot" * 20)).otherwise(F.col("id").cast("string")).alias("v")
+    )
+    assert outcome(df, q.unique("v")) == [(2 / 3, "Failure")]
+
+
+def test_odd_column_names(spark):
+    df = spark.createDataFrame([("a",), ("b",)], "`my column` string")
+    assert outcome(df, q.complete("my column"), q.unique("my column"))[1] == (1.0, "Success")
