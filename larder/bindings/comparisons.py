@@ -64,6 +64,39 @@ def reconcile_rows(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+COMPARED = {"o_orderkey": "bigint", "cents": "bigint", "o_orderstatus": "string"}
+
+
+def _measures(side: str, view: str, column: str) -> str:
+    return f"""CAST(count({column}) AS VARCHAR) AS {side}_filled,
+        CAST(min({column}) AS VARCHAR) AS {side}_least,
+        CAST(max({column}) AS VARCHAR) AS {side}_greatest FROM {view}"""
+
+
+def _column_row_sql(column: str, kind: str) -> str:
+    return f"""SELECT '{column}' AS "column", '{kind}' AS source_type, '{kind}' AS target_type, *
+        FROM (SELECT {_measures("source", "s", column)}) AS a,
+             (SELECT {_measures("target", "t", column)}) AS b"""
+
+
+@query(f"""{SIDES_SQL}
+    SELECT *, CASE WHEN source_filled = target_filled AND source_least = target_least
+                        AND source_greatest = target_greatest
+                   THEN 'match' ELSE 'mismatch' END AS status
+    FROM ({" UNION ALL ".join(_column_row_sql(c, k) for c, k in COMPARED.items())}) AS r
+    UNION ALL
+    SELECT 'o_orderpriority', 'string', NULL, CAST(count(o_orderpriority) AS VARCHAR),
+           min(o_orderpriority), max(o_orderpriority), NULL, NULL, NULL, 'missing in target'
+    FROM s
+""")
+def reconcile_columns(spark: SparkSession, folder: str) -> DataFrame:
+    """Key, amount and status on both sides; the target has no priority."""
+    source, target = _sides(spark, folder)
+    return compare.reconcile_columns(
+        source.select(*COMPARED, "o_orderpriority"), target.select(*COMPARED)
+    )
+
+
 @query("""
     WITH before AS (SELECT o_orderkey, o_orderstatus AS state, o_orderpriority AS priority
                     FROM orders WHERE o_orderpriority <> '1-URGENT'),

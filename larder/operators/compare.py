@@ -1,13 +1,15 @@
 """Comparing two datasets: reconciliation and change tracking.
 
-Both put the two sides into one union and group it once, instead of joining
-them. That is one shuffle for both, rows are counted before it, NULL keys need
+By key, the two sides go into one union that is grouped once, instead of being
+joined. That is one shuffle for both, rows are counted before it, NULL keys need
 no special care, and a key with many rows on both sides never forms pairs.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,9 +48,10 @@ def reconcile(
         measures.extend(
             F.sum(_of_side(side, F.col(c))).alias(f"{prefix}_{c}") for c in sums
         )
-    agree = F.col("source_rows") == F.col("target_rows")
-    for c in sums:
-        agree = agree & F.col(f"source_{c}").eqNullSafe(F.col(f"target_{c}"))
+    agree = reduce(
+        and_,
+        [F.col(f"source_{c}").eqNullSafe(F.col(f"target_{c}")) for c in ("rows", *sums)],
+    )
     status = (
         F.when(F.col("target_rows") == 0, "missing in target")
         .when(F.col("source_rows") == 0, "missing in source")
@@ -82,6 +85,52 @@ def reconcile_rows(
     return counts.where(F.col("source_rows") != F.col("target_rows")).drop(*contents)
 
 
+_MEASURES = {"filled": F.count, "least": F.min, "greatest": F.max}
+
+
+def _column_summary(df: DataFrame, prefix: str) -> DataFrame:
+    """One row per column: its type and, as text, its measures. One pass, one aggregate row."""
+    totals = df.agg(
+        *[
+            measure(f"`{name}`").cast("string").alias(f"{m}{i}")
+            for i, name in enumerate(df.columns)
+            for m, measure in _MEASURES.items()
+        ]
+    )
+    rows = [
+        F.struct(
+            F.lit(name).alias("column"),
+            F.lit(kind).alias(f"{prefix}_type"),
+            *[F.col(f"{m}{i}").alias(f"{prefix}_{m}") for m in _MEASURES],
+        )
+        for i, (name, kind) in enumerate(df.dtypes)
+    ]
+    return totals.select(F.inline(F.array(*rows)))
+
+
+def reconcile_columns(source: DataFrame, target: DataFrame) -> DataFrame:
+    """Column by column: type, number of values, least and greatest value on both sides.
+
+    Gives ``column`` and, per side, ``<side>_type, <side>_filled, <side>_least,
+    <side>_greatest`` with a status as in ``reconcile``. What is joined here is
+    one row per column.
+    """
+    agree = reduce(
+        and_, [F.col(f"source_{m}").eqNullSafe(F.col(f"target_{m}")) for m in ("type", *_MEASURES)]
+    )
+    status = (
+        F.when(F.col("target_type").isNull(), "missing in target")
+        .when(F.col("source_type").isNull(), "missing in source")
+        .when(agree, "match")
+        .otherwise("mismatch")
+    )
+    return (
+        _column_summary(source, "source")
+        .join(_column_summary(target, "target"), "column", "full_outer")
+        .withColumn("status", status)
+    )
+
+
 def snapshot_changes(
     before: DataFrame,
     after: DataFrame,

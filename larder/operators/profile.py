@@ -24,6 +24,8 @@ _EXPONENT_LIMIT = 1100
 # Up to so many groups are sent to every task when rows are matched to their
 # group's bin: a few numbers each, some ten megabytes at most.
 _BROADCAST_GROUPS = 100_000
+# Beyond that rows are shuffled, those of one group over so many partitions.
+_SALTS = 64
 
 
 def _values(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame:
@@ -83,18 +85,34 @@ def _match(left: DataFrame, right: DataFrame, group: Sequence[str], how: str) ->
     return left.join(renamed, same, how).drop(*[f"__{name}" for name in group])
 
 
+def _matched(
+    values: DataFrame, wanted: DataFrame, group: Sequence[str], groups: int
+) -> DataFrame:
+    """Values with their group's range and ranks, as ``value, n`` and the range's columns."""
+    if groups <= _BROADCAST_GROUPS:
+        weighted = values.withColumn("n", F.lit(1).cast("bigint"))
+        return _match(weighted, F.broadcast(wanted), group, "inner")
+    # Equal values are counted first and the salt is taken from the value, so
+    # neither a hot group nor a hot value within it meets in one task.
+    weighted = (
+        values.groupBy(*group, "value")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("salt", F.pmod(F.xxhash64("value"), F.lit(_SALTS)).cast("int"))
+    )
+    salts = F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("salt")
+    return _match(weighted, wanted.select("*", salts), [*group, "salt"], "inner")
+
+
 def _refine(values: DataFrame, state: DataFrame, group: Sequence[str], groups: int) -> DataFrame:
     """Split the range of each group not done yet into finer bins and narrow again."""
     wanted = state.where(~F.col("done")).drop("done")
-    if groups <= _BROADCAST_GROUPS:
-        wanted = F.broadcast(wanted)
     share = (F.col("value") - F.col("lo")) / (F.col("hi") - F.col("lo"))
     bins = (
-        _match(values, wanted, group, "inner")
+        _matched(values, wanted, group, groups)
         .where(F.col("value").between(F.col("lo"), F.col("hi")))
         .groupBy(*group, F.floor(share * _BINS).alias("bin"))
         .agg(
-            F.count("value").alias("n"),
+            F.sum("n").alias("n"),
             F.min("value").alias("lo"),
             F.max("value").alias("hi"),
             F.min("first_rank").alias("first_rank"),

@@ -44,8 +44,8 @@ def run(
     if persist:
         data = data.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        report = format_report(run_suite(data, suite).orderBy("ordinal"))
-        write_files(report.coalesce(1), report_path, "csv")
+        results = run_suite(data, suite).repartition(1).sortWithinPartitions("ordinal")
+        write_files(format_report(results), report_path, "csv")
     finally:
         if persist:
             data.unpersist()

@@ -1,4 +1,9 @@
-from larder.operators.compare import reconcile, reconcile_rows, snapshot_changes
+from larder.operators.compare import (
+    reconcile,
+    reconcile_columns,
+    reconcile_rows,
+    snapshot_changes,
+)
 
 
 def as_dict(df, key):
@@ -47,6 +52,21 @@ def test_reconcile_rows(spark):
     assert sorted(tuple(r) for r in got.collect()) == [(2, 0, 1), (2, 1, 0), (4, 2, 1)]
 
 
+def test_reconcile_columns(spark):
+    source = spark.createDataFrame([(1, "b", 1.5), (2, None, 0.5)], "k int, a string, b double")
+    target = spark.createDataFrame([(2, "b", 1), (1, None, 2)], "k int, a string, c int")
+    got = as_dict(reconcile_columns(source, target), "column")
+    assert got == {
+        "k": ("int", "2", "1", "2", "int", "2", "1", "2", "match"),
+        "a": ("string", "1", "b", "b", "string", "1", "b", "b", "match"),
+        "b": ("double", "2", "0.5", "1.5", None, None, None, None, "missing in target"),
+        "c": (None, None, None, None, "int", "2", "1", "2", "missing in source"),
+    }
+    retyped = target.selectExpr("cast(k as bigint) as k", "'c' as a")
+    statuses = as_dict(reconcile_columns(target.select("k", "a"), retyped).select("column", "status"), "column")
+    assert statuses == {"k": ("mismatch",), "a": ("mismatch",)}
+
+
 def test_snapshot_changes(spark):
     schema = "k int, minutes int, level string"
     before = spark.createDataFrame(
