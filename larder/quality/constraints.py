@@ -17,17 +17,21 @@ from pyspark.sql import types as T
 
 @dataclass(frozen=True)
 class Constraint:
-    """One rule: the column it is about, its label, and the condition a row must meet.
+    """One rule: its kind, the column it is about, its label, and the condition.
 
-    ``holds`` takes the column's type and returns the condition; it is None for
-    uniqueness.
+    ``holds`` takes the column's type and returns the condition a row must meet;
+    it is None for uniqueness.
     """
 
+    kind: str
     column: str
     label: str
     holds: Callable[[T.DataType], Column] | None = None
 
 
+COMPLETE, UNIQUE, COMPLIANT = "complete", "unique", "compliant"
+
+
 # Label formats of the validation report.
 COMPLETENESS_LABEL = "CompletenessConstraint(Completeness({column},None))"
 UNIQUENESS_LABEL = "UniquenessConstraint(Uniqueness(List({column}),None))"
@@ -45,19 +49,19 @@ def _column(name: str) -> Column:
 def _compliance(
     column: str, name: str, predicate: str, holds: Callable[[T.DataType], Column]
 ) -> Constraint:
-    return Constraint(column, COMPLIANCE_LABEL.format(name=name, predicate=predicate), holds)
+    label = COMPLIANCE_LABEL.format(name=name, predicate=predicate)
+    return Constraint(COMPLIANT, column, label, holds)
 
 
 def complete(column: str) -> Constraint:
     """No NULL in the column; an empty string counts as a value."""
-    return Constraint(
-        column, COMPLETENESS_LABEL.format(column=column), lambda _: _column(column).isNotNull()
-    )
+    label = COMPLETENESS_LABEL.format(column=column)
+    return Constraint(COMPLETE, column, label, lambda _: _column(column).isNotNull())
 
 
 def unique(column: str) -> Constraint:
     """Every value that is not NULL occurs once."""
-    return Constraint(column, UNIQUENESS_LABEL.format(column=column))
+    return Constraint(UNIQUE, column, UNIQUENESS_LABEL.format(column=column))
 
 
 def contained_in(column: str, values: Sequence[str]) -> Constraint:

@@ -1,8 +1,10 @@
 """Suites and their evaluation.
 
 However many constraints a suite has, its input is scanned at most twice: once
-for all row conditions, which end in one row without moving any data, and once
-for all unique columns together, whose values go through a single shuffle.
+for the row conditions, which end in one row without moving any data, and once
+for all unique columns together, whose values go through a single shuffle. The
+completeness of a unique column comes out of the second scan as well, so in a
+suite of these two kinds no column is read twice.
 """
 
 from __future__ import annotations
@@ -16,6 +18,8 @@ from pyspark.sql import functions as F
 
 from larder.functions import group_key
 from larder.quality.constraints import (
+    COMPLETE,
+    UNIQUE,
     Constraint,
     complete,
     contained_in,
@@ -74,51 +78,67 @@ def suite_for(dataset: str) -> Suite:
     return SUITES[name]
 
 
-def _metric_rows(entries: list[tuple[int, Column]]) -> Column:
-    """One aggregate row turned into one row per constraint."""
+Numbered = list[tuple[int, Constraint]]
+
+
+def _metric_rows(*entries: tuple[Column, Column]) -> Column:
+    """Pairs ``ordinal, metric`` of one row turned into rows."""
     return F.inline(
-        F.array(
-            *[F.struct(F.lit(i).alias("ordinal"), m.alias("metric")) for i, m in entries]
-        )
+        F.array(*[F.struct(i.alias("ordinal"), m.alias("metric")) for i, m in entries])
     )
 
 
-def _row_metrics(df: DataFrame, constraints: list[tuple[int, Constraint]]) -> DataFrame:
-    """Metrics of all row conditions: one scan, one partial and one final aggregate."""
+def _row_metrics(df: DataFrame, constraints: Numbered) -> DataFrame:
+    """Metrics of row conditions: one scan, one partial and one final aggregate."""
     counts = [
         F.count_if(c.holds(df.schema[c.column].dataType)).alias(f"n{i}") for i, c in constraints
     ]
     totals = df.agg(F.count(F.lit(1)).alias("n"), *counts)
     # No rows, no report: an aggregate without keys still gives a row for them.
     return totals.where(F.col("n") > 0).select(
-        _metric_rows([(i, F.col(f"n{i}") / F.col("n")) for i, _ in constraints])
+        _metric_rows(*[(F.lit(i), F.col(f"n{i}") / F.col("n")) for i, _ in constraints])
     )
 
 
-def _unique_metrics(df: DataFrame, constraints: list[tuple[int, Constraint]]) -> DataFrame:
-    """Metrics of all unique columns: one scan and one shuffle of keys of bounded width.
+def _value_metrics(df: DataFrame, unique: Numbered, complete: Numbered) -> DataFrame:
+    """Metrics of unique columns: one scan and one shuffle of keys of bounded width.
 
     Grouping sets give each row once per column. Values are counted before the
     shuffle, so a value held by a third of all rows arrives as one row per task.
+    ``complete`` are completeness rules on columns among the unique ones.
     """
-    keys = df.select(*[group_key(df, c.column).alias(f"k{i}") for i, c in constraints])
-    names = [f"k{i}" for i, _ in constraints]
-    counts = keys.groupingSets([[name] for name in names], *names).agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.grouping(name).alias(f"out_{name}") for name in names],
+    columns = list(dict.fromkeys(c.column for _, c in unique))
+    names = [f"k{place}" for place in range(len(columns))]
+    counts = (
+        df.select(*[group_key(df, c).alias(name) for c, name in zip(columns, names)])
+        .groupingSets([[name] for name in names], *names)
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            *[F.grouping(name).alias(f"out_{name}") for name in names],
+        )
     )
-    ordinal = F.coalesce(
-        *[F.when(F.col(f"out_k{i}") == 0, F.lit(i)) for i, _ in constraints]
+    column = F.coalesce(
+        *[F.when(F.col(f"out_{name}") == 0, F.lit(c)) for c, name in zip(columns, names)]
     )
     filled = reduce(or_, [F.col(name).isNotNull() for name in names])
-    present = counts.select(
-        ordinal.alias("ordinal"), F.when(filled, F.col("n")).otherwise(0).alias("n")
-    )
-    once = F.when(F.col("n") == 1, 1).otherwise(0)
-    # A column of NULLs alone has no share: the metric is NULL and the rule fails.
-    return present.groupBy("ordinal").agg(
-        F.try_divide(F.sum(once), F.sum("n")).alias("metric")
+    totals = (
+        counts.select(column.alias("column"), filled.alias("filled"), "n")
+        .groupBy("column")
+        .agg(
+            F.sum("n").alias("rows"),
+            F.sum(F.when(F.col("filled"), F.col("n")).otherwise(0)).alias("values"),
+            F.count_if(F.col("filled") & (F.col("n") == 1)).alias("once"),
+        )
     )
+    # A column of NULLs alone has no share of unique values: the metric is NULL
+    # and the rule fails.
+    metrics = [(i, c, F.try_divide("once", "values")) for i, c in unique]
+    metrics += [(i, c, F.col("values") / F.col("rows")) for i, c in complete]
+    return totals.select(
+        _metric_rows(
+            *[(F.when(F.col("column") == c.column, F.lit(i)), metric) for i, c, metric in metrics]
+        )
+    ).where(F.col("ordinal").isNotNull())
 
 
 def suite_metrics(df: DataFrame, suite: Suite) -> DataFrame:
@@ -127,13 +147,15 @@ def suite_metrics(df: DataFrame, suite: Suite) -> DataFrame:
     Lazy: nothing runs before the result is used.
     """
     numbered = list(enumerate(suite.constraints))
-    by_row = [(i, c) for i, c in numbered if c.holds is not None]
-    by_value = [(i, c) for i, c in numbered if c.holds is None]
+    unique = [(i, c) for i, c in numbered if c.kind == UNIQUE]
+    grouped = {c.column for _, c in unique}
+    complete = [(i, c) for i, c in numbered if c.kind == COMPLETE and c.column in grouped]
+    rest = [entry for entry in numbered if entry not in unique and entry not in complete]
     parts = []
-    if by_row:
-        parts.append(_row_metrics(df, by_row))
-    if by_value:
-        parts.append(_unique_metrics(df, by_value))
+    if rest:
+        parts.append(_row_metrics(df, rest))
+    if unique:
+        parts.append(_value_metrics(df, unique, complete))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -8,7 +8,8 @@ reachable by every executor.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,12 +36,32 @@ def stream_files(
     return reader.load(path)
 
 
+@contextmanager
+def _shuffle_partitions(spark: SparkSession, number: int) -> Iterator[None]:
+    """Another number of shuffle partitions for a query started in the block.
+
+    A streaming query copies the settings when it starts, so the session gets
+    its own number back at once.
+    """
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", number)
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def _start(writer: DataStreamWriter, checkpoint: str, interval: str | None) -> StreamingQuery:
     writer = writer.option("checkpointLocation", checkpoint)
     if interval is not None:
         return writer.trigger(processingTime=interval).start()
-    query = writer.trigger(availableNow=True).start()
-    query.awaitTermination()
+    return writer.trigger(availableNow=True).start()
+
+
+def _finished(query: StreamingQuery, interval: str | None) -> StreamingQuery:
+    """Wait for a query that ends by itself; one at an interval is the caller's to stop."""
+    if interval is None:
+        query.awaitTermination()
     return query
 
 
@@ -53,7 +74,8 @@ def stream_to_partitions(
 ) -> StreamingQuery:
     """Append arriving rows to partitioned parquet, each row once even after a restart."""
     writer = stream.writeStream.format("parquet").outputMode("append")
-    return _start(writer.partitionBy(*partition_by).option("path", path), checkpoint, interval)
+    writer = writer.partitionBy(*partition_by).option("path", path)
+    return _finished(_start(writer, checkpoint, interval), interval)
 
 
 def _write_batch(path: str) -> Callable[[DataFrame, int], None]:
@@ -72,16 +94,24 @@ def stream_average(
     value: str = "total_cook_time",
     name: str = "avg_total_cooking_time",
     interval: str | None = None,
+    state_partitions: int = 4,
 ) -> StreamingQuery:
     """Keep the average per label up to date over all rows seen so far.
 
     The state is a sum and a count per label. Labels come from a fixed list and
     the result does not depend on time, so there is no watermark and no row is
     ever too late. Every batch leaves the whole result in a folder of its own.
+
+    Rows are added up before the shuffle, so few state partitions are enough for
+    any input. The session's number of shuffle partitions is meant for big
+    shuffles: each partition, even an empty one, would write its own state files
+    in every batch. The number is fixed by the first run on a checkpoint.
     """
     average = average_by(labelled, key, value, name)
     writer = average.writeStream.outputMode("complete").foreachBatch(_write_batch(path))
-    return _start(writer, checkpoint, interval)
+    with _shuffle_partitions(labelled.sparkSession, state_partitions):
+        query = _start(writer, checkpoint, interval)
+    return _finished(query, interval)
 
 
 def latest_average(spark: SparkSession, path: str) -> DataFrame:

@@ -90,6 +90,14 @@ def test_suite_scans_twice_and_shuffles_keys_once(spark, plan):
     assert re.search(r"ReadSchema: struct<doc_id:bigint,text:string>", text)
 
 
+def test_no_column_is_read_twice(spark, plan, tmp_path):
+    write_files(spark.createDataFrame(rows(), RECIPE), str(tmp_path / "in"), "parquet")
+    text = plan(q.run_suite(spark.read.parquet(str(tmp_path / "in")), q.suite_for("recipe")))
+    scans = re.findall(r"ReadSchema: struct<([^>]*)>", text)
+    columns = [c.split(":")[0] for scan in scans for c in scan.split(",")]
+    assert sorted(columns) == sorted(q.suite_for("recipe").columns)
+
+
 def test_suite_without_unique_columns_is_one_pass(spark, plan):
     suite = q.Suite("s", (q.complete("text"), q.non_negative("n_chars")))
     text = plan(q.run_suite(table(spark, FOLDER, "documents"), suite))

@@ -67,6 +67,17 @@ def test_many_constraints_keep_their_place(spark):
     assert got == [(0.0, "Failure"), (1.0, "Success"), (1.0, "Success"), (0.5, "Failure")]
 
 
+def test_complete_and_unique_on_one_column(spark):
+    df = spark.createDataFrame(
+        [("a", 1), ("a", 2), (None, 3), ("b", None)], "x string, y int"
+    )
+    rules = [q.complete("x"), q.unique("x"), q.unique("y"), q.complete("y"), q.complete("x")]
+    got = [m for m, _ in outcome(df, *rules, q.unique("x"))]
+    assert got == [0.75, 1 / 3, 1.0, 0.75, 0.75, 1 / 3]
+    assert [m for m, _ in outcome(df.where("x is null"), *rules)] == [0.0, None, 1.0, 1.0, 0.0]
+    assert outcome(df.where("y > 9"), *rules) == []
+
+
 def test_labels():
     assert q.complete("name").label == "CompletenessConstraint(Completeness(name,None))"
     assert q.unique("url").label == "UniquenessConstraint(Uniqueness(List(url),None))"
