@@ -10,9 +10,8 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from larder.bindings.inputs import event_recipe_rows, event_recipes, table
+from larder.bindings.inputs import document_recipes, event_recipe_rows, event_recipes, table
 from larder.bindings.registry import query
 from larder.bindings.transforms import (
     COOK,
@@ -23,7 +22,6 @@ from larder.bindings.transforms import (
     TOTAL,
     average_sql,
 )
-from larder.bindings.inputs import document_recipes
 from larder.operators import quarantine as rules
 from larder.operators import recipes
 from larder.plans import recipe_job as job
@@ -116,27 +114,31 @@ def arrival_day_read(spark: SparkSession, folder: str) -> DataFrame:
 STATUS = "CASE WHEN event_type IN ('error', 'view') THEN 'quarantined' ELSE 'ok' END"
 
 
-@query(f"""
+PREPROCESSED_SQL = f"""
     SELECT 'event/' || event_id AS url, event_type AS name,
            CAST(ts AS DATE) AS "datePublished", CAST(year(ts) AS INTEGER) AS published_year,
            {PREP} AS "prepTimeMinutes",
            CASE WHEN event_type NOT IN ('error', 'view') THEN {COOK} END AS "cookTimeMinutes",
            {STATUS} AS status
     FROM events
-""")
+"""
+PREPROCESSED = (
+    "url",
+    "name",
+    "datePublished",
+    "published_year",
+    "prepTimeMinutes",
+    "cookTimeMinutes",
+    "status",
+)
+
+
+@query(PREPROCESSED_SQL)
 def preprocess_parquet(spark: SparkSession, folder: str) -> DataFrame:
     """Raw recipes persisted as typed parquet by status and year, read back."""
     path = fresh_folder(spark, "preprocessed")
     preprocess_recipes(event_recipe_rows(spark, folder), path)
-    return read_landed(spark, path).select(
-        "url",
-        "name",
-        "datePublished",
-        "published_year",
-        "prepTimeMinutes",
-        "cookTimeMinutes",
-        "status",
-    )
+    return read_landed(spark, path).select(*PREPROCESSED)
 
 
 @query(

@@ -6,11 +6,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from larder.bindings.inputs import event_recipes, table
+from larder.bindings.files import PREPROCESSED, PREPROCESSED_SQL
+from larder.bindings.inputs import event_recipe_rows, event_recipes, table
 from larder.bindings.registry import query
 from larder.bindings.transforms import EVENT_KEYWORD, FLAGSHIP_SQL
 from larder.operators import recipes
-from larder.sources import fresh_folder, land_by_partition, read_landed
+from larder.schemas import RECIPE
+from larder.sources import (
+    fresh_folder,
+    land_by_partition,
+    read_landed,
+    type_recipes,
+    write_files,
+)
 from larder.streaming import latest_average, stream_average, stream_files, stream_to_partitions
 
 
@@ -47,6 +55,22 @@ def stream_landing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(PREPROCESSED_SQL)
+def stream_preprocess(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw recipes arriving as JSON, persisted as typed parquet by status and year."""
+    arrived = fresh_folder(spark, "recipes")
+    write_files(event_recipe_rows(spark, folder), arrived, "json")
+    stream = stream_files(spark, arrived, RECIPE, files_per_batch=_wave(spark))
+    landed = fresh_folder(spark, "landed")
+    stream_to_partitions(
+        stream.transform(type_recipes),
+        landed,
+        fresh_folder(spark, "progress"),
+        ["status", "published_year"],
+    )
+    return read_landed(spark, landed).select(*PREPROCESSED)
+
+
 @query(FLAGSHIP_SQL)
 def stream_avg_by_bucket(spark: SparkSession, folder: str) -> DataFrame:
     rows = event_recipes(spark, folder)

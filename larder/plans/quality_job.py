@@ -18,6 +18,7 @@ from larder.sources import read_files, write_files
 
 log = logging.getLogger(__name__)
 
+# A suite of a dataset not listed here is run on the schema its files show.
 DATASET_SCHEMAS = {"recipe": RECIPE, "recipe_aggregate": RECIPE_AGGREGATE}
 
 
@@ -36,7 +37,7 @@ def run(
     parquet input is read faster than the copy.
     """
     suite = suite_for(dataset)
-    data = read_files(spark, file_format, input_path, DATASET_SCHEMAS[suite.name])
+    data = read_files(spark, file_format, input_path, DATASET_SCHEMAS.get(suite.name))
     data = data.select(*suite.columns)
     if data.isEmpty():
         log.warning("%s is empty, no report written", input_path)

@@ -7,6 +7,8 @@ from larder.sources.landing import (
     read_arrival_day,
     read_days,
     read_landed,
+    rebalanced,
+    type_recipes,
 )
 from larder.sources.workspace import checkpoint_ready, fresh_folder
 
@@ -20,5 +22,7 @@ __all__ = [
     "read_files",
     "read_json_lines",
     "read_landed",
+    "rebalanced",
+    "type_recipes",
     "write_files",
 ]

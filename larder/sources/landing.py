@@ -17,19 +17,27 @@ STATUS_OK = "ok"
 STATUS_QUARANTINED = "quarantined"
 
 
+def rebalanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rows gathered by partition value before they are written.
+
+    Without an exchange every task would write one small file per partition
+    value it sees. The rebalance hint gathers a value's rows, and adaptive
+    execution splits a value that holds far more rows than others over several
+    tasks, so a hot day neither drowns one writer nor one file.
+    """
+    return df.hint("rebalance", *[F.col(name) for name in partition_by])
+
+
 def land_by_partition(
     df: DataFrame, path: str, partition_by: Sequence[str], rebalance: bool = True
 ) -> None:
     """Write partitioned parquet; only partitions present in ``df`` are replaced.
 
-    Without an exchange every task would write one small file per partition
-    value it sees. The rebalance hint gathers a value's rows, and adaptive
-    execution splits a value that holds far more rows than others over several
-    tasks, so a hot day neither drowns one writer nor one file. Turn it off when
-    the input is already laid out by the partition columns.
+    Turn ``rebalance`` off when the input is already laid out by the partition
+    columns.
     """
     if rebalance:
-        df = df.hint("rebalance", *[F.col(name) for name in partition_by])
+        df = rebalanced(df, partition_by)
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from larder.operators.recipes import average_by
+from larder.sources.landing import rebalanced
 
 
 def stream_files(
@@ -71,8 +72,11 @@ def stream_to_partitions(
     checkpoint: str,
     partition_by: Sequence[str],
     interval: str | None = None,
+    rebalance: bool = True,
 ) -> StreamingQuery:
     """Append arriving rows to partitioned parquet, each row once even after a restart."""
+    if rebalance:
+        stream = rebalanced(stream, partition_by)
     writer = stream.writeStream.format("parquet").outputMode("append")
     writer = writer.partitionBy(*partition_by).option("path", path)
     return _finished(_start(writer, checkpoint, interval), interval)
