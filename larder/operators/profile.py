@@ -8,7 +8,7 @@ without its values ever meeting in one place.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_
 
@@ -17,35 +17,40 @@ from pyspark.sql import functions as F
 
 from larder.sources.workspace import checkpoint_ready
 
-# Bins per narrowing pass.
+# Bins of the first pass between two powers of 2, and of each later pass in all.
+_STEPS = 64
 _BINS = 65536
-# Above any binary exponent of a double.
-_EXPONENT_LIMIT = 1100
+# Above the step of any finite double, whose exponents lie within -1,074 and 1,024.
+_LARGEST_STEP = 1100 * _STEPS
 # Up to so many groups are sent to every task when rows are matched to their
 # group's bin: a few numbers each, some ten megabytes at most.
 _BROADCAST_GROUPS = 100_000
+# Group columns made here.
+_NEVER_NULL = ("place", "salt")
 # Beyond that rows are shuffled, those of one group over so many partitions.
 _SALTS = 64
 
 
-def _values(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame:
-    """One row ``by, column, value`` per row and profiled column."""
+def _values(df: DataFrame, columns: Mapping[int, str], by: Sequence[str]) -> DataFrame:
+    """One row ``by, place, value`` per row and profiled column, given by its place."""
     pairs = [
-        F.struct(F.lit(name).alias("column"), F.col(name).cast("double").alias("value"))
-        for name in columns
+        F.struct(F.lit(place).alias("place"), F.col(f"`{name}`").cast("double").alias("value"))
+        for place, name in columns.items()
     ]
     return df.select(*by, F.inline(F.array(*pairs)))
 
 
 def _magnitude_bin(value: Column) -> Column:
-    """A number that never falls as the value rises; some 4,400 different ones in all."""
-    exponent = F.when(F.abs(value) == F.lit(float("inf")), F.lit(_EXPONENT_LIMIT)).otherwise(
-        F.floor(F.log2(F.abs(value)))
+    """A number that never falls as the value rises: 64 steps from one power of 2 to the next."""
+    size = F.abs(value)
+    step = F.when(size == F.lit(float("inf")), F.lit(_LARGEST_STEP)).otherwise(
+        F.floor(F.log2(size) * _STEPS)
     )
     return (
-        F.when(F.isnan(value), F.lit(3 * _EXPONENT_LIMIT))
+        F.when(F.isnan(value), F.lit(3 * _LARGEST_STEP))
         .when(value == 0, F.lit(0))
-        .otherwise((F.signum(value) * (exponent + _EXPONENT_LIMIT + 1)).cast("int"))
+        .otherwise(F.signum(value) * (step + _LARGEST_STEP + 1))
+        .cast("int")
     )
 
 
@@ -81,7 +86,15 @@ def _narrow(bins: DataFrame, group: Sequence[str]) -> DataFrame:
 def _match(left: DataFrame, right: DataFrame, group: Sequence[str], how: str) -> DataFrame:
     """Join on the group columns, NULL matching NULL; the left side's are kept."""
     renamed = right.withColumnsRenamed({name: f"__{name}" for name in group})
-    same = reduce(and_, [F.col(name).eqNullSafe(F.col(f"__{name}")) for name in group])
+    same = reduce(
+        and_,
+        [
+            F.col(name) == F.col(f"__{name}")
+            if name in _NEVER_NULL
+            else F.col(name).eqNullSafe(F.col(f"__{name}"))
+            for name in group
+        ],
+    )
     return left.join(renamed, same, how).drop(*[f"__{name}" for name in group])
 
 
@@ -122,24 +135,37 @@ def _refine(values: DataFrame, state: DataFrame, group: Sequence[str], groups: i
     return state.where(F.col("done")).unionByName(_narrow(bins, group))
 
 
+def _open_groups(state: DataFrame) -> dict[int, int]:
+    """How many groups are not done yet, by column: one number per profiled column at most."""
+    counts = state.where(~F.col("done")).groupBy("place").count().collect()
+    return {row["place"]: row["count"] for row in counts}
+
+
 def column_profile(
     df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), exact_median: bool = True
 ) -> DataFrame:
     """``by, column, n, mean, median, min, max`` for each numeric column and group.
 
-    With ``exact_median`` this runs two to five passes over the profiled columns
+    With ``exact_median`` this runs one to five passes over the profiled columns
     before it returns, each leaving a small table in the checkpoint folder.
     Otherwise it is one lazy pass, and the median is approximate.
     """
-    group = [*by, "column"]
-    values = _values(df, columns, by)
+    numbered = dict(enumerate(columns))
+    names = F.array(*[F.lit(name) for name in columns])
+    column = F.element_at(names, F.col("place") + 1).alias("column")
+    group = [*by, "place"]
+    values = _values(df, numbered, by)
     if not exact_median:
-        return values.groupBy(*group).agg(
-            F.count("value").alias("n"),
-            F.avg("value").alias("mean"),
-            F.percentile_approx("value", 0.5).alias("median"),
-            F.min("value").alias("min"),
-            F.max("value").alias("max"),
+        return (
+            values.groupBy(*group)
+            .agg(
+                F.count("value").alias("n"),
+                F.avg("value").alias("mean"),
+                F.percentile_approx("value", 0.5).alias("median"),
+                F.min("value").alias("min"),
+                F.max("value").alias("max"),
+            )
+            .select(*by, column, "n", "mean", "median", "min", "max")
         )
 
     checkpoint_ready(df.sparkSession)
@@ -161,8 +187,11 @@ def column_profile(
         }
     )
     state = _narrow(ranked, group).checkpoint()
-    while open_groups := state.where(~F.col("done")).count():
-        state = _refine(values, state, group, open_groups).checkpoint()
+    while open_groups := _open_groups(state):
+        # Only the columns still wanted are read again.
+        wanted = {place: numbered[place] for place in open_groups}
+        groups = sum(open_groups.values())
+        state = _refine(_values(df, wanted, by), state, group, groups).checkpoint()
 
     summary = bins.groupBy(*group).agg(
         F.sum("n").alias("n"),
@@ -172,5 +201,5 @@ def column_profile(
     )
     medians = state.select(*group, (F.col("lo") * 0.5 + F.col("hi") * 0.5).alias("median"))
     return _match(summary, medians, group, "left").select(
-        *group, "n", "mean", "median", "min", "max"
+        *by, column, "n", "mean", "median", "min", "max"
     )

@@ -41,6 +41,7 @@ class Suite:
         return list(dict.fromkeys(c.column for c in self.constraints))
 
 
+# The rules of the two datasets, in the order of their numbers.
 RECIPE_SUITE = Suite(
     "recipe",
     (
