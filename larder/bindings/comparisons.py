@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.bindings.inputs import table
+from larder.bindings.inputs import document_recipes, iso, table
 from larder.bindings.registry import query
+from larder.bindings.transforms import difficulty_sql
 from larder.operators import compare
+from larder.plans import change_job
+from larder.sources import fresh_folder, read_files, write_files
 
 # The source lost the pending orders, the target those of low priority.
 SIDES_SQL = """
@@ -128,3 +131,59 @@ def snapshot_changes(spark: SparkSession, folder: str) -> DataFrame:
         F.nullif("o_orderpriority", F.lit("2-HIGH")).alias("priority"),
     )
     return compare.snapshot_changes(before, after, "o_orderkey", ["state", "priority"])
+
+
+@query("""
+    SELECT o_custkey, o_orderdate, o_orderkey, o_orderstatus FROM (
+        SELECT *, row_number() OVER (PARTITION BY o_custkey
+                                     ORDER BY o_orderdate DESC, o_orderkey DESC) AS place
+        FROM orders) AS o
+    WHERE place = 1
+""")
+def latest_by_key(spark: SparkSession, folder: str) -> DataFrame:
+    """Each customer's latest order."""
+    orders = table(spark, folder, "orders")
+    return compare.latest_by_key(
+        orders, "o_custkey", ["o_orderdate", "o_orderkey"], ["o_orderstatus"]
+    )
+
+
+BEFORE_TOTAL = "(n_chars // 60 + doc_id % 45)"
+AFTER_TOTAL = "(CASE WHEN lang = 'de' THEN n_chars // 30 ELSE n_chars // 60 END + doc_id % 45)"
+
+
+@query(f"""
+    WITH r AS (SELECT 'doc/' || doc_id AS url, source, lang, {BEFORE_TOTAL} AS old_total,
+                      {AFTER_TOTAL} AS new_total FROM documents),
+         b AS (SELECT url, source AS name, old_total AS total,
+                      {difficulty_sql("old_total")} AS level FROM r WHERE lang <> 'fr'),
+         a AS (SELECT url, source AS name, new_total AS total,
+                      {difficulty_sql("new_total")} AS level FROM r WHERE lang <> 'es')
+    SELECT url,
+           CASE WHEN b.url IS NULL THEN 'added' WHEN a.url IS NULL THEN 'removed'
+                ELSE 'changed' END AS change,
+           b.name AS old_name, a.name AS new_name,
+           b.total AS old_total_cook_time, a.total AS new_total_cook_time,
+           b.level AS old_difficulty, a.level AS new_difficulty
+    FROM b FULL OUTER JOIN a USING (url)
+    WHERE b.url IS NULL OR a.url IS NULL OR b.name IS DISTINCT FROM a.name
+       OR b.total IS DISTINCT FROM a.total
+""")
+def recipe_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """Two dumps of the archive: French came, Spanish went, German takes twice as long."""
+    recipes = document_recipes(spark, folder)
+    chars = F.regexp_extract("cookTime", "[0-9]+", 0).cast("bigint")
+    longer = F.when(F.col("description") == "de", iso("PT", chars * 2, "S"))
+    before = fresh_folder(spark, "before")
+    after = fresh_folder(spark, "after")
+    changes = fresh_folder(spark, "changes")
+    write_files(recipes.where(F.col("description") != "fr"), before, "json")
+    write_files(
+        recipes.where(F.col("description") != "es").withColumn(
+            "cookTime", F.coalesce(longer, "cookTime")
+        ),
+        after,
+        "json",
+    )
+    change_job.run(spark, before, after, changes)
+    return read_files(spark, "parquet", changes)

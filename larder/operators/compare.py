@@ -1,4 +1,4 @@
-"""Comparing two datasets: reconciliation and change tracking.
+"""Comparing two datasets (reconciliation, change tracking) and bringing changes up to date.
 
 By key, the two sides go into one union that is grouped once, instead of being
 joined. That is one shuffle for both, rows are counted before it, NULL keys need
@@ -166,3 +166,18 @@ def snapshot_changes(
         change.alias("change"),
         *[F.col(f"{side}.{c}").alias(f"{side}_{c}") for c in tracked for side in ("old", "new")],
     ).where(F.col("change").isNotNull())
+
+
+def latest_by_key(
+    df: DataFrame, key: str, version: Sequence[str], columns: Sequence[str]
+) -> DataFrame:
+    """The current state of things whose every change is a row: per key the newest row.
+
+    Newest is the greatest by ``version``, then by the columns themselves, so the
+    result does not depend on the order of the rows. One shuffle, after each task
+    has kept the newest row of its own per key.
+    """
+    newest = F.max(F.struct(*version, *columns)).alias("newest")
+    return (
+        df.groupBy(key).agg(newest).select(key, *[F.col(f"newest.{c}") for c in (*version, *columns)])
+    )

@@ -1,4 +1,5 @@
 from larder.operators.compare import (
+    latest_by_key,
     reconcile,
     reconcile_columns,
     reconcile_rows,
@@ -95,3 +96,13 @@ def test_key_with_many_rows_stands_for_one(spark):
     newer = spark.createDataFrame([(7, n + 9, "new")], "k int, version bigint, state string")
     got = snapshot_changes(before, newer, "k", ["state"], ["version"]).collect()
     assert [tuple(r) for r in got] == [(7, "changed", "v4", "new")]
+
+
+def test_latest_by_key(spark):
+    df = spark.createDataFrame(
+        [("a", 1, "x"), ("a", 3, "y"), ("a", 2, "z"), ("b", 5, None), (None, 1, "n"), ("c", 1, "p"),
+         ("c", 1, "q")],
+        "k string, day int, v string",
+    )
+    got = as_dict(latest_by_key(df, "k", ["day"], ["v"]), "k")
+    assert got == {"a": (3, "y"), "b": (5, None), None: (1, "n"), "c": (1, "q")}

@@ -2,7 +2,7 @@ import datetime as dt
 
 import pytest
 
-from larder.plans import quality_job, recipe_job
+from larder.plans import change_job, quality_job, recipe_job
 from larder.quality import QualityGateError
 from larder.schemas import RECIPE_AGGREGATE, VALIDATION_REPORT
 from larder.sources import read_files
@@ -117,3 +117,23 @@ def test_no_report_on_empty_input(spark, tmp_path):
 def test_unknown_dataset(spark, tmp_path):
     with pytest.raises(KeyError):
         quality_job.run(spark, "drinks", str(tmp_path), str(tmp_path / "out"))
+
+
+def test_change_job(spark, tmp_path):
+    old = rows()
+    new = [dict(r) for r in old[1:]]
+    new[0]["cookTime"] = "PT50M"
+    new[1]["description"] = "not tracked"
+    new.append(row("Roast", "beef", "PT3H", "PT0M"))
+    before, after = write_json(tmp_path / "old", old), write_json(tmp_path / "new", new)
+    out = str(tmp_path / "out")
+    change_job.main(["--before", before, "--after", after, "--output", out])
+    got = {
+        r["change"]: (r["old_name"], r["new_name"], r["old_difficulty"], r["new_difficulty"])
+        for r in spark.read.parquet(out).collect()
+    }
+    assert got == {
+        "removed": ("Stew", None, "hard", None),
+        "changed": ("Tacos", "Tacos", "easy", "hard"),
+        "added": (None, "Roast", None, "hard"),
+    }
