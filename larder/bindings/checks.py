@@ -105,7 +105,9 @@ def _non_negative_share(value: str, source: str) -> str:
 
 
 @query(
-    _results_sql([(_non_negative_label("c_acctbal"), _non_negative_share("c_acctbal", "customer"))], RESULT)
+    _results_sql(
+        [(_non_negative_label("c_acctbal"), _non_negative_share("c_acctbal", "customer"))], RESULT
+    )
 )
 def non_negative(spark: SparkSession, folder: str) -> DataFrame:
     return _result(table(spark, folder, "customer"), q.non_negative("c_acctbal"))
@@ -196,7 +198,10 @@ def dq_suite_wide(spark: SparkSession, folder: str) -> DataFrame:
 
 
 AVERAGE_METRICS = [
-    ("CompletenessConstraint(Completeness(difficulty,None))", _share("difficulty IS NOT NULL", "a")),
+    (
+        "CompletenessConstraint(Completeness(difficulty,None))",
+        _share("difficulty IS NOT NULL", "a"),
+    ),
     (
         "CompletenessConstraint(Completeness(avg_total_cooking_time,None))",
         _share("avg_total_cooking_time IS NOT NULL", "a"),

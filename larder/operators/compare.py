@@ -177,7 +177,6 @@ def latest_by_key(
     result does not depend on the order of the rows. One shuffle, after each task
     has kept the newest row of its own per key.
     """
-    newest = F.max(F.struct(*version, *columns)).alias("newest")
-    return (
-        df.groupBy(key).agg(newest).select(key, *[F.col(f"newest.{c}") for c in (*version, *columns)])
-    )
+    kept = [*version, *columns]
+    newest = df.groupBy(key).agg(F.max(F.struct(*kept)).alias("newest"))
+    return newest.select(key, *[F.col(f"newest.{c}") for c in kept])

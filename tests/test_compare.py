@@ -14,9 +14,10 @@ def as_dict(df, key):
 def test_reconcile(spark):
     schema = "k string, v bigint"
     source = spark.createDataFrame(
-        [("same", 1), ("same", 2), ("sum", 1), ("count", 1), ("lost", 5), (None, 3), ("null", None)],
+        [("same", 1), ("same", 2), ("sum", 1), ("count", 1), ("lost", 5), (None, 3),
+         ("null", None)],
         schema,
-    )
+    )
     target = spark.createDataFrame(
         [("same", 3), ("same", 0), ("sum", 2), ("count", 1), ("count", 0), ("new", 5), (None, 3),
          ("null", None)],
@@ -64,8 +65,8 @@ def test_reconcile_columns(spark):
         "c": (None, None, None, None, "int", "2", "1", "2", "missing in source"),
     }
     retyped = target.selectExpr("cast(k as bigint) as k", "'c' as a")
-    statuses = as_dict(reconcile_columns(target.select("k", "a"), retyped).select("column", "status"), "column")
-    assert statuses == {"k": ("mismatch",), "a": ("mismatch",)}
+    differing = reconcile_columns(target.select("k", "a"), retyped).select("column", "status")
+    assert as_dict(differing, "column") == {"k": ("mismatch",), "a": ("mismatch",)}
 
 
 def test_snapshot_changes(spark):

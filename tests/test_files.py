@@ -62,7 +62,8 @@ def test_csv_round_trip_is_one_file_with_header(spark, tmp_path):
     files = list((tmp_path / "out").glob("part-*.csv"))
     assert len(files) == 1
     assert files[0].read_text().splitlines()[0] == "difficulty,avg_total_cooking_time"
-    assert sorted(read_files(spark, "CSV", path, RECIPE_AGGREGATE).collect()) == sorted(df.collect())
+    back = read_files(spark, "CSV", path, RECIPE_AGGREGATE)
+    assert sorted(back.collect()) == sorted(df.collect())
 
 
 def test_csv_without_header(spark, tmp_path):

@@ -145,9 +145,8 @@ def test_gate(spark):
 
 def test_hot_value(spark):
     """A value held by a third of all rows is counted like any other."""
-    df = spark.range(30_000).select(
-        F.when(F.col("id") % 3 == 0, F.lit("hot" * 20)).otherwise(F.col("id").cast("string")).alias("v")
-    )
+    value = F.when(F.col("id") % 3 == 0, "hot" * 20).otherwise(F.col("id").cast("string"))
+    df = spark.range(30_000).select(value.alias("v"))
     assert outcome(df, q.unique("v")) == [(2 / 3, "Failure")]
 
 

@@ -74,7 +74,8 @@ def test_null_total(spark, label):
 
 def test_other_buckets(spark):
     df = spark.createDataFrame([(v,) for v in (0.5, 1.0, 1.5, 2.0)], "v double")
-    label = recipes.bucket_label(F.col("v"), [("low", None, 1), ("mid", 1, 1.5), ("top", 1.5, None)])
+    buckets = [("low", None, 1), ("mid", 1, 1.5), ("top", 1.5, None)]
+    label = recipes.bucket_label(F.col("v"), buckets)
     assert [r[0] for r in df.select(label).collect()] == ["low", "mid", "mid", "top"]
 
 

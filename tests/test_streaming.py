@@ -7,7 +7,8 @@ from tests.cookbook import AVERAGES, row, rows, write_json
 
 
 def averages(spark, path):
-    return {r["difficulty"]: r["avg_total_cooking_time"] for r in latest_average(spark, path).collect()}
+    result = latest_average(spark, path)
+    return {r["difficulty"]: r["avg_total_cooking_time"] for r in result.collect()}
 
 
 def test_average_over_batches_and_runs(spark, tmp_path):
