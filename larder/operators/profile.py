@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from operator import and_
+from operator import add, and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,22 +22,29 @@ _STEPS = 64
 _BINS = 65536
 # Above the step of any finite double, whose exponents lie within -1,074 and 1,024.
 _LARGEST_STEP = 1100 * _STEPS
-# Up to so many groups are sent to every task when rows are matched to their
-# group's bin: a few numbers each, some ten megabytes at most.
-_BROADCAST_GROUPS = 100_000
-# Group columns made here.
-_NEVER_NULL = ("place", "salt")
+# When rows are matched to their group's range, the table of ranges goes to every
+# task up to this size, measured before: the group's columns as text and a few
+# numbers per group.
+_BROADCAST_BYTES = 16 * 2**20
+_RANGE_BYTES = 64
 # Beyond that rows are shuffled, those of one group over so many partitions.
 _SALTS = 64
+# Group columns made here.
+_NEVER_NULL = ("place", "salt")
+
 
+def _values(df: DataFrame, columns: Mapping[int, str], by: Mapping[str, str]) -> DataFrame:
+    """One row ``keys, place, value`` per row and profiled column.
 
-def _values(df: DataFrame, columns: Mapping[int, str], by: Sequence[str]) -> DataFrame:
-    """One row ``by, place, value`` per row and profiled column, given by its place."""
+    ``columns`` gives the columns by place, ``by`` the grouping columns by the
+    key that stands for each of them here, whatever their own names are.
+    """
+    keys = [F.col(f"`{name}`").alias(key) for key, name in by.items()]
     pairs = [
         F.struct(F.lit(place).alias("place"), F.col(f"`{name}`").cast("double").alias("value"))
         for place, name in columns.items()
     ]
-    return df.select(*by, F.inline(F.array(*pairs)))
+    return df.select(*keys, F.inline(F.array(*pairs)))
 
 
 def _magnitude_bin(value: Column) -> Column:
@@ -99,10 +106,10 @@ def _match(left: DataFrame, right: DataFrame, group: Sequence[str], how: str) ->
 
 
 def _matched(
-    values: DataFrame, wanted: DataFrame, group: Sequence[str], groups: int
+    values: DataFrame, wanted: DataFrame, group: Sequence[str], size: int
 ) -> DataFrame:
     """Values with their group's range and ranks, as ``value, n`` and the range's columns."""
-    if groups <= _BROADCAST_GROUPS:
+    if size <= _BROADCAST_BYTES:
         weighted = values.withColumn("n", F.lit(1).cast("bigint"))
         return _match(weighted, F.broadcast(wanted), group, "inner")
     # Equal values are counted first and the salt is taken from the value, so
@@ -116,12 +123,12 @@ def _matched(
     return _match(weighted, wanted.select("*", salts), [*group, "salt"], "inner")
 
 
-def _refine(values: DataFrame, state: DataFrame, group: Sequence[str], groups: int) -> DataFrame:
+def _refine(values: DataFrame, state: DataFrame, group: Sequence[str], size: int) -> DataFrame:
     """Split the range of each group not done yet into finer bins and narrow again."""
     wanted = state.where(~F.col("done")).drop("done")
     share = (F.col("value") - F.col("lo")) / (F.col("hi") - F.col("lo"))
     bins = (
-        _matched(values, wanted, group, groups)
+        _matched(values, wanted, group, size)
         .where(F.col("value").between(F.col("lo"), F.col("hi")))
         .groupBy(*group, F.floor(share * _BINS).alias("bin"))
         .agg(
@@ -135,10 +142,15 @@ def _refine(values: DataFrame, state: DataFrame, group: Sequence[str], groups: i
     return state.where(F.col("done")).unionByName(_narrow(bins, group))
 
 
-def _open_groups(state: DataFrame) -> dict[int, int]:
-    """How many groups are not done yet, by column: one number per profiled column at most."""
-    counts = state.where(~F.col("done")).groupBy("place").count().collect()
-    return {row["place"]: row["count"] for row in counts}
+def _open_ranges(state: DataFrame, group: Sequence[str]) -> dict[int, int]:
+    """Bytes of the ranges not found yet, by column: one number per profiled column at most."""
+    text = [F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0)) for name in group]
+    sizes = (
+        state.where(~F.col("done"))
+        .groupBy("place")
+        .agg(F.sum(reduce(add, text) + _RANGE_BYTES).alias("size"))
+    )
+    return {row["place"]: row["size"] for row in sizes.collect()}
 
 
 def column_profile(
@@ -151,10 +163,15 @@ def column_profile(
     Otherwise it is one lazy pass, and the median is approximate.
     """
     numbered = dict(enumerate(columns))
+    keys = {f"__key{i}": name for i, name in enumerate(by)}
+    group = [*keys, "place"]
     names = F.array(*[F.lit(name) for name in columns])
-    column = F.element_at(names, F.col("place") + 1).alias("column")
-    group = [*by, "place"]
-    values = _values(df, numbered, by)
+    result = [
+        *[F.col(key).alias(name) for key, name in keys.items()],
+        F.element_at(names, F.col("place") + 1).alias("column"),
+        *[F.col(measure) for measure in ("n", "mean", "median", "min", "max")],
+    ]
+    values = _values(df, numbered, keys)
     if not exact_median:
         return (
             values.groupBy(*group)
@@ -165,7 +182,7 @@ def column_profile(
                 F.min("value").alias("min"),
                 F.max("value").alias("max"),
             )
-            .select(*by, column, "n", "mean", "median", "min", "max")
+            .select(*result)
         )
 
     checkpoint_ready(df.sparkSession)
@@ -187,11 +204,10 @@ def column_profile(
         }
     )
     state = _narrow(ranked, group).checkpoint()
-    while open_groups := _open_groups(state):
+    while open_ranges := _open_ranges(state, group):
         # Only the columns still wanted are read again.
-        wanted = {place: numbered[place] for place in open_groups}
-        groups = sum(open_groups.values())
-        state = _refine(_values(df, wanted, by), state, group, groups).checkpoint()
+        wanted = _values(df, {place: numbered[place] for place in open_ranges}, keys)
+        state = _refine(wanted, state, group, sum(open_ranges.values())).checkpoint()
 
     summary = bins.groupBy(*group).agg(
         F.sum("n").alias("n"),
@@ -200,6 +216,4 @@ def column_profile(
         F.max("hi").alias("max"),
     )
     medians = state.select(*group, (F.col("lo") * 0.5 + F.col("hi") * 0.5).alias("median"))
-    return _match(summary, medians, group, "left").select(
-        *by, column, "n", "mean", "median", "min", "max"
-    )
+    return _match(summary, medians, group, "left").select(*result)

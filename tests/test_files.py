@@ -1,4 +1,5 @@
 import datetime as dt
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from larder.sources import (
     read_landed,
     write_files,
 )
+from larder.sources.workspace import shared_folder
 from tests.cookbook import DISHES, row, rows, write_json
 
 
@@ -166,6 +168,19 @@ def test_further_reasons(spark):
     assert {r["id"]: r["reason"] for r in tagged.collect()} == {1: "negative n", 2: None}
 
 
+def session_without_folder(master):
+    context = SimpleNamespace(master=master, getCheckpointDir=lambda: None)
+    return SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default: default), sparkContext=context
+    )
+
+
+@pytest.mark.parametrize("master", ["yarn", "spark://head:7077", "k8s://host"])
+def test_a_cluster_must_name_its_shared_folder(master):
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(session_without_folder(master))
+
+
 def test_folders_lie_in_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     one, two = fresh_folder(spark, "x"), fresh_folder(spark, "x")

@@ -54,7 +54,7 @@ def test_against_brute_force(spark):
 
 
 def test_without_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(profile, "_BROADCAST_GROUPS", 0)
+    monkeypatch.setattr(profile, "_BROADCAST_BYTES", 0)
     r = random.Random(5)
     check(spark, {f"g{i}": [r.gauss(i, i + 1) for _ in range(101 + i)] for i in range(12)})
 
@@ -89,3 +89,25 @@ def test_approximate(spark):
     row = column_profile(df, ["id"], exact_median=False).first()
     assert (row["n"], row["mean"], row["min"], row["max"]) == (1001, 501.0, 1.0, 1001.0)
     assert abs(row["median"] - 501) <= 1
+
+
+def test_any_group_names(spark):
+    df = spark.createDataFrame(
+        [("x", 1, 3.0), ("x", 1, 5.0), (None, 1, 2.5), ("x", None, 9.0)],
+        "n string, value int, `a b` double",
+    )
+    got = column_profile(df, ["a b"], ["n", "value"])
+    assert got.columns == ["n", "value", "column", "n", "mean", "median", "min", "max"]
+    assert sorted((tuple(r) for r in got.collect()), key=str) == [
+        ("x", 1, "a b", 2, 4.0, 4.0, 3.0, 5.0),
+        ("x", None, "a b", 1, 9.0, 9.0, 9.0, 9.0),
+        (None, 1, "a b", 1, 2.5, 2.5, 2.5, 2.5),
+    ]
+
+
+def test_size_of_ranges_counts_long_group_names(spark):
+    state = spark.createDataFrame(
+        [("x" * 1000, 0, False), ("y", 0, True), (None, 1, False)],
+        "g string, place int, done boolean",
+    )
+    assert profile._open_ranges(state, ["g", "place"]) == {0: 1065, 1: 65}

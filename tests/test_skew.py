@@ -49,9 +49,9 @@ def test_hot_value_reaches_the_shuffle_as_one_row_per_task(plan, skewed):
     assert text.index("partial_count") < text.index("hashpartitioning")
 
 
-@pytest.mark.parametrize("limit", [0, 100_000])
+@pytest.mark.parametrize("limit", [0, 2**24])
 def test_median_of_hot_group_and_hot_value(monkeypatch, skewed, limit):
-    monkeypatch.setattr("larder.operators.profile._BROADCAST_GROUPS", limit)
+    monkeypatch.setattr("larder.operators.profile._BROADCAST_BYTES", limit)
     group = F.when(F.col("key") == "hot", "hot").otherwise("cold").alias("g")
     got = column_profile(skewed.select(group, "value"), ["value"], ["g"]).collect()
     cold = sorted(i / 7 for i in range(ROWS) if i % 3)
