@@ -27,8 +27,10 @@ _LARGEST_STEP = 1100 * _STEPS
 # numbers per group.
 _BROADCAST_BYTES = 16 * 2**20
 _RANGE_BYTES = 64
-# Beyond that rows are shuffled, those of one group over so many partitions.
-_SALTS = 64
+# Beyond that rows are shuffled, those of one group over so many partitions. A few
+# are enough: the salt keeps the join's partitioning from serving the aggregation
+# behind it, and so leaves adaptive execution free to split what is still too big.
+_SALTS = 8
 # Group columns made here.
 _NEVER_NULL = ("place", "salt")
 

@@ -34,6 +34,18 @@ def test_average_over_batches_and_runs(spark, tmp_path):
     assert averages(spark, results)["hard"] == pytest.approx((140 + 61 + 180) / 3)
 
 
+def test_few_state_partitions_and_settings_left_alone(spark, tmp_path):
+    folder = write_json(tmp_path / "in", rows())
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    stream = stream_files(spark, folder, RECIPE).transform(label_recipes)
+    stream_average(
+        stream, str(tmp_path / "results"), str(tmp_path / "progress"), state_partitions=2
+    )
+    state = [p.name for p in (tmp_path / "progress" / "state" / "0").iterdir()]
+    assert sorted(name for name in state if name.isdigit()) == ["0", "1"]
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
 def test_landing_appends_each_row_once(spark, tmp_path):
     folder = tmp_path / "in"
     write_json(folder, rows()[:6], "a.json")
