@@ -22,6 +22,7 @@ from larder.operators.recipes import (
 from larder.quality import enforce, run_suite, suite_for
 from larder.schemas import RECIPE, RECIPE_AGGREGATE
 from larder.sources import (
+    STATUS_OK,
     preprocess_recipes,
     read_arrival_day,
     read_files,
@@ -41,6 +42,14 @@ def read_recipes(
     return read_json_lines(spark, path, RECIPE)
 
 
+def _write_result(result: DataFrame, path: str, gate: bool) -> None:
+    write_files(result, path, "csv", single_file=True)
+    log.info("wrote %s", path)
+    if gate:
+        written = read_files(result.sparkSession, "csv", path, RECIPE_AGGREGATE)
+        enforce(run_suite(written, suite_for("recipe_aggregate")), "output")
+
+
 def run(
     spark: SparkSession,
     input_path: str,
@@ -64,15 +73,10 @@ def run(
     if quarantine_path:
         bad = recipes.transform(keyword_filter, "ingredients", keyword).transform(quarantined)
         write_files(bad, quarantine_path, "parquet")
-    result = recipes.transform(recipe_difficulty, keyword=keyword)
     target = output_path
     if execution_day is not None:
         target = f"{output_path}/execution_date={execution_day:%Y-%m-%d}"
-    write_files(result, target, "csv", single_file=True)
-    log.info("wrote %s", target)
-    if gate:
-        written = read_files(spark, "csv", target, RECIPE_AGGREGATE)
-        enforce(run_suite(written, suite_for("recipe_aggregate")), "output")
+    _write_result(recipes.transform(recipe_difficulty, keyword=keyword), target, gate)
 
 
 def preprocess(spark: SparkSession, input_path: str, output_path: str) -> None:
@@ -81,23 +85,38 @@ def preprocess(spark: SparkSession, input_path: str, output_path: str) -> None:
 
 
 def run_on_preprocessed(
-    spark: SparkSession, table_path: str, output_path: str, keyword: str = "beef"
+    spark: SparkSession,
+    table_path: str,
+    output_path: str,
+    keyword: str = "beef",
+    gate: bool = False,
 ) -> None:
-    """The same result from the typed parquet layer, where durations are numbers already."""
+    """The same result from the typed parquet layer, where durations are numbers already.
+
+    The gate on the input costs two scans; here they read its columns only,
+    while on raw JSON each of them parses all the text.
+    """
+    recipes = read_files(spark, "parquet", table_path).where(F.col("status") == STATUS_OK)
+    if gate:
+        enforce(run_suite(recipes, suite_for("recipe")), "input")
     result = (
-        read_files(spark, "parquet", table_path)
-        .where(F.col("status") == "ok")
-        .transform(keyword_filter, "ingredients", keyword)
+        recipes.transform(keyword_filter, "ingredients", keyword)
         .transform(add_difficulty)
         .transform(average_by)
     )
-    write_files(result, output_path, "csv", single_file=True)
+    _write_result(result, output_path, gate)
 
 
 def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("--input", required=True)
     parser.add_argument("--output", required=True)
+    parser.add_argument(
+        "--step",
+        choices=("all", "preprocess", "result"),
+        default="all",
+        help="raw to result at once, raw to parquet, or parquet to result",
+    )
     parser.add_argument("--keyword", default="beef")
     parser.add_argument("--execution-day", type=dt.date.fromisoformat)
     parser.add_argument("--quarantine")
@@ -105,15 +124,20 @@ def main(arguments: list[str] | None = None) -> None:
     options = parser.parse_args(arguments)
     logging.basicConfig(level=logging.INFO)
     spark = SparkSession.builder.appName("recipe difficulty").getOrCreate()
-    run(
-        spark,
-        options.input,
-        options.output,
-        options.keyword,
-        options.execution_day,
-        options.quarantine,
-        options.gate,
-    )
+    if options.step == "preprocess":
+        preprocess(spark, options.input, options.output)
+    elif options.step == "result":
+        run_on_preprocessed(spark, options.input, options.output, options.keyword, options.gate)
+    else:
+        run(
+            spark,
+            options.input,
+            options.output,
+            options.keyword,
+            options.execution_day,
+            options.quarantine,
+            options.gate,
+        )
 
 
 if __name__ == "__main__":

@@ -2,6 +2,7 @@
 
 from larder.sources.files import read_files, read_json_lines, write_files
 from larder.sources.landing import (
+    STATUS_OK,
     land_by_partition,
     preprocess_recipes,
     read_arrival_day,
@@ -13,6 +14,7 @@ from larder.sources.landing import (
 from larder.sources.workspace import checkpoint_ready, fresh_folder
 
 __all__ = [
+    "STATUS_OK",
     "checkpoint_ready",
     "fresh_folder",
     "land_by_partition",

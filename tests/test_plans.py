@@ -82,6 +82,15 @@ def test_result_from_the_parquet_layer(spark, tmp_path):
     assert result(spark, out) == AVERAGES
 
 
+def test_two_steps_by_command_line(spark, tmp_path):
+    records = [r for r in rows() if r["ingredients"]] + [row("Odd", "beef", "soon", "PT5M")]
+    folder = write_json(tmp_path / "in", records)
+    landed, out = str(tmp_path / "landed"), str(tmp_path / "out")
+    recipe_job.main(["--step", "preprocess", "--input", folder, "--output", landed])
+    recipe_job.main(["--step", "result", "--input", landed, "--output", out, "--gate"])
+    assert result(spark, out) == AVERAGES
+
+
 @pytest.mark.parametrize("persist", [False, True])
 def test_quality_job(spark, tmp_path, persist):
     folder, out = write_json(tmp_path / "in", rows()), tmp_path / "out"

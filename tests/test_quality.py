@@ -1,4 +1,8 @@
+from collections import Counter
+
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from larder import quality as q
@@ -153,3 +157,23 @@ def test_hot_value(spark):
 def test_odd_column_names(spark):
     df = spark.createDataFrame([("a",), ("b",)], "`my column` string")
     assert outcome(df, q.complete("my column"), q.unique("my column"))[1] == (1.0, "Success")
+
+
+cell = st.none() | st.sampled_from(["", "a", "b", "a" * 31, "a" * 32, "b" * 40, "-1", "é" * 16])
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.tuples(cell, cell), min_size=1, max_size=30))
+def test_shares_against_counting(spark, values):
+    df = spark.createDataFrame(values, "x string, y string").repartition(3)
+    rules = (q.complete("x"), q.unique("x"), q.contained_in("x", ["a", ""]), q.unique("y"))
+    got = [metric for metric, _ in outcome(df, *rules)]
+
+    def once(at):
+        filled = [v[at] for v in values if v[at] is not None]
+        times = Counter(filled)
+        return sum(times[v] == 1 for v in filled) / len(filled) if filled else None
+
+    complete = sum(x is not None for x, _ in values) / len(values)
+    contained = sum(x in (None, "a", "") for x, _ in values) / len(values)
+    assert got == [complete, once(0), contained, once(1)]
