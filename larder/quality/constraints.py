@@ -65,13 +65,13 @@ def unique(column: str) -> Constraint:
 
 
 def contained_in(column: str, values: Sequence[str]) -> Constraint:
-    """The value is one of the given ones, or NULL."""
+    """The value, as text, is one of the given ones, or NULL."""
     quoted = ",".join("'" + value.replace("'", "''") + "'" for value in values)
     return _compliance(
         column,
         CONTAINED_NAME.format(column=column, values=",".join(values)),
         CONTAINED_PREDICATE.format(column=column, quoted=quoted),
-        lambda _: _column(column).isNull() | _column(column).isin(list(values)),
+        lambda _: _column(column).isNull() | _column(column).cast("string").isin(list(values)),
     )
 
 
@@ -120,9 +120,23 @@ def _unless_null(
     )
 
 
+def _number_unless_null(
+    column: str, name: str, predicate: str, condition: Callable[[Column], Column]
+) -> Constraint:
+    """A condition on numbers; text is read as a number, and fails if it is none."""
+
+    def holds(data_type: T.DataType) -> Column:
+        value = _column(column)
+        if isinstance(data_type, T.StringType):
+            value = value.try_cast("double")
+        return _column(column).isNull() | condition(value)
+
+    return _compliance(column, f"{column} {name}", f"`{column}` IS NULL OR {predicate}", holds)
+
+
 def in_range(column: str, lower: float, upper: float) -> Constraint:
     """The value lies between two bounds, both included, or is NULL."""
-    return _unless_null(
+    return _number_unless_null(
         column,
         f"between {lower} and {upper}",
         f"`{column}` BETWEEN {lower} AND {upper}",
@@ -132,7 +146,7 @@ def in_range(column: str, lower: float, upper: float) -> Constraint:
 
 def less_than(column: str, bound: float) -> Constraint:
     """The value is below the bound, or NULL."""
-    return _unless_null(
+    return _number_unless_null(
         column,
         f"less than {bound}",
         f"`{column}` < {bound}",
@@ -142,7 +156,7 @@ def less_than(column: str, bound: float) -> Constraint:
 
 def greater_than(column: str, bound: float) -> Constraint:
     """The value is above the bound, or NULL."""
-    return _unless_null(
+    return _number_unless_null(
         column,
         f"greater than {bound}",
         f"`{column}` > {bound}",

@@ -46,6 +46,9 @@ CASES = [
     (q.is_null("v"), TEXT, ["a", None], 0.5),
     (q.in_range("v", 1, 3), NUMBER, [1, 3, None], 1.0),
     (q.in_range("v", 1, 3), NUMBER, [0, 4, 2, 2], 0.5),
+    (q.in_range("v", 1, 3), TEXT, ["1", "3.0", "many", "4", None], 0.6),
+    (q.greater_than("v", 3), TEXT, ["", "4"], 0.5),
+    (q.contained_in("v", ["1", "2"]), NUMBER, [1, 2, 3, None], 0.75),
     (q.less_than("v", 3), NUMBER, [2, 3], 0.5),
     (q.greater_than("v", 3), NUMBER, [3, 4], 0.5),
     (q.upper_case("v"), TEXT, ["A1", "a", None, "B"], 0.75),
