@@ -1,5 +1,6 @@
 """The plans are the ones wanted, not just the results."""
 
+import datetime as dt
 import re
 
 import pytest
@@ -116,11 +117,16 @@ def test_comparisons_shuffle_once(spark, plan):
         assert "partial_" in text
 
 
-def test_day_read_prunes_partitions(spark, plan, tmp_path):
-    import datetime as dt
-
+def test_day_read_lists_the_days_files_alone(spark, plan, tmp_path):
     path = str(tmp_path / "landed")
     days = spark.range(4).selectExpr("id", "date_add(date'2019-11-28', int(id)) as event_date")
     write_files(days, path, "parquet", partition_by=["event_date"])
-    text = plan(read_days(spark, path, dt.date(2019, 11, 29)))
-    assert re.search(r"PartitionFilters: \[.*event_date.*2019-11-29", text)
+    one = read_days(spark, path, dt.date(2019, 11, 29))
+    assert len(one.inputFiles()) == 1
+    assert "event_date=2019-11-29" in one.inputFiles()[0]
+    two = read_days(spark, path, dt.date(2019, 11, 30), dt.date(2019, 12, 5), schema=days.schema)
+    assert len(two.inputFiles()) == 2
+    assert two.dtypes == one.dtypes == days.dtypes
+    # A condition on the day column still prunes whole folders.
+    later = plan(spark.read.parquet(path).where("event_date > date'2019-11-29'"))
+    assert re.search(r"PartitionFilters: \[.*event_date.*2019-11-29", later)
