@@ -17,7 +17,10 @@ def group_key(df: DataFrame, name: str) -> Column:
     and can never equal a digest, whose length is 32. Other types group by value.
     """
     column = F.col(f"`{name}`")
-    if not isinstance(df.schema[name].dataType, (T.StringType, T.BinaryType)):
+    kind = df.schema[name].dataType
+    # Text under another collation may be equal without having equal bytes.
+    bytewise = isinstance(kind, T.StringType) and kind.collation == "UTF8_BINARY"
+    if not bytewise and not isinstance(kind, T.BinaryType):
         return column
     raw = column.cast("binary")
     return F.when(F.octet_length(column) < _DIGEST_BYTES, raw).otherwise(

@@ -85,6 +85,35 @@ def test_complete_and_unique_on_one_column(spark):
     assert outcome(df.where("y > 9"), *rules) == []
 
 
+def test_uniqueness_follows_the_collation(spark):
+    df = frame(spark, ["Beef", "beef", "peas"], TEXT)
+    assert outcome(df, q.unique("v"))[0][0] == 1.0
+    folded = df.select(F.collate("v", "UTF8_LCASE").alias("v"))
+    assert outcome(folded, q.unique("v"), q.complete("v")) == [
+        (1 / 3, "Failure"),
+        (1.0, "Success"),
+    ]
+
+
+@pytest.mark.parametrize(
+    ("kind", "values", "metric"),
+    [
+        ("binary", [b"a", b"a" * 50, b"a" * 50], 1 / 3),
+        ("date", ["2013-01-14", "2013-01-14", None], 0.0),
+        ("timestamp", ["2013-01-14 10:00:00", "2013-01-14 10:00:01", None], 1.0),
+        ("boolean", ["true", "false", "true"], 1 / 3),
+        ("decimal(9,2)", ["1.10", "1.1", "2"], 1 / 3),
+        ("array<int>", [[1], [1, 2], [1]], 1 / 3),
+    ],
+)
+def test_uniqueness_of_other_types(spark, kind, values, metric):
+    if isinstance(values[0], str):
+        df = frame(spark, values, TEXT).selectExpr(f"cast(v as {kind}) as v")
+    else:
+        df = frame(spark, values, f"v {kind}")
+    assert outcome(df, q.unique("v"))[0][0] == metric
+
+
 def test_labels():
     assert q.complete("name").label == "CompletenessConstraint(Completeness(name,None))"
     assert q.unique("url").label == "UniquenessConstraint(Uniqueness(List(url),None))"

@@ -34,6 +34,30 @@ def test_average_over_batches_and_runs(spark, tmp_path):
     assert averages(spark, results)["hard"] == pytest.approx((140 + 61 + 180) / 3)
 
 
+def test_batch_run_again_after_a_failure(spark, tmp_path):
+    """A run that dies between writing a batch and noting it done repeats that batch."""
+    folder = tmp_path / "in"
+    for i, record in enumerate(rows()):
+        write_json(folder, [record], f"{i}.json")
+    results, progress = str(tmp_path / "results"), tmp_path / "progress"
+    landed, landing = str(tmp_path / "landed"), tmp_path / "landing"
+
+    def run():
+        stream = stream_files(spark, str(folder), RECIPE, files_per_batch=4)
+        stream_average(stream.transform(label_recipes), results, str(progress))
+        stream = stream_files(spark, str(folder), RECIPE, files_per_batch=4)
+        stream_to_partitions(stream, landed, str(landing), ["datePublished"])
+
+    run()
+    for noted in (progress, landing):
+        (noted / "commits" / "2").unlink()
+        (noted / "commits" / ".2.crc").unlink(missing_ok=True)
+    run()
+    assert (progress / "commits" / "2").exists()
+    assert averages(spark, results) == AVERAGES
+    assert spark.read.parquet(landed).count() == len(rows())
+
+
 def test_few_state_partitions_and_settings_left_alone(spark, tmp_path):
     folder = write_json(tmp_path / "in", rows())
     before = spark.conf.get("spark.sql.shuffle.partitions")
