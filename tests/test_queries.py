@@ -6,7 +6,8 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from larder.bindings import ORACLE_SQL, QUERIES
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -30,10 +31,10 @@ def ordered(names, rows):
     return sorted(tuple(normal(row[i]) for i in at) for row in rows)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, database, name):
-    df = queries()[name](spark, FOLDER)
-    cursor = database.execute(oracle_sql()[name])
+    df = QUERIES[name](spark, FOLDER)
+    cursor = database.execute(ORACLE_SQL[name])
     names = [column[0] for column in cursor.description]
     expected = cursor.fetchall()
     assert sorted(df.columns) == sorted(names)
