@@ -78,9 +78,9 @@ def write_store(
 ) -> None:
     """Encode every whole text and write the store ``folder/blocks`` and ``folder/dictionary``.
 
-    The dictionary is trained on ``sample_rows`` documents at most, those with the
-    smallest hashes whose ids take ``sample_bytes`` at most; every document is encoded
-    and written whatever its length. Texts are shuffled once, into ranges of the key.
+    The dictionary is trained on ``sample_rows`` documents at most, those whose keys
+    have the smallest hashes, without texts of over ``sample_bytes``; every document is
+    encoded and written whatever its length. Texts are shuffled once, into key ranges.
 
     A NULL text has only the end id. NULL keys come first; equal keys are in the order
     of the texts' hashes. Repeated rows are documents of their own. An empty table gives
@@ -90,9 +90,10 @@ def write_store(
     width = width_of(path)
     kind = f"<u{width}"
     slim = df.select(col(key).cast("long").alias("key"), col(text).cast("string").alias("text"))
-    hashed = slim.withColumn("hash", F.xxhash64("key", "text"))
-    drawn = hashed.where(F.octet_length("text") <= sample_bytes).orderBy("hash").limit(sample_rows)
-
+    hashed = F.xxhash64("key")
+    last = slim.select(hashed.alias("hash")).orderBy("hash").limit(sample_rows).agg(F.max("hash")).first()[0]
+    small = F.coalesce(F.octet_length("text"), F.lit(0)) <= sample_bytes
+    drawn = slim.where((hashed <= F.lit(last)) & small).limit(sample_rows)
     encode = _serializer(path, end, kind)
     samples = [bytes(row["ids"]) for row in drawn.select("key", "text").mapInArrow(encode, "ids binary").collect()]
     dictionary = train_dictionary(samples, dictionary_size)

@@ -11,12 +11,12 @@ from __future__ import annotations
 import os
 import re
 from array import array
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 
 #: Distinct pieces kept by a Python worker before it starts anew; bounds its memory.
-CACHED_PIECES = 700_000
+CACHED_PIECES = 800_000
 
 #: White space that is neither a blank nor a line end.
 OTHER_SPACE = re.compile(r"[^\S \n]")
@@ -25,9 +25,12 @@ SAFE_CUT = re.compile(r"(?<=\S)(?= \S)")
 
 
 def evenly_spaced(text: str) -> bool:
-    """Whether every blank stands alone between two visible characters."""
+    """Whether every blank and line end stands alone between two visible characters."""
     return not (
         "  " in text
+        or "\n\n" in text
+        or text[0] == "\n"
+        or text[-1] == "\n"
         or " \n" in text
         or "\n " in text
         or text[0] == " "
@@ -39,14 +42,29 @@ def evenly_spaced(text: str) -> bool:
 #: Letters that are their own composed form and have a lower case of one letter, and
 #: marks that never start a contraction or a special token. A run of either is one
 #: unit of both public tokenizers, and so is a line end before a visible character.
-PLAIN = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[.,;:!?()#*$%&|\"-]+|\n(?=\S)")
+LETTERS, MARKS = "[A-Za-zÀ-ÖØ-öø-ÿ]+", "[.,;:!?()#*$%&|\"-]+"
+PLAIN = re.compile(rf" ?{LETTERS}| ?{MARKS}|\n(?=\S)")
+#: Most pieces: a word, and the marks behind it.
+WORD = re.compile(rf"(\n?)( ?{LETTERS})({MARKS})?")
+
+
+class _Made(dict):
+    """Values made from their keys on first use."""
+
+    def __init__(self, make: Callable[[str], object]) -> None:
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, key: str) -> object:
+        value = self[key] = self.make(key)
+        return value
 
 
 class _Numbers(dict):
     """Piece to running number; unknown pieces get the next one and are kept as new.
 
     Where a blank joins the word after it, a plain key stands for the word with its
-    blank and a tuple of one for the piece as it is.
+    blank; keys that begin with a line end and tuples of one are pieces as they are.
     """
 
     def __init__(self) -> None:
@@ -72,8 +90,9 @@ class TextEncoder:
         from tokenizers.pre_tokenizers import ByteLevel
 
         self.bytes_shown = ByteLevel(add_prefix_space=False, use_regex=False)
-        self.letters: dict[str, str] = {}
+        self.letters = _Made(lambda letter: self.bytes_shown.pre_tokenize_str(letter)[0][0])
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.blank_joins = blank_joins
@@ -85,7 +104,7 @@ class TextEncoder:
         self.starts = np.zeros(1, np.int64)
         self.ids = np.zeros(0, np.uint32)
         self.filled = 0
-        self.units: dict[str, bytes] = {}
+        self.units = _Made(self._unit)
 
     def _unit(self, unit: str) -> bytes:
         """The ids of one plain unit, by the library's model itself."""
@@ -93,12 +112,8 @@ class TextEncoder:
             unit = unit.strip().lower()
             if not unit:
                 return b""
-        letters = self.letters
-        for letter in unit:
-            if letter not in letters:
-                [(letters[letter], _)] = self.bytes_shown.pre_tokenize_str(letter)
-        shown = "".join(map(letters.__getitem__, unit))
-        return array("I", [token.id for token in self.tokenizer.model.tokenize(shown)]).tobytes()
+        shown = "".join(map(self.letters.__getitem__, unit))
+        return array("I", [token.id for token in self.model.tokenize(shown)]).tobytes()
 
     def _whole(self, pieces: list[str]) -> list[bytes]:
         """The ids of pieces that are not made of plain units, by the whole tokenizer."""
@@ -114,17 +129,24 @@ class TextEncoder:
         if not new:
             return
         if self.blank_joins:
-            new = [key[0] if isinstance(key, tuple) else " " + key for key in new]
+            new = [
+                key[0] if isinstance(key, tuple) else key if key[0] == "\n" else " " + key for key in new
+            ]
         units, got, odd = self.units, [], []
         for at, piece in enumerate(new):
+            word = WORD.fullmatch(piece)
+            if word:
+                line, letters, marks = word.groups()
+                ids = units[letters]
+                if marks:
+                    ids += units[marks]
+                got.append(units[line] + ids if line else ids)
+                continue
             parts = PLAIN.findall(piece)
             if sum(map(len, parts)) != len(piece):
                 odd.append(at)
                 got.append(b"")
                 continue
-            for part in parts:
-                if part not in units:
-                    units[part] = self._unit(part)
             got.append(b"".join(map(units.__getitem__, parts)))
         if odd:
             for at, ids in zip(odd, self._whole([new[at] for at in odd]), strict=True):
@@ -153,16 +175,16 @@ class TextEncoder:
                 sizes.append(0)
                 continue
             if not self.blank_joins:
-                pieces = text.split(" ")
+                pieces = text.replace("\n", " ").split(" ")
             elif evenly_spaced(text):
-                pieces = text.split(" ")
+                pieces = text.replace("\n", " \n").split(" ")
                 pieces[0] = (pieces[0],)
             else:
                 pieces = [(piece,) for piece in SAFE_CUT.split(text)]
-            found.extend(map(lookup, pieces))
+            found.append(np.fromiter(map(lookup, pieces), np.int64, len(pieces)))
             sizes.append(len(pieces))
         self._encode_new()
-        at = np.array(found, np.int64)
+        at = np.concatenate(found) if found else np.zeros(0, np.int64)
         starts = self.starts[at]
         lengths = self.starts[at + 1] - starts
         ids = self.ids[ragged(starts, lengths)]
