@@ -94,7 +94,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all token sequences."""
     path = queries.tokenizer_path("byte_bpe_50k.json")
-    return curve_pack.with_digest(curve_pack.packed(docs, path))
+    return curve_pack.packed(docs, path, with_ids=False)
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]

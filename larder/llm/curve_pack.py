@@ -12,6 +12,7 @@ counts, and pieces meet their ids again by the row number.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -77,12 +78,14 @@ def packed(
     end: int = 1,
     length: int = LENGTH,
     seed: int = 5,
+    with_ids: bool = True,
 ) -> DataFrame:
     """One row for each piece of a document in a sequence, with the piece's ids.
 
-    ``key``, ``start`` (the document's ids before the piece), ``length``, ``ids`` (the
-    piece as little-endian unsigned 32-bit numbers), ``doc_tokens``, ``sequence_id``
-    and ``offset`` in the sequence. Each id, the end id included, lies in one piece.
+    ``key``, ``start`` (the document's ids before the piece), ``length``, ``ids_crc32``
+    (the checksum of the piece's ids as little-endian unsigned 32-bit numbers),
+    ``doc_tokens``, ``sequence_id``, ``offset`` in the sequence and, unless only the
+    digest is wanted, ``ids``, those numbers themselves. Each id, the end id included, lies in one piece.
 
     A NULL or empty text has the end id alone and lies at the origin of the space.
     Copies share a key of the curve and lie side by side; ties are ordered by document
@@ -163,28 +166,27 @@ def packed(
         for batch in batches:
             for first in range(0, batch.num_rows, 256):
                 piece = batch.slice(first, 256)
-                out: list[list] = [[] for _ in range(7)]
+                out: list[list] = [[] for _ in PIECE]
                 for name, raw, place in zip(*(c.to_pylist() for c in piece.columns), strict=True):
                     ids = np.frombuffer(raw, kind).astype("<u4")
                     n, at = len(ids), 0
                     while at < n:
                         sequence, offset = divmod(place + at, length)
                         size = min(length - offset, n - at)
-                        row = (name, at, size, ids[at : at + size].tobytes(), n, sequence, offset)
+                        own = ids[at : at + size].tobytes()
+                        row = (name, at, size, zlib.crc32(own), n, sequence, offset, own)
                         for column, value in zip(out, row, strict=True):
                             column.append(value)
                         at += size
-                types = [pa.int64()] * 3 + [pa.binary()] + [pa.int64()] * 3
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(out, types, strict=True)],
-                    ["key", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"],
-                )
-
-    shape = "key long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
+                shown = out if with_ids else out[:-1]
+                arrays = [
+                    pa.array(c, pa.binary() if f == "ids" else pa.int64())
+                    for c, f in zip(shown, PIECE, strict=False)
+                ]
+                yield pa.RecordBatch.from_arrays(arrays, PIECE[: len(shown)])
+
+    shape = ", ".join(f"{f} binary" if f == "ids" else f"{f} long" for f in PIECE if with_ids or f != "ids")
     return both.mapInArrow(cut, shape).withColumnRenamed("key", key)
 
 
-def with_digest(pieces: DataFrame) -> DataFrame:
-    """The pieces with the checksum of their ids in place of the ids."""
-    names = ["ids_crc32" if name == "ids" else name for name in pieces.columns]
-    return pieces.withColumn("ids_crc32", F.crc32("ids")).select(*names)
+PIECE = ["key", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]

@@ -192,4 +192,4 @@ FROM scored QUALIFY rank <= 5
 @query
 def op10_curve_pack(spark: SparkSession, folder: str) -> DataFrame:
     path = tokenizer_path("byte_bpe_50k.json")
-    return curve_pack.with_digest(curve_pack.packed(table(spark, folder, "documents"), path))
+    return curve_pack.packed(table(spark, folder, "documents"), path, with_ids=False)

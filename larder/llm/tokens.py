@@ -15,8 +15,9 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 
-#: Distinct pieces kept by a Python worker before it starts anew; bounds its memory.
-CACHED_PIECES = 800_000
+#: Distinct pieces of a generation. A Python worker keeps the current generation and
+#: the one before, so frequent pieces stay and its memory is bounded.
+CACHED_PIECES = 600_000
 
 #: White space that is neither a blank nor a line end.
 OTHER_SPACE = re.compile(r"[^\S \n]")
@@ -97,9 +98,11 @@ class TextEncoder:
         self.tokenizer.no_padding()
         self.blank_joins = blank_joins
         self.cached = cached
-        self._reset()
+        self._begin()
 
-    def _reset(self) -> None:
+    def _begin(self) -> None:
+        """Begin a generation; pieces met again are copied from the one before."""
+        self.old = getattr(self, "numbers", {}), getattr(self, "starts", None), getattr(self, "ids", None)
         self.numbers = _Numbers()
         self.starts = np.zeros(1, np.int64)
         self.ids = np.zeros(0, np.uint32)
@@ -128,12 +131,16 @@ class TextEncoder:
         new, self.numbers.new = self.numbers.new, []
         if not new:
             return
-        if self.blank_joins:
-            new = [
-                key[0] if isinstance(key, tuple) else key if key[0] == "\n" else " " + key for key in new
-            ]
         units, got, odd = self.units, [], []
-        for at, piece in enumerate(new):
+        old, old_starts, old_ids = self.old
+        for at, key in enumerate(new):
+            before = old.get(key)
+            if before is not None:
+                got.append(old_ids[old_starts[before] : old_starts[before + 1]].tobytes())
+                continue
+            piece = key
+            if self.blank_joins:
+                piece = key[0] if isinstance(key, tuple) else key if key[0] == "\n" else " " + key
             word = WORD.fullmatch(piece)
             if word:
                 line, letters, marks = word.groups()
@@ -144,12 +151,12 @@ class TextEncoder:
                 continue
             parts = PLAIN.findall(piece)
             if sum(map(len, parts)) != len(piece):
-                odd.append(at)
+                odd.append((at, piece))
                 got.append(b"")
                 continue
             got.append(b"".join(map(units.__getitem__, parts)))
         if odd:
-            for at, ids in zip(odd, self._whole([new[at] for at in odd]), strict=True):
+            for (at, _), ids in zip(odd, self._whole([piece for _, piece in odd]), strict=True):
                 got[at] = ids
         first, last = len(self.numbers) - len(new), len(self.numbers)
         if last + 1 > len(self.starts):
@@ -167,7 +174,7 @@ class TextEncoder:
     def encode(self, texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in a row, and the number of ids of each text (NULL: none)."""
         if len(self.numbers) > self.cached:
-            self._reset()
+            self._begin()
         numbers, lookup = self.numbers, self.numbers.__getitem__
         found, sizes = [], []
         for text in texts:
