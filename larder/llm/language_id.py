@@ -20,7 +20,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import by_batches, col, stored
+from larder.llm.common import by_batches, col
+from larder.llm.tokens import chunks
 
 BITS = 6
 CLASSES = 1 << BITS
@@ -28,6 +29,8 @@ THREE = CLASSES**3
 TWO = CLASSES**2
 FEATURES = THREE + TWO + CLASSES
 UNKNOWN = "und"
+#: Characters handled at once; they take some forty bytes each on the way.
+CHUNK = 400_000
 
 _TABLE: np.ndarray | None = None
 
@@ -172,9 +175,10 @@ def document_frequencies(training: DataFrame) -> tuple[np.ndarray, int]:
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 texts = batch.column(0).slice(start, 256).to_pylist()
-                grams, starts, _ = runs(texts)
-                for own in np.split(grams, starts[1:]):
-                    counts[features_of(own)[0]] += 1
+                for a, b in chunks(texts, CHUNK):
+                    grams, starts, _ = runs(texts[a:b])
+                    for own in np.split(grams, starts[1:]):
+                        counts[features_of(own)[0]] += 1
                 n += len(texts)
         at = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays(
@@ -221,8 +225,10 @@ def fit(
     place = F.shiftrightunsigned(F.col("pick"), 11)
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        grams, starts, _ = runs(batch.column(0).to_pylist())
-        made = [features_of(own) for own in np.split(grams, starts[1:])]
+        texts, made = batch.column(0).to_pylist(), []
+        for a, b in chunks(texts, CHUNK):
+            grams, starts, _ = runs(texts[a:b])
+            made.extend(features_of(own) for own in np.split(grams, starts[1:]))
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([at.astype(np.int32).tobytes() for at, _ in made], pa.binary()),
@@ -281,7 +287,9 @@ def identify(
         if model is None:
             names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
         else:
-            margins, lettered = model.margins(texts)
+            parts = [model.margins(texts[a:b]) for a, b in chunks(texts, CHUNK)]
+            margins = np.concatenate([m for m, _ in parts])
+            lettered = np.concatenate([has for _, has in parts])
             p = softmax(margins / model.temperature)
             best = p.argmax(1)
             names = [model.languages[b] if ok else UNKNOWN for b, ok in zip(best, lettered, strict=True)]

@@ -17,10 +17,11 @@ import numpy as np
 
 #: Distinct pieces of a generation. A Python worker keeps the current generation and
 #: the one before, so frequent pieces stay and its memory is bounded.
-CACHED_PIECES = 600_000
+CACHED_PIECES = 800_000
 
-#: White space that is neither a blank nor a line end.
-OTHER_SPACE = re.compile(r"[^\S \n]")
+#: White space that is neither a blank nor a line end; looking for one after the other
+#: is faster than a pattern that looks for all.
+OTHER_SPACE = [chr(i) for i in range(0x3001) if chr(i).isspace() and chr(i) not in " \n"]
 #: Blanks between two visible characters: no token reaches across from before them.
 SAFE_CUT = re.compile(r"(?<=\S)(?= \S)")
 
@@ -36,7 +37,7 @@ def evenly_spaced(text: str) -> bool:
         or "\n " in text
         or text[0] == " "
         or text[-1] == " "
-        or OTHER_SPACE.search(text)
+        or any(map(text.__contains__, OTHER_SPACE))
     )
 
 
