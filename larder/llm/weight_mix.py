@@ -177,15 +177,17 @@ def mixed(
         used[rest] = rest_weight * (sum(used.values()) or 1.0)
     counts = cycle_counts(used, cycle)
     n = sum(counts.values())
-    schedule = cycle_schedule(spark, counts) if counts else None
-    if schedule is None:
-        schedule = spark.createDataFrame([], "mix_source string, turn long, cycle_slot long")
     # The slots until every source has had all its blocks once.
     needed = max((-(-blocks[s] * n // c) for s, c in counts.items()), default=0)
-    info = spark.createDataFrame(
-        [(s, c, blocks[s], max(needed * c // n, blocks[s]) if repeat else blocks[s]) for s, c in counts.items()],
-        "name string, share long, blocks long, turns long",
-    )
+    if not counts:
+        none = table.select("row.*", F.col("name").alias("mix_source"), F.col("block").alias("mix_block"))
+        return none.select("*", *[F.lit(0).cast("long").alias(c) for c in ADDED[2:]])
+    shares = F.create_map(*[F.lit(x) for s, c in counts.items() for x in (s, c)])
+    info = table.groupBy("name").agg((F.max("block") + 1).alias("blocks"))
+    info = info.withColumn("share", F.element_at(shares, F.col("name")).cast("long"))
+    all_turns = F.greatest(F.floor(F.lit(needed) * F.col("share") / n).cast("long"), F.col("blocks"))
+    info = info.withColumn("turns", all_turns if repeat else F.col("blocks"))
+    schedule = cycle_schedule(spark, counts)
     turned = table.join(F.broadcast(info), "name")
     epochs = F.sequence(F.lit(0).cast("long"), F.floor((F.col("turns") - 1 - F.col("block")) / F.col("blocks")))
     turned = turned.withColumn("mix_epoch", F.explode(epochs))
