@@ -246,7 +246,7 @@ def _more(column: str, name: str, predicate: str) -> str:
 MORE_METRICS = [
     (
         "ComplianceConstraint(Compliance(never is null,`never` IS NULL,None))",
-        _share("p_size < 0 OR TRUE", "part"),
+        _share("p_size > 25", "part"),
     ),
     ("CompletenessConstraint(Completeness(p_name,None))", _share("p_name IS NOT NULL", "part")),
     (
@@ -285,7 +285,7 @@ MORE_METRICS = [
 def dq_more_checks(spark: SparkSession, folder: str) -> DataFrame:
     economy = F.when(F.col("p_type") == "ECONOMY", " ").otherwise("")
     part = table(spark, folder, "part").withColumns(
-        {"never": F.nullif("p_name", F.col("p_name")), "padded": F.concat("p_type", economy)}
+        {"never": F.when(F.col("p_size") <= 25, F.col("p_name")), "padded": F.concat("p_type", economy)}
     )
     return _result(
         part,

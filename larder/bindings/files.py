@@ -105,9 +105,10 @@ def execution_day_read(spark: SparkSession, folder: str) -> DataFrame:
 def arrival_day_read(spark: SparkSession, folder: str) -> DataFrame:
     """Raw files in ``yyyy/MM/dd`` folders, one day of them read."""
     events = table(spark, folder, "events").select("event_id", "user_id", "event_type", "ts")
-    arrived = events.where(F.to_date("ts") == F.lit(DAY)).drop("ts")
-    root = fresh_folder(spark, "arrivals")
-    write_files(arrived, f"{root}/{DAY:%Y/%m/%d}", "json")
+    arrived, root = events.drop("ts"), fresh_folder(spark, "arrivals")
+    days = events.withColumn("day", F.to_date("ts"))
+    for day in [r["day"] for r in days.select("day").distinct().collect()]:
+        write_files(days.where(F.col("day") == day).drop("ts", "day"), f"{root}/{day:%Y/%m/%d}", "json")
     return read_arrival_day(spark, root, DAY, arrived.schema)
 
 
@@ -135,12 +136,26 @@ PREPROCESSED = (
 
 @query(PREPROCESSED_SQL)
 def preprocess_parquet(spark: SparkSession, folder: str) -> DataFrame:
-    """Raw recipes persisted as typed parquet by status and year, read back."""
+    """Raw recipes persisted as typed parquet by execution day, read back."""
     path = fresh_folder(spark, "preprocessed")
     preprocess_recipes(event_recipe_rows(spark, folder), path)
     return read_landed(spark, path).select(*PREPROCESSED)
 
 
+@query(f"{PREPROCESSED_SQL} WHERE event_id % 2 = 0 UNION ALL {PREPROCESSED_SQL} WHERE event_id % 2 = 1")
+def preprocess_two_days(spark: SparkSession, folder: str) -> DataFrame:
+    """Two days' loads into one layer, the second of them twice: every row is there once."""
+    path = fresh_folder(spark, "preprocessed")
+    rows = event_recipe_rows(spark, folder)
+    number = F.substring_index("url", "/", -1).cast("long")
+    preprocess_recipes(rows.where(number % 2 == 0), path, DAY)
+    later = rows.where(number % 2 == 1)
+    spoilt = later.withColumn("cookTime", F.lit("spoilt"))
+    for load in (spoilt, later):
+        preprocess_recipes(load, path, DAY + dt.timedelta(days=1))
+    return read_landed(spark, path).select(*PREPROCESSED)
+
+
 @query(
     average_sql(TOTAL, "events WHERE event_type LIKE '%c%' AND event_type NOT IN ('error', 'view')")
 )

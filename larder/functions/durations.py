@@ -25,12 +25,13 @@ UNITS = (
     ("S", 1, "MHT"),
 )
 
-# Nine digits before the point keep every sum below in the range that a double
-# holds exactly.
+# Nine digits before the point keep whole numbers in the range that a double holds
+# exactly; with a fraction, days from about half a million on can be a second short.
+# Longer numbers count as malformed.
 _NUMBER = r"[0-9]{1,9}+(?:[.,][0-9]{1,9}+)?+"
 PATTERN = (
     f"^P(?=[0-9T])(?:{_NUMBER}W)?(?:{_NUMBER}D)?"
-    f"(?:T(?:{_NUMBER}H)?(?:{_NUMBER}M)?(?:{_NUMBER}S)?)?$"
+    f"(?:T(?:{_NUMBER}H)?(?:{_NUMBER}M)?(?:{_NUMBER}S)?)?\\z"
 )
 
 # Half a microsecond. Parts finer than a microsecond are rounded, so a sum that

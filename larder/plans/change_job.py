@@ -19,16 +19,17 @@ from larder.sources import read_json_lines, write_files
 log = logging.getLogger(__name__)
 
 KEY = "url"
+VERSION = "datePublished"
 TRACKED = ("name", "total_cook_time", "difficulty")
 
 
 def recipe_state(recipes: DataFrame) -> DataFrame:
-    """What is tracked of each recipe: its name, total time and difficulty."""
+    """What is tracked of each recipe: name, total time and difficulty, and its date."""
     return (
         recipes.transform(add_minutes)
         .transform(add_total)
         .transform(add_difficulty)
-        .select(KEY, *TRACKED)
+        .select(KEY, VERSION, *TRACKED)
     )
 
 
@@ -37,7 +38,7 @@ def run(spark: SparkSession, before_path: str, after_path: str, output_path: str
     before, after = (
         recipe_state(read_json_lines(spark, path, RECIPE)) for path in (before_path, after_path)
     )
-    write_files(snapshot_changes(before, after, KEY, TRACKED), output_path, "parquet")
+    write_files(snapshot_changes(before, after, KEY, TRACKED, [VERSION]), output_path, "parquet")
     log.info("wrote %s", output_path)
 
 

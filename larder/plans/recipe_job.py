@@ -20,7 +20,7 @@ from larder.operators.recipes import (
     recipe_difficulty,
 )
 from larder.quality import enforce, run_suite, suite_for
-from larder.schemas import RECIPE, RECIPE_AGGREGATE
+from larder.schemas import CORRUPT_COLUMN, RECIPE, RECIPE_AGGREGATE
 from larder.sources import (
     STATUS_OK,
     preprocess_recipes,
@@ -29,6 +29,8 @@ from larder.sources import (
     read_json_lines,
     write_files,
 )
+from larder.sources.landing import EXECUTION_DAY
+from larder.sources.workspace import fresh_folder
 
 log = logging.getLogger(__name__)
 
@@ -38,16 +40,19 @@ def read_recipes(
 ) -> DataFrame:
     """All raw recipes under a path, or those that arrived on one day."""
     if execution_day is not None:
-        return read_arrival_day(spark, path, execution_day, RECIPE)
-    return read_json_lines(spark, path, RECIPE)
+        return read_arrival_day(spark, path, execution_day, RECIPE, keep_corrupt=True)
+    return read_json_lines(spark, path, RECIPE, keep_corrupt=True)
 
 
 def _write_result(result: DataFrame, path: str, gate: bool) -> None:
+    """Write the few rows of the result; with the gate only after they passed it."""
+    if gate:
+        staged = fresh_folder(result.sparkSession, "staged")
+        write_files(result, staged, "csv", single_file=True)
+        result = read_files(result.sparkSession, "csv", staged, RECIPE_AGGREGATE)
+        enforce(run_suite(result, suite_for("recipe_aggregate")), "output")
     write_files(result, path, "csv", single_file=True)
     log.info("wrote %s", path)
-    if gate:
-        written = read_files(result.sparkSession, "csv", path, RECIPE_AGGREGATE)
-        enforce(run_suite(written, suite_for("recipe_aggregate")), "output")
 
 
 def run(
@@ -63,15 +68,18 @@ def run(
 
     With an execution day only that day's arrivals are read, and the result
     goes to that day's folder, so that earlier results stay. ``gate`` checks the
-    input before the load and the written result after it, and raises if a
-    constraint fails. ``quarantine_path`` receives the rows with the keyword
-    whose durations cannot be used, with the reason.
+    input before the load and the result before it is published, and raises if a
+    constraint fails or there is nothing to check. ``quarantine_path`` receives the
+    lines that are no JSON, with their text, and the rows with the keyword whose
+    durations cannot be used, with the reason.
     """
     recipes = read_recipes(spark, input_path, execution_day)
     if gate:
         enforce(run_suite(recipes, suite_for("recipe")), "input")
     if quarantine_path:
-        bad = recipes.transform(keyword_filter, "ingredients", keyword).transform(quarantined)
+        corrupt = F.col(CORRUPT_COLUMN).isNotNull()
+        chosen = recipes.where(~corrupt).transform(keyword_filter, "ingredients", keyword)
+        bad = chosen.unionByName(recipes.where(corrupt)).transform(quarantined)
         write_files(bad, quarantine_path, "parquet")
     target = output_path
     if execution_day is not None:
@@ -79,9 +87,14 @@ def run(
     _write_result(recipes.transform(recipe_difficulty, keyword=keyword), target, gate)
 
 
-def preprocess(spark: SparkSession, input_path: str, output_path: str) -> None:
-    """Turn raw recipes into the typed parquet layer that later jobs read."""
-    preprocess_recipes(read_json_lines(spark, input_path, RECIPE, keep_corrupt=True), output_path)
+def preprocess(
+    spark: SparkSession,
+    input_path: str,
+    output_path: str,
+    execution_day: dt.date | None = None,
+) -> None:
+    """Turn raw recipes, or one day's arrivals, into the typed layer that later jobs read."""
+    preprocess_recipes(read_recipes(spark, input_path, execution_day), output_path, execution_day)
 
 
 def run_on_preprocessed(
@@ -90,15 +103,21 @@ def run_on_preprocessed(
     output_path: str,
     keyword: str = "beef",
     gate: bool = False,
+    execution_day: dt.date | None = None,
 ) -> None:
     """The same result from the typed parquet layer, where durations are numbers already.
 
-    The gate on the input costs two scans; here they read its columns only,
-    while on raw JSON each of them parses all the text.
+    With an execution day only that day's load counts. The gate checks the whole
+    layer, quarantined rows included. It costs two scans; here they read its columns
+    only, while on raw JSON each of them parses all the text.
     """
-    recipes = read_files(spark, "parquet", table_path).where(F.col("status") == STATUS_OK)
+    layer = read_files(spark, "parquet", table_path)
+    if execution_day is not None:
+        layer = layer.where(F.col(EXECUTION_DAY) == F.lit(execution_day))
+        output_path = f"{output_path}/execution_date={execution_day:%Y-%m-%d}"
     if gate:
-        enforce(run_suite(recipes, suite_for("recipe")), "input")
+        enforce(run_suite(layer, suite_for("recipe")), "input")
+    recipes = layer.where(F.col("status") == STATUS_OK)
     result = (
         recipes.transform(keyword_filter, "ingredients", keyword)
         .transform(add_difficulty)
@@ -122,12 +141,23 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--quarantine")
     parser.add_argument("--gate", action="store_true")
     options = parser.parse_args(arguments)
+    if options.quarantine and options.step != "all":
+        parser.error("--quarantine belongs to --step all; the layer keeps the bad rows itself")
+    if options.gate and options.step == "preprocess":
+        parser.error("--gate belongs to --step all or result")
     logging.basicConfig(level=logging.INFO)
     spark = SparkSession.builder.appName("recipe difficulty").getOrCreate()
     if options.step == "preprocess":
-        preprocess(spark, options.input, options.output)
+        preprocess(spark, options.input, options.output, options.execution_day)
     elif options.step == "result":
-        run_on_preprocessed(spark, options.input, options.output, options.keyword, options.gate)
+        run_on_preprocessed(
+            spark,
+            options.input,
+            options.output,
+            options.keyword,
+            options.gate,
+            options.execution_day,
+        )
     else:
         run(
             spark,

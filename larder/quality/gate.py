@@ -32,13 +32,15 @@ def verdict(df: DataFrame, suite: Suite, stage: str) -> DataFrame:
     )
 
 
-def enforce(results: DataFrame, stage: str) -> None:
-    """Raise if any constraint failed.
+def enforce(results: DataFrame, stage: str, allow_empty: bool = False) -> None:
+    """Raise if any constraint failed, or if there was no row to check.
 
-    Brings the failed labels to the driver: at most one per constraint of the
+    Brings the labels to the driver: one per constraint of the
     suite, whatever the size of the data.
     """
-    failed = results.where(F.col("constraint_status") == "Failure").orderBy("ordinal")
-    labels = [row["constraint"] for row in failed.select("constraint").collect()]
+    checked = results.orderBy("ordinal").select("constraint", "constraint_status").collect()
+    if not checked and not allow_empty:
+        raise QualityGateError(stage, ["no rows to check"])
+    labels = [row["constraint"] for row in checked if row["constraint_status"] == "Failure"]
     if labels:
         raise QualityGateError(stage, labels)

@@ -12,10 +12,11 @@ from pyspark.sql import types as T
 
 from larder.functions import duration_minutes
 from larder.operators.quarantine import tag_reason
-from larder.sources.files import read_files
+from larder.sources.files import read_files, read_json_lines
 
 STATUS_OK = "ok"
 STATUS_QUARANTINED = "quarantined"
+EXECUTION_DAY = "execution_date"
 
 
 def rebalanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
@@ -86,9 +87,16 @@ def read_arrival_day(
     day: dt.date,
     schema: T.StructType,
     file_format: str = "json",
+    keep_corrupt: bool = False,
 ) -> DataFrame:
-    """Raw files of one arrival day, laid out as ``root/yyyy/MM/dd``."""
-    return read_files(spark, file_format, f"{root}/{day:%Y/%m/%d}", schema)
+    """Raw files of one arrival day, laid out as ``root/yyyy/MM/dd``.
+
+    ``keep_corrupt`` keeps the text of JSON lines that cannot be parsed.
+    """
+    path = f"{root}/{day:%Y/%m/%d}"
+    if file_format == "json":
+        return read_json_lines(spark, path, schema, keep_corrupt=keep_corrupt)
+    return read_files(spark, file_format, path, schema)
 
 
 # Text columns whose outer blanks carry no meaning.
@@ -111,10 +119,15 @@ def type_recipes(recipes: DataFrame) -> DataFrame:
     )
 
 
-def preprocess_recipes(recipes: DataFrame, path: str) -> None:
-    """Persist raw recipes as typed parquet by status and year of publication.
+def preprocess_recipes(recipes: DataFrame, path: str, day: dt.date | None = None) -> None:
+    """Persist raw recipes as typed parquet by execution day, good and bad rows together.
 
-    Good and bad rows go out in the same pass as two partitions of one table, so
-    the raw text is parsed once however many jobs read the result.
+    A load replaces the rows of its own day and no others, so loading a day again
+    after rows were mended leaves no stale row, and later days keep earlier ones. Loads
+    without a day share one partition, which each of them replaces. The status is an
+    ordinary column, and the raw text is parsed once however many jobs read the result.
     """
-    land_by_partition(type_recipes(recipes), path, ["status", "published_year"])
+    if recipes.isEmpty():
+        raise ValueError("the load has no rows; the layer is left as it is")
+    dated = type_recipes(recipes).withColumn(EXECUTION_DAY, F.lit(day).cast("date"))
+    land_by_partition(dated, path, [EXECUTION_DAY])

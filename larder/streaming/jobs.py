@@ -11,11 +11,13 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from larder.schemas import RECIPE_AGGREGATE
 from larder.operators.recipes import average_by
 from larder.sources.landing import rebalanced
 
@@ -82,10 +84,16 @@ def stream_to_partitions(
     return _finished(_start(writer, checkpoint, interval), interval)
 
 
+#: Folders that hold the results of the last batches; older ones are overwritten.
+KEPT_RESULTS = 4
+
+
 def _write_batch(path: str) -> Callable[[DataFrame, int], None]:
     def write(result: DataFrame, batch: int) -> None:
-        # A batch run again after a failure overwrites its own folder.
-        result.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+        # A batch run again after a failure overwrites its own folder; a later one
+        # overwrites that of the batch ``KEPT_RESULTS`` before it.
+        numbered = result.withColumn("batch", F.lit(batch).cast("long"))
+        numbered.write.mode("overwrite").parquet(f"{path}/slot={batch % KEPT_RESULTS}")
 
     return write
 
@@ -119,8 +127,13 @@ def stream_average(
 
 
 def latest_average(spark: SparkSession, path: str) -> DataFrame:
-    """The result after the last batch."""
-    results = spark.read.parquet(path)
-    # One number: the greatest of the folder names.
+    """The result after the last batch; no rows before the first one."""
+    try:
+        results = spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], RECIPE_AGGREGATE)
+    # One number, out of a fixed number of small folders.
     last = results.agg(F.max("batch")).first()[0]
-    return results.where(F.col("batch") == last).drop("batch")
+    return results.where(F.col("batch") == last).drop("batch", "slot")

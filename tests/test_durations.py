@@ -124,3 +124,10 @@ def test_ansi_never_raises(spark):
 @pytest.mark.parametrize("text", ["PT5M\tx", "PT5Mx", "xPT5M", "PT٥M"])
 def test_no_partial_match(spark, text):
     assert column_of(spark, [text], duration_seconds("d")) == [None]
+
+
+def test_line_ends_are_no_part_of_a_duration(spark):
+    texts = ["PT5M", "PT5M\n", "PT5M\r", "PT5M\u2028", "PT5M "]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] for r in df.select(duration_seconds("t")).collect()]
+    assert got == [300, None, None, None, None]

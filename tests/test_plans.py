@@ -39,8 +39,14 @@ def test_bad_rows_go_to_quarantine(spark, tmp_path):
     folder, out, bad = write_json(tmp_path / "in", records), tmp_path / "out", tmp_path / "bad"
     recipe_job.run(spark, folder, str(out), quarantine_path=str(bad))
     assert result(spark, str(out)) == AVERAGES
-    reasons = {r["name"]: r["reason"] for r in spark.read.parquet(str(bad)).collect()}
-    assert reasons == {"Odd": "malformed cookTime", "Late": "missing prepTime"}
+    got = spark.read.parquet(str(bad)).collect()
+    reasons = {r["name"]: r["reason"] for r in got}
+    assert reasons == {
+        "Odd": "malformed cookTime",
+        "Late": "missing prepTime",
+        None: "corrupt record",
+    }
+    assert [r["_corrupt_record"] for r in got if r["name"] is None] == ["no json"]
 
 
 def test_results_by_execution_day_are_kept(spark, tmp_path):
@@ -66,6 +72,40 @@ def test_gate_stops_before_the_load(spark, tmp_path):
     assert not out.exists()
 
 
+def test_gate_stops_on_nothing_and_keeps_the_previous_output(spark, tmp_path):
+    good = [r for r in rows() if r["ingredients"]]
+    folder, out = write_json(tmp_path / "in", good), str(tmp_path / "out")
+    recipe_job.run(spark, folder, out, gate=True)
+    with pytest.raises(QualityGateError) as error:
+        recipe_job.run(spark, folder, out, keyword="no such thing", gate=True)
+    assert error.value.stage == "output"
+    assert result(spark, out) == AVERAGES
+
+
+def test_layer_keeps_days_and_replaces_a_day_loaded_again(spark, tmp_path):
+    root, layer = tmp_path / "in", str(tmp_path / "layer")
+    write_json(root / "2019" / "11" / "28", [rows()[0]])
+    second = write_json(root / "2019" / "11" / "29", [{**rows()[1], "cookTime": "soon"}])
+    load = ["--step", "preprocess", "--input", str(root), "--output", layer, "--execution-day"]
+    for day in ("2019-11-28", "2019-11-29"):
+        recipe_job.main([*load, day])
+    assert spark.read.parquet(layer).where("status = 'quarantined'").count() == 1
+    write_json(root / "2019" / "11" / "29", [rows()[1]])
+    recipe_job.main([*load, "2019-11-29"])
+    got = spark.read.parquet(layer).select("url", "status").collect()
+    assert sorted(r["url"] for r in got) == sorted(r["url"] for r in rows()[:2])
+    assert {r["status"] for r in got} == {"ok"}
+    assert second
+
+
+@pytest.mark.parametrize(
+    "options", [["--step", "preprocess", "--gate"], ["--step", "result", "--quarantine", "q"]]
+)
+def test_options_that_a_step_cannot_honour_are_refused(options):
+    with pytest.raises(SystemExit):
+        recipe_job.main(["--input", "in", "--output", "out", *options])
+
+
 def test_gate_lets_good_data_pass(spark, tmp_path):
     good = [r for r in rows() if r["ingredients"]]
     folder, out = write_json(tmp_path / "in", good), str(tmp_path / "out")

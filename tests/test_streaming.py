@@ -1,8 +1,9 @@
 import pytest
 
 from larder.operators.recipes import label_recipes
-from larder.schemas import RECIPE
+from larder.schemas import RECIPE, RECIPE_AGGREGATE
 from larder.streaming import latest_average, stream_average, stream_files, stream_to_partitions
+from larder.streaming.jobs import KEPT_RESULTS, _write_batch
 from tests.cookbook import AVERAGES, row, rows, write_json
 
 
@@ -23,8 +24,8 @@ def test_average_over_batches_and_runs(spark, tmp_path):
 
     run()
     assert averages(spark, results) == AVERAGES
-    batches = {p.name for p in (tmp_path / "results").glob("batch=*")}
-    assert batches == {"batch=0", "batch=1", "batch=2"}
+    folders = {p.name for p in (tmp_path / "results").glob("slot=*")}
+    assert folders == {"slot=0", "slot=1", "slot=2"}
     # Nothing new: nothing changes.
     run()
     assert averages(spark, results) == AVERAGES
@@ -34,6 +35,16 @@ def test_average_over_batches_and_runs(spark, tmp_path):
     assert averages(spark, results)["hard"] == pytest.approx((140 + 61 + 180) / 3)
 
 
+def test_results_stay_in_a_fixed_number_of_folders(spark, tmp_path):
+    results = str(tmp_path / "results")
+    assert latest_average(spark, results).collect() == []
+    write = _write_batch(results)
+    for batch in range(10):
+        write(spark.createDataFrame([("easy", float(batch))], RECIPE_AGGREGATE), batch)
+    assert averages(spark, results) == {"easy": 9.0}
+    assert len(list((tmp_path / "results").glob("slot=*"))) == KEPT_RESULTS
+
+
 def test_batch_run_again_after_a_failure(spark, tmp_path):
     """A run that dies between writing a batch and noting it done repeats that batch."""
     folder = tmp_path / "in"
