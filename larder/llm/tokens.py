@@ -8,6 +8,7 @@ its pieces' ids in a row. The result equals encoding the whole text at once.
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 from array import array
@@ -116,7 +117,10 @@ class TextEncoder:
             unit = unit.strip().lower()
             if not unit:
                 return b""
-        shown = "".join(map(self.letters.__getitem__, unit))
+        if unit.isascii() and unit != "\n":
+            shown = unit.replace(" ", "Ġ")  # other plain ASCII is shown as itself
+        else:
+            shown = "".join(map(self.letters.__getitem__, unit))
         return array("I", [token.id for token in self.model.tokenize(shown)]).tobytes()
 
     def _whole(self, pieces: list[str]) -> list[bytes]:
@@ -135,13 +139,20 @@ class TextEncoder:
         units, got, odd = self.units, [], []
         old, old_starts, old_ids = self.old
         for at, key in enumerate(new):
-            before = old.get(key)
+            before = old.get(key) if old else None
             if before is not None:
                 got.append(old_ids[old_starts[before] : old_starts[before + 1]].tobytes())
                 continue
             piece = key
-            if self.blank_joins:
-                piece = key[0] if isinstance(key, tuple) else key if key[0] == "\n" else " " + key
+            if not self.blank_joins:
+                pass
+            elif isinstance(key, tuple):
+                piece = key[0]
+            elif key[0] != "\n":
+                piece = " " + key
+                if key.isalpha() and key.isascii():
+                    got.append(units[piece])
+                    continue
             word = WORD.fullmatch(piece)
             if word:
                 line, letters, marks = word.groups()
@@ -173,7 +184,20 @@ class TextEncoder:
         self.filled += len(fresh)
 
     def encode(self, texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the texts in a row, and the number of ids of each text (NULL: none)."""
+        """All ids of the texts in a row, and the number of ids of each text (NULL: none).
+
+        The cyclic garbage collector rests meanwhile: a call makes many small objects,
+        none of them in a cycle, and each of its runs would walk the whole table.
+        """
+        collecting = gc.isenabled()
+        gc.disable()
+        try:
+            return self._encode(texts)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def _encode(self, texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
         if len(self.numbers) > self.cached:
             self._begin()
         numbers, lookup = self.numbers, self.numbers.__getitem__
