@@ -356,3 +356,33 @@ def table_profile(spark: SparkSession, folder: str) -> DataFrame:
     hundredths = [F.round(F.col(c) * 100).alias(c) for c in LINE_MEASURES]
     lines = table(spark, folder, "lineitem").select(*hundredths)
     return profile.column_profile(lines, LINE_MEASURES).transform(_rounded)
+
+
+#: Beyond 2 to the power of 53, where a double no longer holds every whole number.
+LARGE = 2**60
+
+
+def _extent_sql(column: str, kind: str, value: str) -> str:
+    return f"""SELECT event_type, '{column}' AS "column", '{kind}' AS type, count({value}) AS n,
+        CAST(min({value}) AS VARCHAR) AS least, CAST(max({value}) AS VARCHAR) AS greatest
+        FROM events GROUP BY event_type"""
+
+
+@query(
+    " UNION ALL ".join(
+        [
+            _extent_sql("large", "bigint", f"({LARGE} + event_id)"),
+            _extent_sql("day", "date", "CAST(ts AS DATE)"),
+            _extent_sql("name", "string", "(event_type || user_id)"),
+        ]
+    )
+)
+def extent_profile(spark: SparkSession, folder: str) -> DataFrame:
+    """Least and greatest of large whole numbers, dates and text by event type."""
+    events = table(spark, folder, "events").select(
+        "event_type",
+        (F.lit(LARGE) + F.col("event_id")).alias("large"),
+        F.to_date("ts").alias("day"),
+        F.concat("event_type", "user_id").alias("name"),
+    )
+    return profile.extents(events, ["large", "day", "name"], ["event_type"])

@@ -148,6 +148,25 @@ def latest_by_key(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("""
+    SELECT coalesce(b.o_custkey, a.o_custkey) AS o_custkey, coalesce(old_rows, 0) AS old_rows,
+           coalesce(new_rows, 0) AS new_rows
+    FROM (SELECT o_custkey, count(*) AS old_rows FROM orders
+          WHERE o_orderpriority <> '1-URGENT' GROUP BY 1) AS b
+    FULL OUTER JOIN (SELECT o_custkey, count(*) AS new_rows FROM orders
+                     WHERE o_orderstatus <> 'P' GROUP BY 1) AS a ON a.o_custkey = b.o_custkey
+    WHERE old_rows > 1 OR new_rows > 1
+""")
+def snapshot_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers who stand more than once in either of two lists of orders."""
+    orders = table(spark, folder, "orders")
+    return compare.snapshot_duplicates(
+        orders.where(F.col("o_orderpriority") != "1-URGENT"),
+        orders.where(F.col("o_orderstatus") != "P"),
+        "o_custkey",
+    )
+
+
 BEFORE_TOTAL = "(n_chars // 60 + doc_id % 45)"
 AFTER_TOTAL = "(CASE WHEN lang = 'de' THEN n_chars // 30 ELSE n_chars // 60 END + doc_id % 45)"
 

@@ -24,6 +24,7 @@ from larder.bindings.transforms import (
 )
 from larder.operators import quarantine as rules
 from larder.operators import recipes
+from larder.plans import current_job
 from larder.plans import recipe_job as job
 from larder.schemas import CORRUPT_COLUMN, RECIPE, RECIPE_AGGREGATE
 from larder.sources import (
@@ -187,25 +188,74 @@ def quarantine(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query("""
+REASONS_SQL = """
     SELECT reason, count(*) AS n FROM (
         SELECT CASE event_type WHEN 'click' THEN 'corrupt record'
                                WHEN 'error' THEN 'malformed cookTime'
                                WHEN 'view' THEN 'missing cookTime' END AS reason
         FROM events) AS tagged
     WHERE reason IS NOT NULL GROUP BY reason
-""")
-def quarantine_json(spark: SparkSession, folder: str) -> DataFrame:
-    """Lines that are no JSON object (clicks, cut short) next to broken durations."""
+"""
+
+
+def lines_with_faults(spark: SparkSession, folder: str) -> str:
+    """A folder of JSON lines of which those of clicks are cut short."""
     rows = event_recipe_rows(spark, folder)
     line = F.to_json(F.struct(*[F.col(f"`{name}`") for name in RECIPE.fieldNames()]))
     cut = F.when(F.col("description") == "click", F.substring(line, 1, 40)).otherwise(line)
     path = fresh_folder(spark, "lines")
     write_files(rows.select(cut.alias("value")), path, "text")
+    return path
+
+
+@query(REASONS_SQL)
+def quarantine_json(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines that are no JSON object (clicks, cut short) next to broken durations."""
     return (
-        read_json_lines(spark, path, RECIPE, keep_corrupt=True)
+        read_json_lines(spark, lines_with_faults(spark, folder), RECIPE, keep_corrupt=True)
         .select("cookTime", "prepTime", CORRUPT_COLUMN)
         .transform(rules.quarantined)
         .groupBy("reason")
         .agg(F.count(F.lit(1)).alias("n"))
     )
+
+
+@query(REASONS_SQL)
+def quarantine_job(spark: SparkSession, folder: str) -> DataFrame:
+    """What the whole job sets aside: cut lines, and rows with the keyword and no durations."""
+    result, bad = fresh_folder(spark, "result"), fresh_folder(spark, "bad")
+    lines = lines_with_faults(spark, folder)
+    job.run(spark, lines, result, keyword="e", quarantine_path=bad)
+    return read_files(spark, "parquet", bad).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"""
+    SELECT url, execution_date, name, "prepTimeMinutes", "cookTimeMinutes" FROM (
+        SELECT 'user/' || user_id AS url, DATE '2024-01-10' + CAST(event_id % 2 AS INTEGER)
+                   AS execution_date,
+               event_type AS name, {PREP} AS "prepTimeMinutes", {COOK} AS "cookTimeMinutes",
+               row_number() OVER (
+                   PARTITION BY user_id
+                   ORDER BY event_id % 2 DESC, CAST(ts AS DATE) DESC, event_type DESC,
+                            'picture/' || event_id DESC) AS place
+        FROM events WHERE event_type NOT IN ('error', 'view')) AS e
+    WHERE place = 1
+""")
+def recipe_current(spark: SparkSession, folder: str) -> DataFrame:
+    """Two days' loads merged into the current table: each recipe as its last usable row is."""
+    layer, current = fresh_folder(spark, "layer"), fresh_folder(spark, "current")
+    rows = event_recipe_rows(spark, folder)
+    number = F.substring_index("url", "/", -1).cast("long")
+    users = table(spark, folder, "events").select(
+        F.concat(F.lit("event/"), F.col("event_id")).alias("url"), "user_id"
+    )
+    made = rows.join(users, "url").withColumns(
+        {"parity": number % 2, "url": F.concat(F.lit("user/"), F.col("user_id"))}
+    )
+    for parity in (0, 1):
+        load = made.where(F.col("parity") == parity).select(*RECIPE.fieldNames())
+        day = DAY + dt.timedelta(days=parity)
+        preprocess_recipes(load, layer, day)
+        current_job.merge_day(spark, layer, current, day)
+    state = read_days(spark, current, DAY + dt.timedelta(days=1), day_column=current_job.AS_OF)
+    return state.select("url", "execution_date", "name", "prepTimeMinutes", "cookTimeMinutes")

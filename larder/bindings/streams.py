@@ -6,7 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from larder.bindings.files import PREPROCESSED, PREPROCESSED_SQL
+from larder.bindings.files import (
+    DAY,
+    PREPROCESSED,
+    PREPROCESSED_SQL,
+    REASONS_SQL,
+    lines_with_faults,
+)
 from larder.bindings.inputs import event_recipe_rows, event_recipes, table
 from larder.bindings.registry import query
 from larder.bindings.transforms import EVENT_KEYWORD, FLAGSHIP_SQL
@@ -15,6 +21,7 @@ from larder.schemas import RECIPE
 from larder.sources import (
     fresh_folder,
     land_by_partition,
+    read_days,
     read_landed,
     type_recipes,
     write_files,
@@ -34,8 +41,11 @@ def _wave(spark: SparkSession) -> int:
     return spark.sparkContext.defaultParallelism
 
 
-@query("SELECT CAST(ts AS DATE) AS event_date, count(*) AS n FROM events GROUP BY 1")
-def stream_landing(spark: SparkSession, folder: str) -> DataFrame:
+EVENT_DAYS = T.StructField("event_date", T.DateType())
+
+
+def _landed_events(spark: SparkSession, folder: str) -> tuple[str, T.StructType]:
+    """All events landed by day as a stream: the table's path and schema."""
     events = table(spark, folder, "events")
     stream = stream_files(
         spark, _arrivals(events, "arrivals"), events.schema, "parquet", _wave(spark)
@@ -47,7 +57,12 @@ def stream_landing(spark: SparkSession, folder: str) -> DataFrame:
         fresh_folder(spark, "progress"),
         ["event_date"],
     )
-    schema = T.StructType([*events.schema.fields, T.StructField("event_date", T.DateType())])
+    return landed, T.StructType([*events.schema.fields, EVENT_DAYS])
+
+
+@query("SELECT CAST(ts AS DATE) AS event_date, count(*) AS n FROM events GROUP BY 1")
+def stream_landing(spark: SparkSession, folder: str) -> DataFrame:
+    landed, schema = _landed_events(spark, folder)
     return (
         read_landed(spark, landed, schema)
         .groupBy("event_date")
@@ -55,6 +70,26 @@ def stream_landing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("""
+    SELECT event_id, user_id, event_type FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-10'
+""")
+def stream_day_read(spark: SparkSession, folder: str) -> DataFrame:
+    """One day of a table that a stream has written, by the stream's log of files."""
+    landed, schema = _landed_events(spark, folder)
+    return read_days(spark, landed, DAY, schema=schema).select("event_id", "user_id", "event_type")
+
+
+@query(REASONS_SQL)
+def stream_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    """The reasons kept by a stream of raw lines, those that are no JSON among them."""
+    lines, landed = lines_with_faults(spark, folder), fresh_folder(spark, "landed")
+    stream = stream_files(spark, lines, RECIPE, files_per_batch=_wave(spark), keep_corrupt=True)
+    progress = fresh_folder(spark, "progress")
+    stream_to_partitions(stream.transform(type_recipes), landed, progress, ["status"])
+    bad = read_landed(spark, landed).where("status = 'quarantined'")
+    return bad.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(PREPROCESSED_SQL)
 def stream_preprocess(spark: SparkSession, folder: str) -> DataFrame:
     """Raw recipes arriving as JSON, persisted as typed parquet by status and year."""

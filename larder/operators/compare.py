@@ -19,14 +19,37 @@ from larder.functions import group_key
 _SIDE = "__side"
 
 
+def _col(name: str) -> Column:
+    """A column by its exact name, dots and blanks included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def _distinct_names(*names: str) -> None:
+    """Refuse a result in which two columns would have one name."""
+    lower = [name.lower() for name in names]
+    twice = sorted({name for name in names if lower.count(name.lower()) > 1})
+    if twice:
+        raise ValueError(f"rename the columns: the result would have several called {twice}")
+
+
 def _tagged(first: DataFrame, second: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Both sides' columns under each other, the first tagged 1 and the second 2."""
+    """Both sides' columns under each other as c0, c1, ..., tagged 1 and 2."""
+    named = [_col(c).alias(f"c{i}") for i, c in enumerate(columns)]
     return (
-        first.select(*columns, F.lit(1).alias(_SIDE))
-        .unionByName(second.select(*columns, F.lit(2).alias(_SIDE)))
+        first.select(*named, F.lit(1).alias(_SIDE))
+        .unionByName(second.select(*named, F.lit(2).alias(_SIDE)))
     )
 
 
+def _places(start: int, columns: Sequence[str]) -> list[str]:
+    """What ``_tagged`` calls these columns, from a place on."""
+    return [f"c{start + i}" for i in range(len(columns))]
+
+
+def _renamed(places: Sequence[str], names: Sequence[str]) -> list[Column]:
+    return [F.col(place).alias(name) for place, name in zip(places, names, strict=True)]
+
+
 def _of_side(side: int, value: Column) -> Column:
     return F.when(F.col(_SIDE) == side, value)
 
@@ -41,24 +64,29 @@ def reconcile(
     source``. Use exact types for the sums: doubles added in another order may
     differ in their last digit.
     """
+    measured = [f"{prefix}_{c}" for prefix in ("source", "target") for c in ("rows", *sums)]
+    _distinct_names(*keys, *measured, "status")
     both = _tagged(source, target, [*keys, *sums])
-    measures = []
-    for side, prefix in ((1, "source"), (2, "target")):
-        measures.append(F.count(_of_side(side, F.lit(1))).alias(f"{prefix}_rows"))
-        measures.extend(
-            F.sum(_of_side(side, F.col(c))).alias(f"{prefix}_{c}") for c in sums
-        )
+    by, summed = _places(0, keys), _places(len(keys), sums)
+    totals = []
+    for side in (1, 2):
+        totals.append(F.count(_of_side(side, F.lit(1))).alias(f"rows{side}"))
+        totals.extend(F.sum(_of_side(side, F.col(c))).alias(f"{c}_{side}") for c in summed)
     agree = reduce(
         and_,
-        [F.col(f"source_{c}").eqNullSafe(F.col(f"target_{c}")) for c in ("rows", *sums)],
+        [F.col(f"{c}_1").eqNullSafe(F.col(f"{c}_2")) for c in summed],
+        F.col("rows1") == F.col("rows2"),
     )
     status = (
-        F.when(F.col("target_rows") == 0, "missing in target")
-        .when(F.col("source_rows") == 0, "missing in source")
+        F.when(F.col("rows2") == 0, "missing in target")
+        .when(F.col("rows1") == 0, "missing in source")
         .when(agree, "match")
         .otherwise("mismatch")
     )
-    return both.groupBy(*keys).agg(*measures).withColumn("status", status)
+    made = [name for side in (1, 2) for name in (f"rows{side}", *[f"{c}_{side}" for c in summed])]
+    return both.groupBy(*by).agg(*totals).select(
+        *_renamed([*by, *made], [*keys, *measured]), status.alias("status")
+    )
 
 
 def reconcile_rows(
@@ -69,20 +97,22 @@ def reconcile_rows(
     Rows are equal when the keys and all the columns are. Long text takes part
     as a digest, so no content travels.
     """
-    contents = [f"__c{i}" for i in range(len(columns))]
+    _distinct_names(*keys, "source_rows", "target_rows")
+    contents = [f"__content{i}" for i in range(len(columns))]
     sides = [
-        side.select(*keys, *[group_key(side, c).alias(k) for c, k in zip(columns, contents)])
+        side.select(
+            *[_col(k).alias(f"__key{i}") for i, k in enumerate(keys)],
+            *[group_key(side, c).alias(k) for c, k in zip(columns, contents, strict=True)],
+        )
         for side in (source, target)
     ]
-    counts = (
-        _tagged(*sides, [*keys, *contents])
-        .groupBy(*keys, *contents)
-        .agg(
-            F.count(_of_side(1, F.lit(1))).alias("source_rows"),
-            F.count(_of_side(2, F.lit(1))).alias("target_rows"),
-        )
+    both = _tagged(*sides, sides[0].columns)
+    counts = both.groupBy(*_places(0, sides[0].columns)).agg(
+        F.count(_of_side(1, F.lit(1))).alias("source_rows"),
+        F.count(_of_side(2, F.lit(1))).alias("target_rows"),
     )
-    return counts.where(F.col("source_rows") != F.col("target_rows")).drop(*contents)
+    differing = counts.where(F.col("source_rows") != F.col("target_rows"))
+    return differing.select(*_renamed(_places(0, keys), keys), "source_rows", "target_rows")
 
 
 _MEASURES = {"filled": F.count, "least": F.min, "greatest": F.max}
@@ -92,7 +122,7 @@ def _column_summary(df: DataFrame, prefix: str) -> DataFrame:
     """One row per column: its type and, as text, its measures. One pass, one aggregate row."""
     totals = df.agg(
         *[
-            measure(f"`{name}`").cast("string").alias(f"{m}{i}")
+            measure(_col(name)).cast("string").alias(f"{m}{i}")
             for i, name in enumerate(df.columns)
             for m, measure in _MEASURES.items()
         ]
@@ -137,35 +167,56 @@ def snapshot_changes(
     key: str,
     tracked: Sequence[str],
     version: Sequence[str] = (),
+    many_rows: bool = False,
 ) -> DataFrame:
     """Keys added, removed or changed between two snapshots, with old and new values.
 
     A key should occur once per snapshot. Where it occurs more often, its row
-    greatest by ``version``, then by the tracked values, stands for it.
+    greatest by ``version``, then by the tracked values, stands for it, and
+    ``snapshot_duplicates`` names it.
+
+    Rows are sorted once, after the shuffle, because an aggregation before it saves
+    nothing where keys occur once. ``many_rows`` adds that aggregation, for snapshots
+    in which a key can hold many rows; the result is the same.
     """
-    row = F.struct(*version, *tracked)
-    latest = (
-        _tagged(before, after, list(dict.fromkeys([key, *version, *tracked])))
-        .groupBy(key)
-        .agg(
-            F.max(_of_side(1, row)).alias("old"),
-            F.max(_of_side(2, row)).alias("new"),
-        )
+    shown = [f"{side}_{c}" for c in tracked for side in ("old", "new")]
+    _distinct_names(key, "change", *shown)
+    both = _tagged(before, after, [key, *version, *tracked])
+    values = _places(1 + len(version), tracked)
+    row = F.struct(*_places(1, version), *values)
+    gathered = both if many_rows else both.repartition("c0")
+    latest = gathered.groupBy("c0").agg(
+        F.max(_of_side(1, row)).alias("old"), F.max(_of_side(2, row)).alias("new")
     )
 
-    def values(side: str) -> Column:
-        return F.struct(*[F.col(f"{side}.{c}") for c in tracked])
+    def state(side: str) -> Column:
+        return F.struct(*[F.col(f"{side}.{c}") for c in values])
 
     change = (
         F.when(F.col("old").isNull(), "added")
         .when(F.col("new").isNull(), "removed")
-        .when(~values("old").eqNullSafe(values("new")), "changed")
+        .when(~state("old").eqNullSafe(state("new")), "changed")
     )
-    return latest.select(
-        key,
+    sides = [F.col(f"{side}.{c}") for c in values for side in ("old", "new")]
+    return latest.where(change.isNotNull()).select(
+        F.col("c0").alias(key),
         change.alias("change"),
-        *[F.col(f"{side}.{c}").alias(f"{side}_{c}") for c in tracked for side in ("old", "new")],
-    ).where(F.col("change").isNotNull())
+        *[side.alias(name) for side, name in zip(sides, shown, strict=True)],
+    )
+
+
+def snapshot_duplicates(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
+    """Keys that occur more than once in a snapshot: ``key, old_rows, new_rows``.
+
+    Rows are counted before the shuffle, so a key with many rows is no hot spot.
+    """
+    _distinct_names(key, "old_rows", "new_rows")
+    counts = _tagged(before, after, [key]).groupBy("c0").agg(
+        F.count(_of_side(1, F.lit(1))).alias("old_rows"),
+        F.count(_of_side(2, F.lit(1))).alias("new_rows"),
+    )
+    often = counts.where((F.col("old_rows") > 1) | (F.col("new_rows") > 1))
+    return often.select(F.col("c0").alias(key), "old_rows", "new_rows")
 
 
 def latest_by_key(
@@ -175,8 +226,15 @@ def latest_by_key(
 
     Newest is the greatest by ``version``, then by the columns themselves, so the
     result does not depend on the order of the rows. One shuffle, after each task
-    has kept the newest row of its own per key.
+    has kept the newest row of its own per key, so that a key with a great many
+    changes sends one row per task.
     """
     kept = [*version, *columns]
-    newest = df.groupBy(key).agg(F.max(F.struct(*kept)).alias("newest"))
-    return newest.select(key, *[F.col(f"newest.{c}") for c in kept])
+    _distinct_names(key, *kept)
+    numbered = _places(1, kept)
+    slim = df.select(*[_col(c).alias(p) for c, p in zip([key, *kept], ["c0", *numbered], strict=True)])
+    newest = slim.groupBy("c0").agg(F.max(F.struct(*numbered)).alias("newest"))
+    return newest.select(
+        F.col("c0").alias(key),
+        *[F.col(f"newest.{place}").alias(c) for place, c in zip(numbered, kept, strict=True)],
+    )

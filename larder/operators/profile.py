@@ -14,6 +14,7 @@ from operator import add, and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from larder.sources.workspace import checkpoint_ready
 
@@ -162,8 +163,12 @@ def column_profile(
 
     With ``exact_median`` this runs one to five passes over the profiled columns
     before it returns, each leaving a small table in the checkpoint folder.
-    Otherwise it is one lazy pass, and the median is approximate.
+    Otherwise it is one lazy pass, and the median is approximate. All values are taken
+    as doubles; ``extents`` gives least and greatest values of any type exactly.
     """
+    odd = [name for name in columns if not isinstance(df.schema[name].dataType, T.NumericType)]
+    if odd:
+        raise ValueError(f"no numbers: {odd}; use extents")
     numbered = dict(enumerate(columns))
     keys = {f"__key{i}": name for i, name in enumerate(by)}
     group = [*keys, "place"]
@@ -219,3 +224,40 @@ def column_profile(
     )
     medians = state.select(*group, (F.col("lo") * 0.5 + F.col("hi") * 0.5).alias("median"))
     return _match(summary, medians, group, "left").select(*result)
+
+
+def extents(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """``by, column, type, n, least, greatest`` for each column of any type that has an order.
+
+    Least and greatest are found in the column's own type and shown as text, so large
+    whole numbers, dates and text stay exact. One lazy pass. NULLs do not count; a
+    column without values has neither. An empty table gives one row per column, or
+    none with groups.
+    """
+    keys = [F.col(f"`{name}`").alias(f"__key{i}") for i, name in enumerate(by)]
+    places = [F.col(f"`{name}`").alias(f"__value{i}") for i, name in enumerate(columns)]
+    group = [f"__key{i}" for i in range(len(by))]
+    totals = (
+        df.select(*keys, *places)
+        .groupBy(*group)
+        .agg(
+            *[
+                measure(f"__value{i}").alias(f"{name}{i}")
+                for i in range(len(columns))
+                for name, measure in (("n", F.count), ("least", F.min), ("greatest", F.max))
+            ]
+        )
+    )
+    rows = [
+        F.struct(
+            F.lit(name).alias("column"),
+            F.lit(df.schema[name].dataType.simpleString()).alias("type"),
+            F.col(f"n{i}").alias("n"),
+            F.col(f"least{i}").cast("string").alias("least"),
+            F.col(f"greatest{i}").cast("string").alias("greatest"),
+        )
+        for i, name in enumerate(columns)
+    ]
+    flat = totals.select(*group, F.explode(F.array(*rows)).alias("__row"))
+    shown = [F.col(key).alias(name) for key, name in zip(group, by, strict=True)]
+    return flat.select(*shown, "__row.*")

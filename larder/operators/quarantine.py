@@ -23,8 +23,11 @@ def tag_reason(
 
     A line the JSON reader could not parse comes first (where the scan kept such
     lines), then the duration columns as ``missing <name>`` or ``malformed
-    <name>``, then the ``extra`` conditions, keyed by the reason to report.
+    <name>``, then the ``extra`` conditions, keyed by the reason to report. A column
+    that is called ``reason`` already is refused, not overwritten.
     """
+    if REASON in (name.lower() for name in df.columns):
+        raise ValueError(f"rename the column {REASON!r} first")
     reasons = []
     if CORRUPT_COLUMN in df.columns:
         reasons.append(F.when(F.col(CORRUPT_COLUMN).isNotNull(), F.lit("corrupt record")))

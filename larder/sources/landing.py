@@ -55,6 +55,12 @@ def read_landed(
     return read_files(spark, "parquet", path, schema)
 
 
+def _has_commit_log(spark: SparkSession, path: str) -> bool:
+    """Whether a streaming sink keeps its log of committed files under a path."""
+    log = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_spark_metadata")
+    return log.getFileSystem(spark._jsc.hadoopConfiguration()).exists(log)
+
+
 def read_days(
     spark: SparkSession,
     path: str,
@@ -66,8 +72,13 @@ def read_days(
     """The rows of one execution day, or of a span of days, both ends included.
 
     The days' folders are named outright, so the driver lists their files alone
-    and not those of the whole history. Days without a folder have no rows.
+    and not those of the whole history. Days without a folder have no rows. A table
+    that a stream writes has a log of the files that count; there that log is read,
+    as files of failed attempts may lie in the folders too.
     """
+    if _has_commit_log(spark, path):
+        day = F.col(day_column)
+        return read_landed(spark, path, schema).where(day.between(F.lit(first), F.lit(last or first)))
     span = ((last or first) - first).days + 1
     days = ",".join(str(first + dt.timedelta(days=n)) for n in range(span))
     reader = spark.read.option("basePath", path)

@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from larder.schemas import RECIPE_AGGREGATE
 from larder.operators.recipes import average_by
+from larder.schemas import CORRUPT_COLUMN, RECIPE_AGGREGATE, with_corrupt_column
 from larder.sources.landing import rebalanced
 
 
@@ -29,9 +29,16 @@ def stream_files(
     file_format: str = "json",
     files_per_batch: int | None = None,
     bytes_per_batch: int | None = None,
+    keep_corrupt: bool = False,
 ) -> DataFrame:
-    """A folder as a stream; without a limit a batch takes all files that are there."""
+    """A folder as a stream; without a limit a batch takes all files that are there.
+
+    ``keep_corrupt`` keeps the text of JSON lines that cannot be parsed.
+    """
+    if keep_corrupt:
+        schema = with_corrupt_column(schema)
     reader = spark.readStream.format(file_format).schema(schema)
+    reader = reader.option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     if bytes_per_batch is not None:

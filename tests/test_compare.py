@@ -1,9 +1,12 @@
+import pytest
+
 from larder.operators.compare import (
     latest_by_key,
     reconcile,
     reconcile_columns,
     reconcile_rows,
     snapshot_changes,
+    snapshot_duplicates,
 )
 
 
@@ -107,3 +110,72 @@ def test_latest_by_key(spark):
     )
     got = as_dict(latest_by_key(df, "k", ["day"], ["v"]), "k")
     assert got == {"a": (3, "y"), "b": (5, None), None: (1, "n"), "c": (1, "q")}
+
+
+@pytest.mark.parametrize("name", ["old", "new", "a.b", "c0", "__side", "source_rows ", "a`b"])
+def test_any_column_name(spark, name):
+    one = spark.createDataFrame([(1, 5), (2, 6)], "k int, v int").toDF(name, "rows of it")
+    two = spark.createDataFrame([(1, 5), (2, 7)], "k int, v int").toDF(name, "rows of it")
+    got = reconcile(one, two, [name], ["rows of it"])
+    assert got.columns[0] == name
+    assert {r[0]: r["status"] for r in got.collect()} == {1: "match", 2: "mismatch"}
+    rows = reconcile_rows(one, two, [name], ["rows of it"])
+    assert sorted(tuple(r) for r in rows.collect()) == [(2, 0, 1), (2, 1, 0)]
+    changed = snapshot_changes(one, two, name, ["rows of it"])
+    assert changed.columns == [name, "change", "old_rows of it", "new_rows of it"]
+    assert [tuple(r) for r in changed.collect()] == [(2, "changed", 6, 7)]
+    assert sorted(tuple(r) for r in latest_by_key(one.union(two), name, [], ["rows of it"]).collect()) == [
+        (1, 5),
+        (2, 7),
+    ]
+    assert {tuple(r) for r in snapshot_duplicates(one.union(one), two, name).collect()} == {
+        (1, 2, 1),
+        (2, 2, 1),
+    }
+
+
+def test_summing_dotted_names_and_columns_beside(spark):
+    one = spark.createDataFrame([(1, 5)], "k int, v int").toDF("k", "a.b")
+    got = reconcile_columns(one, one).collect()
+    assert {r["column"]: r["status"] for r in got} == {"k": "match", "a.b": "match"}
+    assert reconcile(one, one, ["k"], ["a.b"]).columns == [
+        "k", "source_rows", "source_a.b", "target_rows", "target_a.b", "status"
+    ]
+
+
+def test_results_with_two_columns_of_one_name_are_refused(spark):
+    df = spark.createDataFrame([(1, 5)], "k int, v int")
+    for refused in (
+        lambda: reconcile(df.toDF("status", "v"), df.toDF("status", "v"), ["status"], ["v"]),
+        lambda: reconcile(df.toDF("k", "rows"), df.toDF("k", "rows"), ["k"], ["rows"]),
+        lambda: snapshot_changes(df.toDF("change", "v"), df.toDF("change", "v"), "change", ["v"]),
+        lambda: snapshot_duplicates(df.toDF("old_rows", "v"), df.toDF("old_rows", "v"), "old_rows"),
+        lambda: latest_by_key(df, "k", ["v"], ["V"]),
+    ):
+        with pytest.raises(ValueError, match="rename"):
+            refused()
+
+
+def test_many_rows_gives_the_same(spark):
+    before = spark.range(3000).selectExpr("id % 7 as k", "id as version", "id % 3 as state")
+    after = spark.range(4000).selectExpr("id % 9 as k", "id as version", "id % 5 as state")
+    results = [
+        sorted(
+            tuple(r)
+            for r in snapshot_changes(before, after, "k", ["state"], ["version"], many).collect()
+        )
+        for many in (False, True)
+    ]
+    assert results[0] == results[1] != []
+
+
+def test_hot_key_in_latest_by_key(spark, plan):
+    """A third of all rows are changes of one thing; each task sends one row of it."""
+    df = spark.range(0, 90_000, 1, 8).selectExpr(
+        "if(id % 3 = 0, -1, id) as k", "id as version", "concat('v', id) as v"
+    )
+    got = latest_by_key(df, "k", ["version"], ["v"])
+    text = plan(got)
+    assert text.index("partial_max") < text.index("hashpartitioning")
+    assert got.count() == 60_001
+    assert [tuple(r) for r in got.where("k = -1").collect()] == [(-1, 89_997, "v89997")]

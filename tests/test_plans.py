@@ -2,7 +2,7 @@ import datetime as dt
 
 import pytest
 
-from larder.plans import change_job, quality_job, recipe_job
+from larder.plans import change_job, current_job, quality_job, recipe_job
 from larder.quality import QualityGateError
 from larder.schemas import RECIPE_AGGREGATE, VALIDATION_REPORT
 from larder.sources import read_files
@@ -186,3 +186,50 @@ def test_change_job(spark, tmp_path):
         "changed": ("Tacos", "Tacos", "easy", "hard"),
         "added": (None, "Roast", None, "hard"),
     }
+
+
+def test_changes_show_duplicates_and_lines_without_key(spark, tmp_path):
+    old = [row("Stew", "beef", "PT1H", "PT1M"), row("Soup", "beef", "PT1H", "PT1M")]
+    newer = {**old[0], "datePublished": "2020-01-01", "name": "Aa"}
+    older = {**old[0], "datePublished": "2012-01-01", "name": "Zz"}
+    before = write_json(tmp_path / "before", [*old, "no json"])
+    after = write_json(tmp_path / "after", [older, newer, old[1], {**old[1], "url": None}])
+    out, often, bad = (str(tmp_path / name) for name in ("out", "often", "bad"))
+    change_job.main(
+        ["--before", before, "--after", after, "--output", out, "--duplicates", often,
+         "--quarantine", bad]
+    )
+    changes = spark.read.parquet(out).collect()
+    assert [(r["url"], r["change"], r["new_name"]) for r in changes] == [
+        (old[0]["url"], "changed", "Aa")
+    ]
+    assert [tuple(r) for r in spark.read.parquet(often).collect()] == [(old[0]["url"], 1, 2)]
+    assert {(r["snapshot"], r["reason"]) for r in spark.read.parquet(bad).collect()} == {
+        ("before", "corrupt record"),
+        ("after", "missing url"),
+    }
+
+
+def test_current_state_counts_each_recipe_once(spark, tmp_path):
+    first, last = dt.date(2019, 11, 28), dt.date(2019, 11, 30)
+    stew, soup = row("Stew", "beef", "PT1H", "PT40M"), row("Soup", "beef", "PT5M", "PT5M")
+    loads = {
+        first: [stew, soup],
+        dt.date(2019, 11, 29): [{**stew, "cookTime": "PT20M"}, {**soup, "cookTime": "soon"}],
+        last: [row("Roast", "beef", "PT2H", "PT0M")],
+    }
+    layer, current = str(tmp_path / "layer"), str(tmp_path / "current")
+    for day, records in loads.items():
+        raw = write_json(tmp_path / "in" / f"{day:%Y/%m/%d}", records)
+        recipe_job.preprocess(spark, str(tmp_path / "in"), layer, day)
+        assert raw
+        for _ in range(2):  # a repeated run changes nothing
+            current_job.main(["--layer", layer, "--current", current, "--day", str(day)])
+
+    def average(day):
+        return {r[0]: r[1] for r in current_job.current_average(spark, current, day).collect()}
+
+    assert average(first) == {"hard": 100.0, "easy": 10.0}
+    assert average(last) == {"hard": 120.0, "medium": 60.0, "easy": 10.0}
+    state = spark.read.parquet(current).where("as_of = date'2019-11-30'")
+    assert state.count() == state.select("url").distinct().count() == 3

@@ -5,7 +5,7 @@ import statistics
 import pytest
 
 from larder.operators import profile
-from larder.operators.profile import column_profile
+from larder.operators.profile import column_profile, extents
 
 
 def check(spark, groups):
@@ -111,3 +111,26 @@ def test_size_of_ranges_counts_long_group_names(spark):
         "g string, place int, done boolean",
     )
     assert profile._open_ranges(state, ["g", "place"]) == {0: 1065, 1: 65}
+
+
+def test_extents_keep_types(spark):
+    big = 2**60
+    df = spark.createDataFrame(
+        [(1, big + 3, "b", None), (1, big + 1, None, None), (None, 5, "a", None)],
+        "g int, `n.n` bigint, type string, least date",
+    )
+    got = extents(df, ["n.n", "type", "least"], ["g"])
+    assert got.columns == ["g", "column", "type", "n", "least", "greatest"]
+    assert {tuple(r) for r in got.collect()} == {
+        (1, "n.n", "bigint", 2, str(big + 1), str(big + 3)),
+        (1, "type", "string", 1, "b", "b"),
+        (1, "least", "date", 0, None, None),
+        (None, "n.n", "bigint", 1, "5", "5"),
+        (None, "type", "string", 1, "a", "a"),
+        (None, "least", "date", 0, None, None),
+    }
+    assert [tuple(r) for r in extents(df.where("false"), ["n.n"]).collect()] == [
+        ("n.n", "bigint", 0, None, None)
+    ]
+    with pytest.raises(ValueError, match="no numbers"):
+        column_profile(df, ["n.n", "type"])

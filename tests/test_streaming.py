@@ -1,7 +1,11 @@
+import datetime as dt
+import shutil
+
 import pytest
 
 from larder.operators.recipes import label_recipes
 from larder.schemas import RECIPE, RECIPE_AGGREGATE
+from larder.sources import read_days, read_landed, type_recipes
 from larder.streaming import latest_average, stream_average, stream_files, stream_to_partitions
 from larder.streaming.jobs import KEPT_RESULTS, _write_batch
 from tests.cookbook import AVERAGES, row, rows, write_json
@@ -112,3 +116,29 @@ def test_interval_keeps_running(spark, tmp_path):
         assert averages(spark, results) == AVERAGES
     finally:
         running.stop()
+
+
+def test_day_read_leaves_uncommitted_files_out(spark, tmp_path):
+    folder = write_json(tmp_path / "in", rows())
+    landed = tmp_path / "landed"
+    stream = stream_files(spark, folder, RECIPE)
+    stream_to_partitions(stream, str(landed), str(tmp_path / "progress"), ["datePublished"])
+    day = landed / "datePublished=2011-03-07"
+    committed = next(day.glob("*.parquet"))
+    shutil.copy(committed, day / "part-left-by-a-failed-attempt.parquet")
+    whole = read_landed(spark, str(landed)).count()
+    first = dt.date(2011, 3, 7)
+    one = read_days(spark, str(landed), first, day_column="datePublished")
+    assert one.count() == whole == len(rows())
+    assert read_days(spark, str(landed), dt.date(2011, 3, 8), day_column="datePublished").count() == 0
+
+
+def test_stream_keeps_the_text_of_corrupt_lines(spark, tmp_path):
+    folder = write_json(tmp_path / "in", [*rows(), "no json"])
+    landed = str(tmp_path / "landed")
+    stream = stream_files(spark, folder, RECIPE, keep_corrupt=True).transform(type_recipes)
+    stream_to_partitions(stream, landed, str(tmp_path / "progress"), ["status"])
+    got = spark.read.parquet(landed)
+    assert got.count() == len(rows()) + 1
+    bad = got.where("status = 'quarantined'").collect()
+    assert [(r["reason"], r["_corrupt_record"]) for r in bad] == [("corrupt record", "no json")]
