@@ -109,10 +109,14 @@ class TextEncoder:
         self.starts = np.zeros(1, np.int64)
         self.ids = np.zeros(0, np.uint32)
         self.filled = 0
+        self.old_units = dict(getattr(self, "units", {}))
         self.units = _Made(self._unit)
 
     def _unit(self, unit: str) -> bytes:
-        """The ids of one plain unit, by the library's model itself."""
+        """The ids of one plain unit, from the generation before or the library's model itself."""
+        before = self.old_units.get(unit)
+        if before is not None:
+            return before
         if not self.blank_joins:
             unit = unit.strip().lower()
             if not unit:
