@@ -47,19 +47,27 @@ CLOSES = {
 }
 #: Elements that never hold the article's text.
 SIDE = set(
-    "nav footer aside form script style noscript template iframe svg math canvas object embed video "
+    "nav footer aside script style noscript template iframe svg math canvas object embed video "
     "audio button select option textarea input menu dialog head map datalist title".split()
 )
-SIDE_ROLES = set("navigation banner contentinfo complementary search form menu menubar dialog alert".split())
-#: Words in class and id names of regions beside the article.
-SIDE_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|nav\w*|menu\w*|breadcrumbs?|"
+SIDE_ROLES = set("navigation banner contentinfo complementary search menu menubar dialog alert".split())
+#: Words in one class or id name of regions beside the article.
+SIDE_NAME = re.compile(
+    r"(?:^|[_-])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|nav\w*|menu\w*|breadcrumbs?|"
     r"footer|foot|masthead|topbar|toolbar|sidebar\w*|side|widget\w*|rail|related|recommend\w*|"
     r"share|sharing|social|comments?|commentlist|disqus|respon[ds]e?s?|replies|cookies?|consent|gdpr|"
     r"notice|notification|alert|popup|modal|overlay|newsletter|subscribe|signup|login|search\w*|"
-    r"pagination|pager|skip|hidden)(?:$|[\s_-])",
+    r"pagination|pager|skip|hidden)(?:$|[_-])",
     re.I,
 )
+#: Parts of a name that say what a region has or is like, not what it is.
+MODIFIER = re.compile(
+    r"(?:^|[_-])(?:has|have|no|not|non|with|without|is|are|can|js|open|opened|closed?|on|off|enabled?|disabled?|"
+    r"active|inactive|visible|allowed|loaded|ready)(?:$|[_-])",
+    re.I,
+)
+#: A region beside the article by its name only, or a form, is none with this share of the page's text or more.
+NAMED_SHARE, FORM_SHARE = 0.9, 0.5
 MAIN_NAMES = re.compile(r"(?:^|[\s_-])(?:article|post|entry|story|main)[_-]?(?:body|content|text)(?:$|[\s_-])", re.I)
 
 TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>", re.S)
@@ -68,12 +76,20 @@ ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"
 
 @dataclass
 class Region:
-    """An open element: its place in the page's tree and what it says of its content."""
+    """An open element: its place in the page's tree and what it says of its content.
+
+    ``side`` is certain, by elements, roles and hidden attributes. ``weak`` has number
+    and depth of the open regions that are beside the article by name only or as forms;
+    ``inner`` of them, the last ones, lie inside the innermost marked element.
+    """
 
     tag: str
     path: str
     side: bool
     main: bool
+    weak: tuple[tuple[int, int], ...] = ()
+    inner: int = 0
+    article: int = 0
 
 
 @dataclass
@@ -86,6 +102,15 @@ class Block:
     main: bool
     linked: int
     regions: tuple[str, ...]
+    weak: tuple[tuple[int, int], ...] = ()
+    inner: int = 0
+    article: int = 0
+    certain: bool = False
+
+    @property
+    def own(self) -> int:
+        """The length of a text that is not mostly links."""
+        return len(self.text) if 2 * self.linked < len(self.text) else 0
 
 
 @dataclass
@@ -96,13 +121,46 @@ class Page:
     blocks: list[Block] = field(default_factory=list)
 
 
+def beside(names: str) -> bool:
+    """Whether a class or id is that of a region beside the article, name by name."""
+    return any(SIDE_NAME.search(name) and not MODIFIER.search(name) for name in names.split())
+
+
+def settle(blocks: list[Block], shares: list[float]) -> None:
+    """Decide by the page's texts which regions of uncertain kind are beside the article.
+
+    One that holds its share of the page's text is a wrapper. What is marked as article
+    inside such a region counts where the page has no article outside of them: with
+    one, marked elements inside are comments or teasers.
+    """
+    open_ = [b for b in blocks if not b.side]
+    total, held = sum(b.own for b in open_), [0] * len(shares)
+    for block in open_:
+        for number, _ in block.weak:
+            held[number] += block.own
+    for block in open_:
+        last = block.weak[len(block.weak) - block.inner :]
+        block.weak = tuple(w for w in block.weak if held[w[0]] < max(shares[w[0]] * total, 1))
+        block.inner = sum(w in block.weak for w in last)
+        block.side = bool(block.weak)
+    marked = [b for b in open_ if b.main and not b.side]
+    inside = [b for b in open_ if b.main and b.side and not b.inner]
+    if not inside or any(b.article for b in marked):
+        return
+    one = len({b.article for b in inside}) == 1
+    if not marked or (one and sum(b.own for b in inside) > sum(b.own for b in marked)):
+        for block in inside:
+            block.side = False
+
+
 def parse(source: str | None) -> Page:
     """Tags and blocks of a page; broken markup is read as browsers mostly do."""
     page = Page()
     text = source or ""
     stack: list[Region] = [Region("", "", False, False)]
     piece: list[str] = []
-    linked, links = 0, 0
+    shares: list[float] = []
+    linked, links, articles = 0, 0, 0
     n, at = len(text), 0
 
     def flush() -> None:
@@ -110,7 +168,8 @@ def parse(source: str | None) -> Page:
         words = " ".join(entities.unescape("".join(piece)).split()) if piece else ""
         if words:
             top = stack[-1]
-            block = Block(top.path, words, top.side, top.main, linked, tuple(r.path for r in stack[1:]))
+            regions = tuple(r.path for r in stack[1:])
+            block = Block(top.path, words, top.side, top.main, linked, regions, top.weak, top.inner, top.article, top.side)
             page.tokens.append((f"{top.path}#{xxhash.xxh64_hexdigest(words)}", len(page.tokens)))
             page.blocks.append(block)
         piece.clear()
@@ -181,14 +240,25 @@ def parse(source: str | None) -> Page:
             continue
         role = attributes.get("role", "").lower()
         above = stack[-1]
-        main = above.main or tag in ("article", "main") or role in ("main", "article") or bool(MAIN_NAMES.search(names))
-        side = above.side or tag in SIDE or role in SIDE_ROLES or bool(names and SIDE_NAMES.search(names))
-        side = side or "hidden" in rest.lower().split() or (tag == "header" and not main)
-        if tag in ("article", "main", "body", "html") and not above.side:
-            side = False
-        stack.append(Region(tag, path, side, main))
+        marks = tag == "article" or role == "article" or bool(MAIN_NAMES.search(names))
+        starts = marks or tag == "main" or role == "main"
+        main = above.main or starts
+        bare = ATTRIBUTE.sub(" ", rest).lower().replace("/", " ").split()
+        side = above.side or tag in SIDE or role in SIDE_ROLES or "hidden" in attributes or "hidden" in bare
+        side = side or (tag == "header" and not main)
+        weak, inner = above.weak, 0 if starts else above.inner
+        if tag in ("article", "main", "body", "html"):
+            side = above.side
+        elif tag == "form" or role == "form" or beside(names):
+            weak = (*weak, (len(shares), len(stack) - 1))
+            inner += main
+            shares.append(NAMED_SHARE if beside(names) else FORM_SHARE)
+        articles += marks
+        article = articles if marks else above.article
+        stack.append(Region(tag, path, side, main, weak, inner, article))
         links += tag == "a"
     flush()
+    settle(page.blocks, shares)
     return page
 
 
@@ -203,12 +273,20 @@ def extract(page: Page, template: set[str], main_path: str | None) -> str:
 
     That region is what the page itself marks as article, else the region that the
     host's template gives, else the whole page. Beside it nothing counts, and outside
-    a marked article texts of the template and blocks of links are not content.
+    a marked article texts of the template and blocks of links are not content. The
+    names of regions around the template's one do not matter.
     """
-    blocks = [b for b in page.blocks if not b.side]
-    marked = [b for b in blocks if b.main]
+    marked = [b for b in page.blocks if b.main and not b.side]
     if marked:
         return "\n".join(b.text for b in marked)
+
+    def freed(b: Block) -> bool:
+        """In the template's region, with uncertain regions only around it."""
+        if b.certain or main_path not in b.regions:
+            return False
+        return all(depth <= b.regions.index(main_path) for _, depth in b.weak)
+
+    blocks = [b for b in page.blocks if not b.side or freed(b)]
     slots = [b for b in blocks if f"{b.path}#{xxhash.xxh64_hexdigest(b.text)}" not in template]
     slots = [b for b in slots if 2 * b.linked < len(b.text)]
     inside = [b for b in slots if main_path is not None and main_path in b.regions]

@@ -289,6 +289,31 @@ def test_template_without_article_tags(spark):
         assert r["text"] == "\n".join(f"Sentence {i} {j} of the page with its own words." for j in range(4))
 
 
+@pytest.mark.parametrize(
+    ("source", "text"),
+    [
+        ("<div class='wrap has-sidebar'><article>Text</article><div class=sidebar>Side</div></div>", "Text"),
+        ("<div class='layout no-sidebar'><p>Text</p></div><nav>Go</nav>", "Text"),
+        ("<div class='post comments-open'><p>Text</p><div class='post-comments'>Well</div></div>", "Text"),
+        ("<div class='page social-share-enabled'><article>Text</article></div>", "Text"),
+        ("<div class='sidebar-right'><article><p>Text</p><div class=share>Tell</div></article></div>", "Text"),
+        ("<body><form><nav>Go</nav><p>All of the text</p></form></body>", "All of the text"),
+        ("<form><article>Text</article></form><p>Some longer text around it all.</p>", "Text"),
+        ("<div title='the hidden truth'><article>Text</article></div>", "Text"),
+        ("<div hidden><article>Gone</article></div><div hidden=''>Gone</div><p>Text</p>", "Text"),
+        ("<article>Text</article><div class=comments><article>A much longer comment on it.</article></div>", "Text"),
+        ("<article>Text</article><aside><article>Other</article></aside>", "Text"),
+    ],
+)
+def test_names_around_the_article(source, text):
+    assert html_template.extract(html_template.parse(source), set(), None) == text
+
+
+def test_template_region_inside_a_named_one():
+    page = html_template.parse("<div class=widget><div class=c><p>Text</p></div></div><p>Longer words beside.</p>")
+    assert html_template.extract(page, set(), "/div.widget/div.c") == "Text"
+
+
 def test_fixity(spark):
     pages = spark.createDataFrame(
         [(i, f"u{i}", "x" * i) for i in range(40)] + [(None, None, None), (3, "u3", "xxx"), (3, "u3", "xxx")],
