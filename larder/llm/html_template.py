@@ -1,12 +1,17 @@
 """Main text of web pages by template deduction from equivalence classes.
 
 Every page becomes a row of tokens: tags with their path, and the texts of its
-blocks. Over the pages of a host a token has an occurrence vector, how often it
-occurs on each page. Tokens with the same vector form an equivalence class, in the order of
-their mean place on the page. A class is valid if it is on enough of the host's
-pages; valid classes nest where one lies inside the region that another one opens,
-and the nest is the host's template. What is left between template tokens are slots,
-and the main text is the slots of the region that holds the article.
+blocks. Pages of a host with their article in the same region are one layout. Over the
+pages of a layout, and of the whole host, a token has an occurrence vector, how often
+it occurs on each page. Tokens with the same vector form an equivalence class if they
+are on enough pages of different content.
+
+A second look at every page checks the classes. A class is valid if its tokens come in
+one order on all pages and if it lies in the same slot, between the same two tokens, of
+the class around it. A class that is not falls apart into the tokens of each region, and
+these into single ones, which are held to the same rules. The valid classes nest and are
+the template; what is left between their tokens are slots, and the main text is the
+slots of the region that holds the article. Marked articles are a sign for that region.
 
 Occurrence vectors never travel: each page adds a hash of its identity and count, so
 equal sums are equal vectors, and a host's pages meet only in partial aggregates.
@@ -17,10 +22,11 @@ from __future__ import annotations
 import html as entities
 import re
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larder.llm.common import by_batches, col, stored
@@ -80,7 +86,8 @@ class Region:
 
     ``side`` is certain, by elements, roles and hidden attributes. ``weak`` has number
     and depth of the open regions that are beside the article by name only or as forms;
-    ``inner`` of them, the last ones, lie inside the innermost marked element.
+    ``inner`` of them, the last ones, lie inside the innermost marked element. ``top`` is
+    the depth of the outermost one.
     """
 
     tag: str
@@ -90,6 +97,7 @@ class Region:
     weak: tuple[tuple[int, int], ...] = ()
     inner: int = 0
     article: int = 0
+    top: int = 0
 
 
 @dataclass
@@ -106,6 +114,8 @@ class Block:
     inner: int = 0
     article: int = 0
     certain: bool = False
+    top: int = 0
+    number: int = 0
 
     @property
     def own(self) -> int:
@@ -115,12 +125,24 @@ class Block:
 
 @dataclass
 class Page:
-    """A page's tokens in order (path or text token, place) and its blocks."""
+    """A page's tokens in order (number, the region's number, a path token's path) and its blocks."""
 
-    tokens: list[tuple[str, int]] = field(default_factory=list)
+    tokens: list[tuple[int, int, str | None]] = field(default_factory=list)
     blocks: list[Block] = field(default_factory=list)
 
 
+def number_of(token: str) -> int:
+    """A token's number, of 63 bits."""
+    return xxhash.xxh64_intdigest(token) >> 1
+
+
+@lru_cache(1 << 14)
+def path_number(path: str) -> int:
+    """The number of a path token; paths repeat."""
+    return number_of(path)
+
+
+@lru_cache(1 << 12)
 def beside(names: str) -> bool:
     """Whether a class or id is that of a region beside the article, name by name."""
     return any(SIDE_NAME.search(name) and not MODIFIER.search(name) for name in names.split())
@@ -169,8 +191,10 @@ def parse(source: str | None) -> Page:
         if words:
             top = stack[-1]
             regions = tuple(r.path for r in stack[1:])
-            block = Block(top.path, words, top.side, top.main, linked, regions, top.weak, top.inner, top.article, top.side)
-            page.tokens.append((f"{top.path}#{xxhash.xxh64_hexdigest(words)}", len(page.tokens)))
+            number = number_of(f"{top.path}#{xxhash.xxh64_hexdigest(words)}")
+            signs = (top.weak, top.inner, top.article, top.side, top.top, number)
+            block = Block(top.path, words, top.side, top.main, linked, regions, *signs)
+            page.tokens.append((number, path_number(top.path), None))
             page.blocks.append(block)
         piece.clear()
         linked = 0
@@ -229,7 +253,7 @@ def parse(source: str | None) -> Page:
         names = f"{attributes.get('class', '')} {attributes.get('id', '')}".strip()
         names = re.sub(r"\d+", "0", names)
         path = f"{stack[-1].path}/{tag}" + (f".{names}" if names else "")
-        page.tokens.append((path, len(page.tokens)))
+        page.tokens.append((path_number(path), path_number(stack[-1].path), path))
         if tag in VOID:
             continue
         if tag in RAW:
@@ -243,8 +267,10 @@ def parse(source: str | None) -> Page:
         marks = tag == "article" or role == "article" or bool(MAIN_NAMES.search(names))
         starts = marks or tag == "main" or role == "main"
         main = above.main or starts
-        bare = ATTRIBUTE.sub(" ", rest).lower().replace("/", " ").split()
-        side = above.side or tag in SIDE or role in SIDE_ROLES or "hidden" in attributes or "hidden" in bare
+        side = above.side or tag in SIDE or role in SIDE_ROLES
+        if "hidden" in rest.lower():
+            bare = ATTRIBUTE.sub(" ", rest).lower().replace("/", " ").split()
+            side = side or "hidden" in attributes or "hidden" in bare
         side = side or (tag == "header" and not main)
         weak, inner = above.weak, 0 if starts else above.inner
         if tag in ("article", "main", "body", "html"):
@@ -255,7 +281,8 @@ def parse(source: str | None) -> Page:
             shares.append(NAMED_SHARE if beside(names) else FORM_SHARE)
         articles += marks
         article = articles if marks else above.article
-        stack.append(Region(tag, path, side, main, weak, inner, article))
+        top = above.top or (len(stack) if starts else 0)
+        stack.append(Region(tag, path, side, main, weak, inner, article, top))
         links += tag == "a"
     flush()
     settle(page.blocks, shares)
@@ -268,17 +295,37 @@ def host_of(url: str | None) -> str:
     return found[1].lower() if found else ""
 
 
-def extract(page: Page, template: set[str], main_path: str | None) -> str:
+#: Elements that can be the region of an article as a whole.
+HOLDER = re.compile(r"/(?:div|section|article|main|td|body|html)[^/#]*$")
+#: The layout that stands for all pages of a host; layouts by a mark begin with the sign.
+ALL, MARKED = "*", "="
+
+
+def layout_of(page: Page) -> str:
+    """Where the page has its article: its mark, else the deepest region with most of the text."""
+    marked = next((b for b in page.blocks if b.main and not b.side), None)
+    if marked:
+        return MARKED + marked.regions[marked.top - 1]
+    held: dict[str, int] = {}
+    total = 0
+    for block in page.blocks:
+        if not block.side:
+            total += block.own
+            for path in set(block.regions):
+                held[path] = held.get(path, 0) + block.own
+    most = [p for p, n in held.items() if n and 10 * n >= 7 * total and HOLDER.search(p)]
+    return max(most, key=lambda p: (p.count("/"), p), default="")
+
+
+def extract(page: Page, template: set[int], main_path: str | None) -> str:
     """The page's slots in the region of the article, one line for each block.
 
-    That region is what the page itself marks as article, else the region that the
-    host's template gives, else the whole page. Beside it nothing counts, and outside
-    a marked article texts of the template and blocks of links are not content. The
-    names of regions around the template's one do not matter.
+    That region is what the page itself marks as article, unless the template of its
+    layout gives another one, else the region of the template, else the whole page.
+    Texts of the template are no slots wherever they are. Beside the region nothing
+    counts, and outside a marked article blocks of links are not content. The names of
+    regions around the template's one do not matter.
     """
-    marked = [b for b in page.blocks if b.main and not b.side]
-    if marked:
-        return "\n".join(b.text for b in marked)
 
     def freed(b: Block) -> bool:
         """In the template's region, with uncertain regions only around it."""
@@ -287,17 +334,23 @@ def extract(page: Page, template: set[str], main_path: str | None) -> str:
         return all(depth <= b.regions.index(main_path) for _, depth in b.weak)
 
     blocks = [b for b in page.blocks if not b.side or freed(b)]
-    slots = [b for b in blocks if f"{b.path}#{xxhash.xxh64_hexdigest(b.text)}" not in template]
-    slots = [b for b in slots if 2 * b.linked < len(b.text)]
-    inside = [b for b in slots if main_path is not None and main_path in b.regions]
-    return "\n".join(b.text for b in (inside or slots))
+    slots = [b for b in blocks if b.number not in template]
+    inside = [b for b in slots if b.own and main_path in b.regions]
+    marked = any(b.main and not b.side for b in blocks)
+    if marked and (not inside or main_path is None or layout_of(page) == MARKED + main_path):
+        return "\n".join(b.text for b in slots if b.main and not b.side)
+    return "\n".join(b.text for b in inside or [b for b in slots if b.own])
 
 
-TOKENS = "host string, token string, page_hash long, n long, place double, slot long"
+TOKENS = "host string, layout string, path string, number long, up long, rest long, page_hash long, n long, slot long"
 
 
 def occurrences(pages: DataFrame, url: str, source: str) -> DataFrame:
-    """One row for each distinct token of a page: its host, count, place and text weight."""
+    """One row for each distinct token of a page: its host, layout, count and text weight.
+
+    Texts have a number and no ``path``. ``rest`` is the page's longest text besides the
+    token's own; copies of a page and pages that share their article have it in common.
+    """
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows = []
@@ -305,79 +358,202 @@ def occurrences(pages: DataFrame, url: str, source: str) -> DataFrame:
         for address, content in zip(urls, sources, strict=True):
             page = parse(content)
             identity = xxhash.xxh64_intdigest(f"{address}\0{content}")
-            host, size = host_of(address), max(len(page.tokens), 1)
-            counts: dict[str, list[float]] = {}
-            for token, place in page.tokens:
-                known = counts.setdefault(token, [0, place / size, 0])
-                known[0] += 1
+            host, layout = host_of(address), layout_of(page)
+            counts: dict[int, list] = {}
+            for number, above, path in page.tokens:
+                known = counts.get(number)
+                if known is None:
+                    counts[number] = [1, 0, above, path]
+                else:
+                    known[0] += 1
             for block in page.blocks:
-                if not block.side and 2 * block.linked < len(block.text):
+                if not block.side and block.own:
                     for path in block.regions:
-                        counts[path][2] += len(block.text)
-            for token, (n, place, slot) in counts.items():
+                        counts[path_number(path)][1] += len(block.text)
+            open_ = [b for b in page.blocks if not b.side] or page.blocks
+            texts = sorted({b.text for b in open_}, key=lambda t: (len(t), t))[-2:]
+            rests = [number_of(t) for t in reversed(texts)] + [0, 0]
+            longest = {b.number for b in page.blocks if b.text == texts[-1]}
+            for number, (n, slot, up, path) in counts.items():
                 mark = xxhash.xxh64_intdigest(f"{identity} {n}") >> 16
-                rows.append((host, token, mark, n, place, slot))
-        columns = list(zip(*rows, strict=True)) or [()] * 6
-        types = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.float64(), pa.int64()]
-        names = ["host", "token", "page_hash", "n", "place", "slot"]
+                rows.append((host, layout, path, number, up, rests[number in longest], mark, n, slot))
+        columns = list(zip(*rows, strict=True)) or [()] * 9
+        types = [pa.string()] * 3 + [pa.int64()] * 6
+        names = [part.split()[0] for part in TOKENS.split(", ")]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
 
     slim = pages.select(col(url).cast("string").alias("url"), col(source).cast("string").alias("html"))
     return slim.mapInArrow(by_batches(work, 128), TOKENS)
 
 
-#: Elements that can be the region of an article as a whole.
-HOLDERS = r"/(div|section|article|main|td|body|html)[^/#]*$"
+#: Bits of each of the two sketches that tell how many different contents a token is with.
+SKETCH = 128
+
+
+def sketch_bits(i: int) -> Column:
+    """A quarter of the two sketches of ``rest``, each with bits of its own."""
+    place = f"(shiftright(rest, {7 * (i // 2)}) & 127)"
+    return F.expr(f"if(shiftright({place}, 6) = {i % 2}, shiftleft(1L, cast({place} & 63 as int)), 0L)")
 
 
 def equivalence_classes(
     pages: DataFrame, url: str, source: str, least_pages: int, least_share: float
 ) -> DataFrame:
-    """The valid classes of every host: ``host``, ``pages``, ``host_slot`` and ``tokens``.
+    """The tokens of candidate classes: ``host``, ``layout``, ``class`` and ``part``.
 
     A token's vector is summed up by its pages, its total and the sum of its page
-    hashes; a class is the tokens of a host with one vector, in the order of their
-    mean place. It is valid if it is on ``least_pages`` pages and the share
-    ``least_share`` of the host's pages. A token's region is on every page that the
-    token is on, so the regions of a valid class are valid and classes nest by path.
+    hashes; a class is the tokens of a layout with one vector, a part those of them in
+    one region. A token counts if it is on ``least_pages`` pages and the share
+    ``least_share`` of the layout's, and if these are no copies: two sketches of the
+    longest other texts must show as many contents as pages are asked for, and half the
+    share of the contents that the layout shows.
     """
     seen = occurrences(pages, url, source)
-    tokens = seen.groupBy("host", "token").agg(
-        F.count(F.lit(1)).alias("pages"),
-        F.sum("n").alias("total"),
-        F.sum("page_hash").cast("decimal(38,0)").cast("string").alias("vector"),
-        F.avg("place").alias("place"),
-        F.sum("slot").alias("slot"),
+    for i in range(4):
+        seen = seen.withColumn(f"bits{i}", sketch_bits(i))
+    seen = seen.withColumn("low", F.col("page_hash").bitwiseAND(F.lit((1 << 24) - 1)))
+    seen = seen.withColumn("high", F.shiftright("page_hash", 24))
+    sums = ["total", "low", "high", "slot"]
+    merged = [F.max("path").alias("path"), F.max("up").alias("up")]
+    merged += [F.bit_or(f"bits{i}").alias(f"bits{i}") for i in range(4)]
+    by_layout = seen.withColumnRenamed("n", "total").groupBy("host", "layout", "number").agg(
+        F.count(F.lit(1)).alias("pages"), *[F.sum(c).alias(c) for c in sums], *merged
     )
-    is_path = F.instr("token", "#") == 0
-    # A text of one page is a slot on any host that can have a template; most texts are.
-    tokens = stored(tokens.where(is_path | (F.col("pages") >= least_pages)), "tokens")
-    sizes = tokens.where(is_path).groupBy("host").agg(
-        F.max("pages").alias("host_pages"), F.max("slot").alias("host_slot")
+    by_layout = stored(by_layout, "layouts")
+    by_host = by_layout.groupBy("host", "number").agg(*[F.sum(c).alias(c) for c in ["pages", *sums]], *merged)
+    both = by_layout.unionByName(by_host.withColumn("layout", F.lit(ALL)))
+    ones = [F.bit_count(f"bits{i}") for i in range(4)]
+    tokens = both.withColumn("contents", F.greatest(ones[0] + ones[1], ones[2] + ones[3]))
+    # What is on too few pages is a slot on any host that can have a template; most texts are.
+    tokens = stored(tokens.where((F.col("pages") >= least_pages) & (F.col("contents") >= least_pages)), "tokens")
+    tokens = tokens.withColumn("spread", -F.log(1 - F.least("contents", F.lit(SKETCH - 1)) / F.lit(SKETCH)))
+    sizes = tokens.groupBy("host", "layout").agg(
+        *[F.max(c).alias(f"all_{c}") for c in ("pages", "spread")],
+        F.max(F.when(F.col("path").isNotNull(), F.col("slot"))).alias("all_slot"),
     )
-    frequent = tokens.join(stored(sizes, "hosts"), "host").where(
-        (F.col("pages") >= least_pages) & (F.col("pages") >= least_share * F.col("host_pages"))
-    )
-    return frequent.groupBy("host", "pages", "total", "vector", "host_slot").agg(
-        F.sort_array(F.collect_list(F.struct("place", "token", "slot"))).alias("tokens")
+    frequent = tokens.join(stored(sizes, "hosts"), ["host", "layout"])
+    frequent = frequent.where(F.col("pages") >= least_share * F.col("all_pages"))
+    frequent = frequent.where(F.col("spread") >= least_share / 2 * F.col("all_spread"))
+    one = F.xxhash64("pages", "total", "low", "high")
+    return frequent.select(
+        "host", "layout", "path", "number", "slot", "all_slot", one.alias("class"), F.xxhash64(one, "up").alias("part")
     )
 
 
-def templates(pages: DataFrame, url: str, source: str, least_pages: int, least_share: float) -> DataFrame:
-    """One row for each host: the text tokens of its template, and the article's region.
+def units(page: Page, known: dict[int, tuple[int, int]], sizes: dict[int, int]) -> dict[int, int]:
+    """For each class, part and token on the page a number of its order and its slot.
+
+    ``known`` has class and part of each token and ``sizes`` how many tokens they have. The
+    number is below zero where the tokens do not come in one order, round by round, or
+    a token of the class around them comes in between.
+    """
+    rows: dict[int, list[int]] = {}
+    around: dict[int, list[tuple[int, int]]] = {}
+    above: dict[int, int] = {}
+    for number, up, _ in page.tokens:
+        above[number] = up
+        if number not in known:
+            continue
+        kind, part = known[number]
+        region = above[number]
+        while region in above and known.get(region, (kind,))[0] == kind:
+            region = above[region]
+        holder = known[region][0] if region in known else 0
+        slot = (holder, len(rows.get(holder, ())) % sizes.get(holder, 1))
+        for unit in (kind, part, number):
+            rows.setdefault(unit, []).append(number)
+            around.setdefault(unit, []).append(slot)
+    got = {}
+    for unit, row in rows.items():
+        size = sizes[unit]
+        first = row[:size]
+        whole = len(set(first)) == size and row == first * (len(row) // size)
+        # Parts and classes are whole only within one slot; each of their rounds is.
+        slots = set(around[unit])
+        got[unit] = number_of(f"{first} {slots.pop()}") if whole and len(slots) == 1 else -1
+    return got
+
+
+def read_layouts(rows: list[dict]) -> tuple[dict[str, dict[int, tuple[int, int]]], dict[str, dict[int, int]]]:
+    """By layout the class and part of each token, and the sizes of classes, parts and tokens."""
+    known: dict[str, dict[int, tuple[int, int]]] = {}
+    sizes: dict[str, dict[int, int]] = {}
+    for row in rows:
+        known.setdefault(row["layout"], {})[row["number"]] = (row["class"], row["part"])
+        size = sizes.setdefault(row["layout"], {})
+        for unit in (row["class"], row["part"]):
+            size[unit] = size.get(unit, 0) + 1
+        size[row["number"]] = 1
+    return known, sizes
+
+
+HOST = r"^\s*(?:[a-zA-Z][\w+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)"
+
+
+def with_host(pages: DataFrame, table: DataFrame, weight: Column, broadcast_bytes: int) -> DataFrame:
+    """The pages with their host's row, sent to them if the rows have few bytes, else joined."""
+    size = table.agg(F.sum(weight + F.length("host") + 64)).first()[0] or 0
+    host = F.lower(F.coalesce(F.regexp_extract("url", HOST, 1), F.lit("")))
+    return pages.withColumn("host", host).join(F.broadcast(table) if size <= broadcast_bytes else table, "host", "left")
+
+
+def valid_tokens(pages: DataFrame, url: str, source: str, tokens: DataFrame, broadcast_bytes: int) -> DataFrame:
+    """The tokens of classes, parts of classes, or single ones, that are valid on all pages."""
+    shown = F.struct("layout", "number", "class", "part")
+    by_host = stored(tokens.groupBy("host").agg(F.collect_list(shown).alias("tokens")), "classes")
+    slim = pages.select(col(url).cast("string").alias("url"), col(source).cast("string").alias("html"))
+    joined = with_host(slim, by_host, F.size("tokens") * 64, broadcast_bytes).where("tokens is not null")
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        known: dict[str, tuple] = {}
+        got: dict[tuple[str, str, int], tuple[int, int]] = {}
+        hosts, sources = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+        for i, (host, content) in enumerate(zip(hosts, sources, strict=True)):
+            if host not in known:
+                known[host] = read_layouts(batch.column(2)[i].as_py())
+            page = parse(content)
+            tokens, sizes = known[host]
+            made, of = {}, None
+            for layout in (layout_of(page), ALL):
+                if layout in tokens:
+                    if of is None or tokens[layout] != tokens[of]:
+                        made, of = units(page, tokens[layout], sizes[layout]), layout
+                    for unit, value in made.items():
+                        least, most = got.get((host, layout, unit), (value, value))
+                        got[host, layout, unit] = (min(least, value), max(most, value))
+        rows = [(*key, *ends) for key, ends in got.items()]
+        columns = list(zip(*rows, strict=True)) or [()] * 5
+        types = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
+        names = ["host", "layout", "unit", "least", "most"]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
+
+    shape = "host string, layout string, unit long, least long, most long"
+    checked = joined.select("host", "html", "tokens").mapInArrow(by_batches(work, 128), shape)
+    checked = checked.groupBy("host", "layout", "unit").agg(F.min("least").alias("least"), F.max("most").alias("most"))
+    valid = checked.where("least >= 0 and least = most").select("host", "layout", "unit")
+    units_of = tokens.withColumn("unit", F.explode(F.array_distinct(F.array("class", "part", "number"))))
+    return units_of.join(valid, ["host", "layout", "unit"], "left_semi").drop("unit").distinct()
+
 
-    The region is the deepest holding element of the template that has most of the
-    host's unlinked text outside side regions.
+def templates(
+    pages: DataFrame, url: str, source: str, least_pages: int, least_share: float, broadcast_bytes: int
+) -> DataFrame:
+    """One row for each host: by layout the text tokens of its template, and the article's region.
+
+    The region is the layout's mark if that has a fifth of the unlinked text outside
+    side regions, else the deepest holding element of the template that has most of it.
     """
-    classes = equivalence_classes(pages, url, source, least_pages, least_share)
-    nested = classes.select("host", "host_slot", F.inline("tokens"))
-    holds = (F.col("slot") * 10 >= F.col("host_slot") * 7) & (F.col("slot") > 0)
-    holds = holds & F.col("token").rlike(HOLDERS)
-    depth = F.size(F.split("token", "/"))
-    return nested.groupBy("host").agg(
-        F.collect_set(F.when(F.instr("token", "#") > 0, F.col("token"))).alias("texts"),
-        F.max_by("token", F.when(holds, F.struct(depth, F.col("slot"), F.col("token")))).alias("region"),
+    tokens = stored(equivalence_classes(pages, url, source, least_pages, least_share), "candidates")
+    nested = valid_tokens(pages, url, source, tokens, broadcast_bytes)
+    mark = (F.concat(F.lit(MARKED), "path") == F.col("layout")) & (F.col("slot") * 5 >= F.col("all_slot"))
+    holds = (F.col("slot") * 10 >= F.col("all_slot") * 7) & F.col("path").rlike(HOLDER.pattern)
+    holds = (mark | holds) & (F.col("slot") > 0)
+    depth = F.size(F.split("path", "/"))
+    by_layout = nested.groupBy("host", "layout").agg(
+        F.collect_set(F.when(F.col("path").isNull(), F.col("number"))).alias("texts"),
+        F.max_by("path", F.when(holds, F.struct(mark, depth, F.col("slot"), F.col("path")))).alias("region"),
     )
+    return by_layout.groupBy("host").agg(F.collect_list(F.struct("layout", "texts", "region")).alias("layouts"))
 
 
 def main_text(
@@ -400,31 +576,38 @@ def main_text(
     tags. Repeated pages stay repeated, NULL keys stay NULL, an empty table gives an
     empty result, and other columns are not read, whatever their names.
     """
-    made = stored(templates(pages, url, source, least_pages, least_share), "templates")
-    weight = F.aggregate("texts", F.lit(0).cast("long"), lambda a, t: a + F.length(t))
-    size = made.agg(F.sum(weight + F.length("host") + 64)).first()[0] or 0
+    made = stored(templates(pages, url, source, least_pages, least_share, broadcast_bytes), "templates")
+    weight = F.aggregate(
+        "layouts",
+        F.lit(0).cast("long"),
+        lambda a, t: a + F.size(t["texts"]) * 8 + F.length(t["layout"]) + F.length(F.coalesce(t["region"], F.lit(""))),
+    )
     slim = pages.select(
         col(key).alias("key"), col(url).cast("string").alias("url"), col(source).cast("string").alias("html")
     )
-    pattern = r"^\s*(?:[a-zA-Z][\w+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)"
-    host = F.lower(F.coalesce(F.regexp_extract("url", pattern, 1), F.lit("")))
-    table = F.broadcast(made) if size <= broadcast_bytes else made
-    joined = slim.withColumn("host", host).join(table, "host", "left")
+    joined = with_host(slim, made, weight, broadcast_bytes)
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         keep = {name: batch.column(name) for name in ("key", "url", "host")}
-        known: dict[str, set[str]] = {}
+        known: dict[str, dict[str, tuple[set[int], str | None]]] = {}
         out = []
-        rows = zip(*(batch.column(c).to_pylist() for c in ("host", "html", "texts", "region")), strict=True)
-        for name, content, texts, region in rows:
+        hosts, sources = batch.column("host").to_pylist(), batch.column("html").to_pylist()
+        for i, (name, content) in enumerate(zip(hosts, sources, strict=True)):
             if name not in known:
-                known[name] = set(texts or ())
-            out.append(extract(parse(content), known[name], region))
+                rows = batch.column("layouts")[i].as_py() or ()
+                known[name] = {r["layout"]: (set(r["texts"]), r["region"]) for r in rows}
+            page, host = parse(content), known[name]
+            layout = layout_of(page)
+            texts, region = host.get(layout, (set(), None))
+            others, region_of_all = host.get(ALL, (set(), None))
+            if region is None and not layout.startswith(MARKED):
+                region = region_of_all
+            out.append(extract(page, texts | others, region))
         sizes = pa.array([len(t) for t in out], pa.int64())
         arrays = [keep["key"], keep["url"], pa.array(out, pa.string()), sizes, keep["host"]]
         return pa.RecordBatch.from_arrays(arrays, ["key", "url", "text", "n_chars", "host"])
 
     kind = slim.schema["key"].dataType.simpleString()
     shape = f"key {kind}, url string, text string, n_chars long, host string"
-    got = joined.select("key", "url", "host", "html", "texts", "region").mapInArrow(by_batches(work, 128), shape)
+    got = joined.select("key", "url", "host", "html", "layouts").mapInArrow(by_batches(work, 128), shape)
     return got.select(F.col("key").alias(key), F.col("url").alias(url), "text", "n_chars", "host")

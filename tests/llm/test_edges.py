@@ -314,6 +314,70 @@ def test_template_region_inside_a_named_one():
     assert html_template.extract(page, set(), "/div.widget/div.c") == "Text"
 
 
+def main_texts(spark, rows):
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    return {r["page_id"]: r["text"] for r in html_template.main_text(pages).collect()}
+
+
+def words(i, j=0):
+    return f"Sentence {i} {j} of the page with its own words."
+
+
+def test_template_inside_marked_articles(spark):
+    notice = "<div class=n>Read us daily</div>"
+    rows = [
+        (i, "http://one.example/", f"<body><article><h1>Title {i}</h1>{notice if i % 4 else ''}<p>{words(i)}</p></article>")
+        for i in range(8)
+    ]
+    assert main_texts(spark, rows) == {i: f"Title {i}\n{words(i)}" for i in range(8)}
+
+
+def test_copies_of_an_article_are_no_template(spark):
+    rows = [(i, "http://one.example/", f"<body><i>{i}</i><article><p>{words(1)}</p><p>And so on</p></article>") for i in range(8)]
+    assert main_texts(spark, rows) == {i: f"{words(1)}\nAnd so on" for i in range(8)}
+
+
+def test_a_layout_of_few_pages_has_its_template(spark):
+    rows = [(i, "http://one.example/", f"<body><div class=a><p>{words(i)}</p></div>") for i in range(20)]
+    rows += [
+        (i, "http://one.example/", f"<body><div class=b><p>Only in some</p><p>{words(i)}</p></div>") for i in range(20, 24)
+    ]
+    assert main_texts(spark, rows) == {i: words(i) for i in range(24)}
+
+
+def test_marks_with_little_text_are_no_article(spark):
+    rows = [
+        (i, "http://one.example/", f"<body><article>Card {i}</article><div class=c><p>{words(i)}</p><p>{words(i, 1)}</p></div>")
+        for i in range(6)
+    ]
+    assert main_texts(spark, rows) == {i: f"{words(i)}\n{words(i, 1)}" for i in range(6)}
+
+
+def test_classes_have_one_order_and_slot():
+    page = html_template.parse("<body><h1>T</h1><p>A</p><p>B</p></body>")
+    other = html_template.parse("<body><h1>T</h1><p>B</p><p>A</p></body>")
+    a, b = (n.number for n in page.blocks[1:])
+    body, head = (html_template.path_number(t) for t in ("/body", "/body/h1"))
+    known = {body: (1, 2), head: (1, 3), a: (7, 8), b: (7, 8)}
+    sizes = {1: 2, 2: 1, 3: 1, 7: 2, 8: 2, body: 1, head: 1, a: 1, b: 1}
+    one, two = html_template.units(page, known, sizes), html_template.units(other, known, sizes)
+    assert min(one.values()) >= 0 and min(two.values()) >= 0
+    assert {u for u in one if one[u] != two[u]} == {7, 8}  # another order
+    moved = html_template.units(html_template.parse("<body><p>A</p><h1>T</h1><p>B</p></body>"), known, sizes)
+    assert moved[7] == -1 and moved[a] != one[a] and moved[b] == one[b]  # another slot
+
+
+def test_a_text_without_a_fixed_slot_is_no_template(spark):
+    rows = []
+    for i in range(8):
+        texts = [f"<p>{words(i)}</p>", "<h2>Part</h2>", f"<p>{words(i, 1)}</p>"]
+        texts.insert(3 * (i % 2), "<blockquote>So it goes</blockquote>")
+        rows.append((i, "http://one.example/", f"<body><article>{''.join(texts)}</article>"))
+    rows.append((8, "http://one.example/", f"<body><article><p>{words(8)}</p><h2>Part</h2></article>"))
+    got = main_texts(spark, rows)
+    assert all("So it goes" in got[i] and "Part" not in got[i] for i in range(8))
+
+
 def test_fixity(spark):
     pages = spark.createDataFrame(
         [(i, f"u{i}", "x" * i) for i in range(40)] + [(None, None, None), (3, "u3", "xxx"), (3, "u3", "xxx")],
