@@ -61,16 +61,12 @@ def op3_quality_forest(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op4_shard_shuffle(spark: SparkSession, folder: str) -> DataFrame:
+    made = shard_shuffle.shuffled(table(spark, folder, "documents"), 16)
     text = F.coalesce("text", F.lit(""))
-    rows = table(spark, folder, "documents").select(
+    return made.select(
         "doc_id",
         (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
-    )
-    return shard_shuffle.shuffled(rows, 16).select(
-        "doc_id",
-        "size",
-        "text_crc32",
         F.lit("rows").alias("law"),
         "shard",
         "slot",
@@ -151,8 +147,8 @@ MIX_BLOCK = 1 << 16
 def op7_weight_mix(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
     weights = weight_mix.tempered_weights(documents, "source", SOURCE_POWER)
-    slim = documents.select("doc_id", "source", F.octet_length("text").cast("long").alias("n_bytes"))
-    return weight_mix.mixed(slim, weights, size=F.col("n_bytes"), block=MIX_BLOCK)
+    made = weight_mix.interleaved(documents, weights, F.octet_length("text"), block=MIX_BLOCK)
+    return made.select("doc_id", "source", F.octet_length("text").cast("long").alias("n_bytes"), *weight_mix.ADDED)
 
 
 def held_out() -> Column:

@@ -204,3 +204,22 @@ def mixed(
         slot.cast("long").alias("mix_slot"),
         F.col("nth").alias("mix_place"),
     )
+
+
+def interleaved(df: DataFrame, weights: dict[str, float], size: Column, source: str = "source", **options) -> DataFrame:
+    """The whole rows of ``mixed`` in the order of the mix, with its columns.
+
+    Only numbers, sources and sizes are scheduled; the rows join the schedule once and
+    are sorted by it. Equal rows have one number, and the schedule has every repeat.
+    """
+    kept = without(df, ADDED)
+    row = F.struct(*[col(c) for c in kept])
+    rows = df.select(row.alias("row"), size.cast("long").alias("size"), col(source).cast("string").alias("name"))
+    rows = rows.withColumn("content", F.xxhash64("row"))
+    slim = stored(rows.select("content", "name", "size"), "slim")
+    plan = stored(mixed(slim, weights, "name", F.col("size"), **options).select("content", *ADDED), "plan")
+    if slim.groupBy("content").count().where("count > 1").limit(1).count():
+        rows = rows.dropDuplicates(["content"])
+    made = rows.select("content", "row").join(plan, "content")
+    ordered = made.repartitionByRange("mix_slot", "mix_place").sortWithinPartitions("mix_slot", "mix_place")
+    return ordered.select("row.*", *ADDED)

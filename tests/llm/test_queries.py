@@ -9,10 +9,12 @@ import duckdb
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from __spark_entry__ import oracle_sql, queries
+from larder.llm import shard_shuffle
 from larder.llm.queries import ORACLE_SQL, QUERIES
 
 FOLDER = "/root/testdata/sf0.01"
@@ -124,6 +126,12 @@ def test_shards(spark, documents):
         assert (r["size"], r["text_crc32"], r["law"], r["grown_shard"]) == (len(raw) + 1, zlib.crc32(raw), "rows", None)
 
 
+def test_shard_digests_come_from_the_shards(spark, monkeypatch):
+    real = shard_shuffle.shuffled
+    monkeypatch.setattr(shard_shuffle, "shuffled", lambda *a: real(*a).withColumn("text", F.lit("x")))
+    assert {(r["size"], r["text_crc32"]) for r in rows_of(spark, "op4_shard_shuffle")} == {(2, zlib.crc32(b"x"))}
+
+
 def test_token_store(spark, documents, words_file):
     coder, start = Tokenizer.from_file(words_file), 0
     got = {r["doc_id"]: (r["start"], r["n_tokens"], r["ids_crc32"]) for r in rows_of(spark, "op5_token_store")}
@@ -177,6 +185,13 @@ def test_mix_keeps_every_row(spark, documents):
     assert sorted(first) == sorted(documents)
 
 
+def test_mix_has_the_texts_in_order(spark, documents):
+    got = rows_of(spark, "op7_weight_mix")
+    places = [(r["mix_slot"], r["mix_place"]) for r in got]
+    assert places == sorted(places)
+    assert all(r["n_bytes"] == len((documents[r["doc_id"]]["text"] or "").encode()) for r in got)
+
+
 def test_pipeline_stages_take_effect(spark, documents):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     kept = corpus_pipeline.quality_rules(spark, docs, FOLDER)
