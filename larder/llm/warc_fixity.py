@@ -12,7 +12,11 @@ left at the leaves are the damaged, lost and added records.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import gzip
+import hashlib
+import re
+from collections import deque
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -132,6 +136,10 @@ def audit(
     ``lost`` (no record in the second) or ``added`` (none in the first). Only records in
     differing branches are compared; the others are ``ok`` by their node's hash.
 
+    A lost or inserted record gives all records behind it other ordinals, so the leaves
+    of differing branches are paired archive by archive: by bytes and offset, by bytes
+    in order, by record id in order, and those without a readable id by offset.
+
     NULL keys, URLs and payloads are records with empty fields; repeated rows are
     records of their own; empty replicas have no roots and differ in nothing.
     """
@@ -139,81 +147,168 @@ def audit(
     one = [stored(level, "tree") for level in tree(first, per_archive, fan)]
     two = [stored(level, "tree") for level in tree(second, per_archive, fan)]
     suspects = stored(differing(one, two, fan), "suspects").withColumnRenamed("node", "ordinal")
+    suspects = suspects.select("archive", F.col("ordinal").cast("int").alias("ordinal"))
     place = ["archive", "ordinal"]
-    marked = suspects.select("archive", F.col("ordinal").cast("int").alias("ordinal"), F.lit(True).alias("suspect"))
-    names = ["key", "offset", "length", "digest"]
-    left = first.join(marked, place, "left")
-    right = second.join(marked, place, "left_semi").select(*place, *[F.col(n).alias(f"{n}_2") for n in names])
-    both = left.join(right, place, "full")
-    state = (
-        F.when(F.col("digest").isNull(), "added")
-        .when(F.col("suspect").isNull(), "ok")
-        .when(F.col("digest_2").isNull(), "lost")
-        .when(F.col("digest") != F.col("digest_2"), "damaged")
-        .otherwise("moved")
+    sound = first.join(suspects, place, "left_anti").select(
+        *LEAF.names, F.lit("ok").alias("state"), F.lit(None).cast("string").alias("replica_digest")
     )
-    shown = [F.coalesce(n, f"{n}_2").alias(n) for n in names]
-    return both.select(*place, *shown, state.alias("state"), F.col("digest_2").alias("replica_digest"))
-
-
-def write_warc(pages: DataFrame, folder: str, per_archive: int = PER_ARCHIVE, **names: str) -> None:
+    sides = [
+        side.join(suspects, place, "left_semi").select(*LEAF.names, F.lit(n).alias("side"))
+        for n, side in enumerate((first, second))
+    ]
+    shape = "archive long, ordinal int, key long, offset long, length long, digest string, state string, "
+    paired = sides[0].union(sides[1]).groupBy("archive").applyInArrow(paired_leaves, shape + "replica_digest string")
+    return sound.union(paired)
+
+
+def paired_leaves(table: pa.Table) -> pa.Table:
+    """The suspect leaves of one archive in both replicas with their states."""
+    rows = sorted(table.to_pylist(), key=lambda r: r["ordinal"])
+    left, right = ([r for r in rows if r["side"] == side] for side in (0, 1))
+    out = []
+
+    def pair(name: Callable[[dict], tuple | None], same: bool) -> None:
+        """Pair what has one name in both, in order, and take it from the leaves left."""
+        nonlocal left, right
+        known: dict[tuple, deque] = {}
+        for r in right:
+            if name(r) is not None:
+                known.setdefault(name(r), deque()).append(r)
+        rest, used = [], set()
+        for r in left:
+            found = known.get(name(r)) if name(r) is not None else None
+            if not found:
+                rest.append(r)
+                continue
+            other = found.popleft()
+            used.add(other["ordinal"])
+            still = same and other["offset"] == r["offset"]
+            state = ("ok" if still else "moved") if same else "damaged"
+            out.append(r | {"state": state, "replica_digest": None if still else other["digest"]})
+        left, right = rest, [r for r in right if r["ordinal"] not in used]
+
+    pair(lambda r: (r["digest"], r["offset"]), True)
+    pair(lambda r: (r["digest"],), True)
+    pair(lambda r: None if r["key"] is None else (r["key"],), False)
+    pair(lambda r: (r["offset"],), False)
+    out += [r | {"state": "lost", "replica_digest": None} for r in left]
+    out += [r | {"state": "added", "replica_digest": r["digest"]} for r in right]
+    return pa.Table.from_pylist(out, STATES)
+
+
+def write_warc(
+    pages: DataFrame, folder: str, per_archive: int = PER_ARCHIVE, compression: str = "none", **names: str
+) -> None:
     """Write pages as WARC files, one folder ``archive=N`` for each archive.
 
     A record ends with two line ends, which is the writer's line separator, so the
-    files are plain WARC files with the offsets of ``leaves``.
+    files are plain WARC files with the offsets of ``leaves``; ``compression`` may be gzip.
     """
-    table = records(pages, **names)
-    digest = F.sha2(F.col("record").cast("binary"), 256)
-    order = [F.col("key").asc_nulls_first(), F.xxhash64("url"), digest]
-    line = positions(placed(table, *order))
+    table = records(pages, **names).withColumn("digest", F.sha2(F.col("record").cast("binary"), 256))
+    order = [F.col("key").asc_nulls_first(), F.col("url"), F.col("digest")]
+    # Only hashes are sorted; the texts join their places, and equal records share a text.
+    line = placed(table.select("key", F.xxhash64("url").alias("url"), "digest"), *order)
+    texts = table.select("digest", "record")
+    if line.groupBy("digest").count().where("count > 1").limit(1).count():
+        texts = texts.dropDuplicates(["digest"])
+    line = positions(line).join(texts, "digest")
     line = line.withColumn("archive", F.floor(F.col("position") / per_archive).cast("long"))
     # One task for each archive, which has a bounded number of records.
-    spread = line.repartition("archive").sortWithinPartitions("archive", "position")
+    write_records(line.repartition("archive"), folder, compression)
+
+
+def write_records(table: DataFrame, folder: str, compression: str) -> None:
+    """Write ``record`` by ``archive`` and ``position``; an archive's records are in one partition."""
+    spread = table.sortWithinPartitions("archive", "position")
     spread.select("archive", F.col("record").alias("value")).write.partitionBy("archive").option(
         "lineSep", GAP
-    ).text(folder)
+    ).option("compression", compression).text(folder)
 
 
-def read_warc(spark: SparkSession, folder: str) -> DataFrame:
-    """The leaves of WARC files written by ``write_warc``, from their bytes.
+HEAD = re.compile(rb"WARC/1\.0\r\n(?:[^\r\n]+\r\n)*?Content-Length: (\d+)\r\n(?:[^\r\n]+\r\n)*?\r\n")
+KEY = re.compile(rb"WARC-Record-ID: <urn:record:(-?\d+)>")
+
 
-    Records are found by their content lengths. A file whose structure is broken
-    gives one leaf for the rest of its bytes.
+def split_records(data: bytes) -> Iterator[tuple[int, int, int, int | None]]:
+    """Start, end, end with gap, and id of every record of a WARC file, by content lengths.
+
+    After a header that cannot be read, or a length that does not lead to a record's end,
+    the next line ``WARC/1.0`` begins a record. Zero bytes, as a bad extent reads, are
+    no record.
     """
+    at, gap = 0, GAP.encode()
+    while at < len(data):
+        found = HEAD.match(data, at)
+        end = found.end() + int(found[1]) if found else -1
+        if not found or data[end : end + 4] != gap:
+            end = data.find(b"WARC/1.0\r\n", at + 1)
+            end = len(data) if end < 0 else end
+            end -= 4 if data[at:end].endswith(gap) else 0
+        stop = end + 4 if data[end : end + 4] == gap else end
+        border = data.find(gap, at, end)
+        name = KEY.search(data, at, end if border < 0 else border)
+        if data[at:end].strip(b"\0"):
+            yield at, end, stop, int(name[1]) if name else None
+        at = max(stop, at + 1)
+
+
+def warc_files(spark: SparkSession, folder: str) -> DataFrame:
+    """``archive`` and ``content``, as it is stored, of the files of a folder."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").option(
         "recursiveFileLookup", "true"
     ).load(folder)
-    files = files.select(F.regexp_extract("path", r"archive=(\d+)", 1).cast("long").alias("archive"), "content")
+    return files.select(F.regexp_extract("path", r"archive=(\d+)", 1).cast("long").alias("archive"), "content")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import hashlib
-        import re
 
-        head = re.compile(rb"WARC/1\.0\r\n(?:[^\r\n]*\r\n)*?Content-Length: (\d+)\r\n(?:[^\r\n]*\r\n)*?\r\n")
-        key = re.compile(rb"WARC-Record-ID: <urn:record:(-?\d+)>")
+def plain(data: bytes) -> bytes:
+    """A file's bytes without its gzip compression, if it has one."""
+    return gzip.decompress(data) if data.startswith(b"\x1f\x8b") else data
+
+
+def read_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """The leaves of WARC files, from their bytes; see ``split_records`` for broken ones."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                archive, data = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
-                rows, at = [], 0
-                while at < len(data):
-                    found = head.match(data, at)
-                    end = found.end() + int(found[1]) if found else len(data)
-                    if found and data[end : end + 4] != b"\r\n\r\n":
-                        end = data.find(b"\r\n\r\nWARC/1.0\r\n", at)
-                        end = len(data) - 4 if end < 0 else end
-                    record = data[at:end]
-                    name = key.search(record)
-                    stop = min(end + 4, len(data))
-                    number = int(name[1]) if name else None
-                    digest = hashlib.sha256(record).hexdigest()
-                    rows.append((archive, len(rows), number, at, stop - at, digest))
-                    at = max(stop, at + 1)
+                archive, data = batch.column(0)[i].as_py(), plain(batch.column(1)[i].as_py())
+                rows = [
+                    (archive, n, key, at, stop - at, hashlib.sha256(data[at:end]).hexdigest())
+                    for n, (at, end, stop, key) in enumerate(split_records(data))
+                ]
                 yield pa.RecordBatch.from_pylist(
                     [dict(zip(LEAF.names, row, strict=True)) for row in rows], LEAF
                 )
 
     shape = "archive long, ordinal int, key long, offset long, length long, digest string"
-    return files.mapInArrow(run, shape)
+    return warc_files(spark, folder).mapInArrow(run, shape)
+
+
+def copy_warc(
+    spark: SparkSession,
+    folder: str,
+    target: str,
+    change: Callable[[int | None, bytes], bytes | None],
+    compression: str = "none",
+) -> None:
+    """Write a replica from the bytes of WARC files, each record changed, or left out if None."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                archive, data = batch.column(0)[i].as_py(), plain(batch.column(1)[i].as_py())
+                made = [change(key, data[at:end]) for at, end, _, key in split_records(data)]
+                made = [record for record in made if record is not None]
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "archive": pa.array([archive] * len(made), pa.int64()),
+                        "position": pa.array(range(len(made)), pa.int64()),
+                        "record": pa.array(made, pa.binary()).cast(pa.string()),
+                    }
+                )
+
+    table = warc_files(spark, folder).mapInArrow(run, "archive long, position long, record string")
+    write_records(table, target, compression)
 
 
 LEAF = pa.schema(
@@ -226,3 +321,4 @@ LEAF = pa.schema(
         ("digest", pa.string()),
     ]
 )
+STATES = pa.schema([*LEAF, ("state", pa.string()), ("replica_digest", pa.string())])

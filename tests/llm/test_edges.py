@@ -418,6 +418,30 @@ def test_warc_files_have_the_leaves(spark):
     assert sorted(map(tuple, read)) == sorted(map(tuple, made))
 
 
+def test_audit_of_damaged_files(spark, tmp_path):
+    pages = spark.createDataFrame(
+        [(i, f"http://x/{i}", f"<p>{i}</p>" * (i + 1)) for i in range(30)], "page_id long, url string, html string"
+    )
+    one = fresh_folder(spark, "warc")
+    warc_fixity.write_warc(pages, one, per_archive=8, compression="gzip")
+    first = warc_fixity.read_warc(spark, one)
+    for name, change, expected in [
+        ("dropped", lambda key, record: None if key == 10 else record, {10: "lost"} | dict.fromkeys(range(11, 16), "moved")),
+        ("zeros", lambda key, record: bytes(len(record)) if key == 10 else record, {10: "lost"}),
+        ("header", lambda key, record: b"X" + record[1:] if key == 10 else record, {10: "damaged"}),
+        (
+            "length",
+            lambda key, record: record.replace(b"Content-Length: ", b"Content-Length: 9") if key == 10 else record,
+            {10: "damaged"} | dict.fromkeys(range(11, 16), "moved"),
+        ),
+        ("id", lambda key, record: record.replace(b"urn:record", b"urn:recorx") if key == 10 else record, {10: "damaged"}),
+    ]:
+        two = str(tmp_path / name)
+        warc_fixity.copy_warc(spark, one, two, change)
+        found = warc_fixity.audit(first, warc_fixity.read_warc(spark, two), per_archive=8, fan=2).collect()
+        assert sorted((r["key"], r["state"]) for r in found) == [(i, expected.get(i, "ok")) for i in range(30)]
+
+
 def test_cycle_deviates_by_less_than_one_block(spark):
     counts = weight_mix.cycle_counts({"a": 5.0, "b": 3.0, "c": 1.0, "d": 0.0, "e": 1e-9}, cycle=50)
     assert sum(counts.values()) == 50 and min(counts.values()) >= 1 and "d" not in counts
