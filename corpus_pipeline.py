@@ -92,9 +92,9 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all token sequences."""
+    """The pieces of all token sequences with their ids; the checksum is that of the ids given out."""
     path = queries.tokenizer_path("byte_bpe_50k.json")
-    return curve_pack.packed(docs, path, with_ids=False)
+    return curve_pack.packed(docs, path).withColumn("ids_crc32", F.crc32("ids"))
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]

@@ -179,6 +179,18 @@ def check_pieces(got, ids):
     assert sorted(sizes)[1:] == [2048] * (len(sizes) - 1)
 
 
+def test_pipeline_gives_out_the_ids(spark, documents, bytes_file):
+    coder = Tokenizer.from_file(bytes_file)
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(50)
+    got, ids = corpus_pipeline.packing(spark, docs, FOLDER).collect(), {}
+    for r in sorted(got, key=lambda r: (r["doc_id"], r["start"])):
+        assert r["ids_crc32"] == zlib.crc32(r["ids"]) and len(r["ids"]) == 4 * r["length"]
+        ids.setdefault(r["doc_id"], []).extend(np.frombuffer(r["ids"], "<u4").tolist())
+    assert len(ids) == 50
+    for key, own in ids.items():
+        assert own == [*coder.encode(documents[key]["text"] or "", add_special_tokens=False).ids, 1]
+
+
 def test_mix_keeps_every_row(spark, documents):
     got = rows_of(spark, "op7_weight_mix")
     first = [r["doc_id"] for r in got if r["mix_epoch"] == 0]
