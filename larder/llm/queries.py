@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder.llm import (
+    conversation_repair,
     curve_pack,
     html_template,
     language_id,
@@ -201,3 +202,21 @@ FROM scored QUALIFY rank <= 5
 def op10_curve_pack(spark: SparkSession, folder: str) -> DataFrame:
     path = tokenizer_path("byte_bpe_50k.json")
     return curve_pack.packed(table(spark, folder, "documents"), path, with_ids=False)
+
+
+@query
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    conversations = table(spark, folder, "conversations")
+    blocks = conversation_repair.repair(conversation_repair.damaged(conversations))
+    found = conversation_repair.summary(blocks).withColumnRenamed("conv_id", "found_id")
+    # A conversation that lost all its rows is still named, and its columns say nothing.
+    names = conversations.select("conv_id").distinct()
+    made = names.join(found, F.col("conv_id").eqNullSafe(F.col("found_id")), "left")
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in conversation_repair.SUMMARY[:-2]]
+    nothing = F.sha2(F.lit("").cast("binary"), 256)
+    return made.select(
+        "conv_id",
+        *counts,
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", nothing).alias("repaired_sha256"),
+    )
