@@ -11,6 +11,7 @@ from larder.llm import (
     conversation_repair,
     curve_pack,
     html_template,
+    importance_resample,
     language_id,
     quality_forest,
     shard_shuffle,
@@ -220,3 +221,9 @@ def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
         F.coalesce("audit", F.lit("")).alias("audit"),
         F.coalesce("repaired_sha256", nothing).alias("repaired_sha256"),
     )
+
+
+@query
+def op12_importance_resample(spark: SparkSession, folder: str) -> DataFrame:
+    documents, target = table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    return importance_resample.resample(documents, target)
