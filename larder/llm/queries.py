@@ -14,6 +14,7 @@ from larder.llm import (
     importance_resample,
     language_id,
     quality_forest,
+    quality_network,
     shard_shuffle,
     simhash_links,
     token_store,
@@ -227,3 +228,15 @@ def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
 def op12_importance_resample(spark: SparkSession, folder: str) -> DataFrame:
     documents, target = table(spark, folder, "documents"), table(spark, folder, "benchmark")
     return importance_resample.resample(documents, target)
+
+
+def unlearned() -> Column:
+    number = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    return F.crc32(number.cast("binary")) % 5 == 0
+
+
+@query
+def op13_quality_network(spark: SparkSession, folder: str) -> DataFrame:
+    documents, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    scored = quality_network.score(documents, labels, ~unlearned())
+    return scored.select("doc_id", unlearned().alias("held_out"), "score", "predicted")
