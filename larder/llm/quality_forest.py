@@ -185,9 +185,10 @@ def assess(
 ) -> DataFrame:
     """``key``, the base counts, ``base_failed``, ``score`` and ``kept`` of every row.
 
-    The forest is fitted on ``fit_rows`` documents that pass the base limits, those
-    with the smallest hashes, so any partitioning gives the same ones. The cut-off
-    uses every labelled row that passes the base limits, as counts by score step.
+    The forest is fitted on about ``fit_rows`` different combinations of statistics of
+    documents that pass the base limits, those with the smallest hashes, so any
+    partitioning and any key gives the same ones. The cut-off uses every labelled row
+    that passes the base limits, as counts by score step.
 
     NULL and empty texts have no words and fail the base limits. Rows with a NULL
     key are judged like others; they have no label. Repeated rows and repeated labels
@@ -196,13 +197,13 @@ def assess(
     """
     spark = df.sparkSession
     table = stored(measured(df, key, text), "statistics")
-    passed = table.where(~F.col("base_failed"))
-    chosen = (
-        passed.select("rates", F.xxhash64("key", *BASE).alias("hash"))
-        .orderBy("hash", "rates")
-        .limit(fit_rows)
-        .collect()
-    )
+    # Drawn by what the forest sees and nothing else, each combination of statistics once: the
+    # key, its name and the number of copies have no say in which forest grows.
+    kinds = table.where(~F.col("base_failed")).select(*BASE, "rates").distinct()
+    kinds = stored(kinds.withColumn("pick", F.shiftrightunsigned(F.xxhash64(*BASE, "rates"), 11)), "kinds")
+    share = min(1.0, fit_rows / max(kinds.count(), 1))
+    chosen = kinds.where(F.col("pick") < int(share * (1 << 53))).collect()
+    chosen.sort(key=lambda row: (row["pick"], [row[name] for name in BASE], row["rates"]))
     if not chosen:
         none = F.lit(None).cast("double")
         return table.select(
