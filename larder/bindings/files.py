@@ -8,10 +8,10 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.bindings.inputs import document_recipes, event_recipe_rows, event_recipes, table
+from larder.bindings.inputs import document_recipes, event_recipe_rows, event_recipes, iso, table
 from larder.bindings.registry import query
 from larder.bindings.transforms import (
     COOK,
@@ -21,10 +21,11 @@ from larder.bindings.transforms import (
     PREP,
     TOTAL,
     average_sql,
+    difficulty_sql,
 )
 from larder.operators import quarantine as rules
 from larder.operators import recipes
-from larder.plans import current_job
+from larder.plans import current_job, history_job
 from larder.plans import recipe_job as job
 from larder.schemas import CORRUPT_COLUMN, RECIPE, RECIPE_AGGREGATE
 from larder.sources import (
@@ -36,8 +37,11 @@ from larder.sources import (
     read_files,
     read_json_lines,
     read_landed,
+    type_recipes,
+    write_arrivals,
     write_files,
 )
+from larder.sources.landing import EXECUTION_DAY
 
 DAY = dt.date(2024, 1, 10)
 
@@ -107,9 +111,7 @@ def arrival_day_read(spark: SparkSession, folder: str) -> DataFrame:
     """Raw files in ``yyyy/MM/dd`` folders, one day of them read."""
     events = table(spark, folder, "events").select("event_id", "user_id", "event_type", "ts")
     arrived, root = events.drop("ts"), fresh_folder(spark, "arrivals")
-    days = events.withColumn("day", F.to_date("ts"))
-    for day in [r["day"] for r in days.select("day").distinct().collect()]:
-        write_files(days.where(F.col("day") == day).drop("ts", "day"), f"{root}/{day:%Y/%m/%d}", "json")
+    write_arrivals(events.withColumn("day", F.to_date("ts")).drop("ts"), root, "day")
     return read_arrival_day(spark, root, DAY, arrived.schema)
 
 
@@ -257,5 +259,68 @@ def recipe_current(spark: SparkSession, folder: str) -> DataFrame:
         day = DAY + dt.timedelta(days=parity)
         preprocess_recipes(load, layer, day)
         current_job.merge_day(spark, layer, current, day)
-    state = read_days(spark, current, DAY + dt.timedelta(days=1), day_column=current_job.AS_OF)
+    state = current_job.read_current(spark, current, DAY + dt.timedelta(days=1))
     return state.select("url", "execution_date", "name", "prepTimeMinutes", "cookTimeMinutes")
+
+
+DAILY, WEEKLY = "CAST(ts AS DATE)", "CAST(date_trunc('week', ts) AS DATE)"
+
+
+def _history_sql(day: str) -> str:
+    """The intervals by windows: a user's recipe as each dump gives it, then gaps and islands."""
+    return f"""
+    WITH dumps AS (
+             SELECT 'user/' || user_id AS url, {day} AS day, event_type AS name,
+                    user_id + event_id % 2 * 60 AS total
+             FROM events
+             QUALIFY row_number() OVER (PARTITION BY user_id, {day}
+                                        ORDER BY event_type DESC, event_id % 2 DESC) = 1),
+         loads AS (SELECT day, row_number() OVER (ORDER BY day) AS load,
+                          lead(day) OVER (ORDER BY day) AS next_load
+                   FROM (SELECT DISTINCT day FROM dumps) AS d),
+         seen AS (SELECT *, {difficulty_sql("total")} AS level FROM dumps JOIN loads USING (day)),
+         marked AS (SELECT *, CASE WHEN lag(load) OVER k = load - 1 AND lag(name) OVER k = name
+                                    AND lag(total) OVER k = total THEN 0 ELSE 1 END AS starts
+                    FROM seen WINDOW k AS (PARTITION BY url ORDER BY day)),
+         islands AS (SELECT *, sum(starts) OVER (PARTITION BY url ORDER BY day) AS island
+                     FROM marked)
+    SELECT url, min(day) AS valid_from,
+           CASE WHEN bool_or(next_load IS NULL) THEN NULL
+                ELSE CAST(max(next_load) - INTERVAL 1 DAY AS DATE) END AS valid_to,
+           any_value(name) AS name, any_value(total) AS total, any_value(level) AS level
+    FROM islands GROUP BY url, island"""
+
+
+def _dumped_layer(spark: SparkSession, folder: str, day: Column) -> str:
+    """A typed layer into which the users' recipes were dumped on several days."""
+    events = table(spark, folder, "events")
+    user, hour = F.col("user_id"), F.col("event_id") % 2
+    rows = events.select(
+        F.col("event_type").alias("name"),
+        F.lit("salt").alias("ingredients"),
+        iso("user/", user).alias("url"),
+        iso("PT", user, "M").alias("cookTime"),
+        iso("PT", hour, "H").alias("prepTime"),
+        day.cast("date").alias(EXECUTION_DAY),
+    )
+    absent = {n: F.lit(None).cast("string") for n in RECIPE.fieldNames() if n not in rows.columns}
+    path = fresh_folder(spark, "layer")
+    land_by_partition(type_recipes(rows.withColumns(absent)), path, [EXECUTION_DAY])
+    return path
+
+
+@query(_history_sql(DAILY))
+def recipe_history(spark: SparkSession, folder: str) -> DataFrame:
+    """The intervals over which each recipe was there and stayed as it was."""
+    return history_job.history_of_layer(spark, _dumped_layer(spark, folder, F.col("ts")))
+
+
+@query(_history_sql(WEEKLY))
+def recipe_history_by_dump(spark: SparkSession, folder: str) -> DataFrame:
+    """The history of weekly dumps, carried on dump by dump."""
+    layer = _dumped_layer(spark, folder, F.date_trunc("week", "ts"))
+    history = fresh_folder(spark, "history")
+    days = read_landed(spark, layer).select(EXECUTION_DAY).distinct().orderBy(EXECUTION_DAY)
+    for (day,) in days.collect():
+        history_job.merge_day(spark, layer, history, day)
+    return history_job.read_history(spark, history)

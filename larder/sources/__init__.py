@@ -10,6 +10,7 @@ from larder.sources.landing import (
     read_landed,
     rebalanced,
     type_recipes,
+    write_arrivals,
 )
 from larder.sources.workspace import checkpoint_ready, fresh_folder
 
@@ -26,5 +27,6 @@ __all__ = [
     "read_landed",
     "rebalanced",
     "type_recipes",
+    "write_arrivals",
     "write_files",
 ]

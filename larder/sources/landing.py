@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -12,6 +13,7 @@ from pyspark.sql import types as T
 
 from larder.functions import duration_minutes
 from larder.operators.quarantine import tag_reason
+from larder.sources import store
 from larder.sources.files import read_files, read_json_lines
 
 STATUS_OK = "ok"
@@ -110,6 +112,24 @@ def read_arrival_day(
     return read_files(spark, file_format, path, schema)
 
 
+def write_arrivals(df: DataFrame, root: str, day_column: str, file_format: str = "json") -> None:
+    """Write raw rows into the folders of their arrival days, ``root/yyyy/MM/dd``.
+
+    One write serves all days: it is partitioned by day beside the layout, and each
+    day's folder, one small listing, is moved to its place. A day's earlier arrivals stay.
+    """
+    spark = df.sparkSession
+    beside = f"{root}/_arriving-{uuid.uuid4().hex}"
+    marked = rebalanced(df.where(F.col(day_column).isNotNull()), [day_column])
+    marked.write.partitionBy(day_column).format(file_format).save(beside)
+    prefix = f"{day_column}="
+    for name in store.names(spark, beside):
+        if name.startswith(prefix):
+            target = f"{root}/{dt.date.fromisoformat(name.removeprefix(prefix)):%Y/%m/%d}"
+            store.move_files(spark, f"{beside}/{name}", target)
+    store.delete(spark, beside)
+
+
 # Text columns whose outer blanks carry no meaning.
 RECIPE_TEXT = ("name", "url", "image", "recipeYield", "description")
 

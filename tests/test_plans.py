@@ -231,5 +231,5 @@ def test_current_state_counts_each_recipe_once(spark, tmp_path):
 
     assert average(first) == {"hard": 100.0, "easy": 10.0}
     assert average(last) == {"hard": 120.0, "medium": 60.0, "easy": 10.0}
-    state = spark.read.parquet(current).where("as_of = date'2019-11-30'")
+    state = current_job.read_current(spark, current, last)
     assert state.count() == state.select("url").distinct().count() == 3
