@@ -22,6 +22,7 @@ from larder.llm import (
     warc_fixity,
     weight_mix,
 )
+from larder.llm.common import stored
 from larder.sources.workspace import fresh_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -209,7 +210,7 @@ def op10_curve_pack(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     conversations = table(spark, folder, "conversations")
-    blocks = conversation_repair.repair(conversation_repair.damaged(conversations))
+    blocks = stored(conversation_repair.repair(conversation_repair.damaged(conversations)), "repaired")
     found = conversation_repair.summary(blocks).withColumnRenamed("conv_id", "found_id")
     # A conversation that lost all its rows is still named, and its columns say nothing.
     names = conversations.select("conv_id").distinct()
