@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from larder import streaming
 from larder.bindings.files import (
     DAY,
     PREPROCESSED,
@@ -15,7 +16,7 @@ from larder.bindings.files import (
 )
 from larder.bindings.inputs import event_recipe_rows, event_recipes, table
 from larder.bindings.registry import query
-from larder.bindings.transforms import EVENT_KEYWORD, FLAGSHIP_SQL
+from larder.bindings.transforms import EVENT_KEYWORD, FLAGSHIP_SQL, TOTAL, difficulty_sql
 from larder.operators import recipes
 from larder.schemas import RECIPE
 from larder.sources import (
@@ -24,9 +25,19 @@ from larder.sources import (
     read_days,
     read_landed,
     type_recipes,
+    write_arrivals,
     write_files,
 )
-from larder.streaming import latest_average, stream_average, stream_files, stream_to_partitions
+from larder.sources.landing import EXECUTION_DAY
+from larder.sources.layer import arrival_day, publish_day, read_layer
+from larder.streaming import (
+    current_average,
+    latest_average,
+    stream_average,
+    stream_files,
+    stream_to_layer,
+    stream_to_partitions,
+)
 
 
 def _arrivals(df: DataFrame, label: str) -> str:
@@ -117,3 +128,43 @@ def stream_avg_by_bucket(spark: SparkSession, folder: str) -> DataFrame:
         fresh_folder(spark, "progress"),
     )
     return latest_average(spark, results)
+
+
+@query(f"""
+    SELECT {difficulty_sql(TOTAL)} AS difficulty, avg({TOTAL}) AS avg_total_cooking_time
+    FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS place
+          FROM events) AS e
+    WHERE place = 1 AND event_type LIKE '%c%' GROUP BY 1
+""")
+def stream_current_average(spark: SparkSession, folder: str) -> DataFrame:
+    """Each user as a recipe that every event edits: the newest edit counts, if it has the keyword."""
+    rows = event_recipes(spark, folder).join(
+        table(spark, folder, "events").select("event_id", "user_id"), "event_id"
+    )
+    stream = stream_files(spark, _arrivals(rows, "arrivals"), rows.schema, "parquet", _wave(spark))
+    found = F.contains(F.lower("ingredients"), F.lit(EVENT_KEYWORD.lower()))
+    labelled = stream.transform(recipes.add_minutes).transform(recipes.add_difficulty)
+    labelled = labelled.withColumn("difficulty", F.when(found, F.col("difficulty")))
+    state = fresh_folder(spark, "newest")
+    progress = fresh_folder(spark, "progress")
+    streaming.stream_current_average(
+        labelled, state, progress, "user_id", ["ts", "event_id"], buckets=16
+    )
+    return current_average(spark, state)
+
+
+@query(f"""
+    SELECT execution_date, status, count(*) AS n, CAST(sum("prepTimeMinutes") AS BIGINT) AS minutes
+    FROM (SELECT *, "datePublished" AS execution_date FROM ({PREPROCESSED_SQL}) AS p) AS d
+    GROUP BY 1, 2
+""")
+def stream_layer(spark: SparkSession, folder: str) -> DataFrame:
+    """Arriving days streamed into the layer of the batch loads; one day is loaded again."""
+    rows = event_recipe_rows(spark, folder)
+    arrivals, layer = fresh_folder(spark, "arrivals"), fresh_folder(spark, "layer")
+    write_arrivals(rows.withColumn("day", F.to_date("datePublished")), arrivals, "day")
+    stream = stream_files(spark, f"{arrivals}/*/*/*", RECIPE, files_per_batch=_wave(spark))
+    stream_to_layer(stream, layer, fresh_folder(spark, "progress"), arrival_day())
+    publish_day(rows.where(F.col("datePublished") == str(DAY)), layer, DAY)
+    counts = read_layer(spark, layer).groupBy(EXECUTION_DAY, "status")
+    return counts.agg(F.count(F.lit(1)).alias("n"), F.sum("prepTimeMinutes").alias("minutes"))

@@ -1,10 +1,20 @@
 """The jobs as periodic micro-batches."""
 
+from larder.streaming.current import current_average, stream_current_average
 from larder.streaming.jobs import (
     latest_average,
     stream_average,
     stream_files,
+    stream_to_layer,
     stream_to_partitions,
 )
 
-__all__ = ["latest_average", "stream_average", "stream_files", "stream_to_partitions"]
+__all__ = [
+    "current_average",
+    "latest_average",
+    "stream_average",
+    "stream_current_average",
+    "stream_files",
+    "stream_to_layer",
+    "stream_to_partitions",
+]

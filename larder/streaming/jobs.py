@@ -8,18 +8,21 @@ reachable by every executor.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from larder.operators.recipes import average_by
 from larder.schemas import CORRUPT_COLUMN, RECIPE_AGGREGATE, with_corrupt_column
-from larder.sources.landing import rebalanced
+from larder.sources import store
+from larder.sources.landing import EXECUTION_DAY, rebalanced
+from larder.sources.layer import add_batch
 
 
 def stream_files(
@@ -91,6 +94,47 @@ def stream_to_partitions(
     return _finished(_start(writer, checkpoint, interval), interval)
 
 
+def stream_to_layer(
+    recipes: DataFrame, path: str, checkpoint: str, day: Column, interval: str | None = None
+) -> StreamingQuery:
+    """Add arriving raw recipes to the typed layer that batch loads publish their days to.
+
+    ``day`` gives the execution day of a row, such as ``arrival_day()``. Each batch is
+    seen in one step and once, also when it runs again after a failure; a batch load of a
+    day replaces what streams added to it before.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        add_batch(batch, path, owner_of(spark, checkpoint), number)
+
+    spark = recipes.sparkSession
+    dated = recipes.withColumn(EXECUTION_DAY, day.cast("date"))
+    query = _start(dated.writeStream.outputMode("append").foreachBatch(write), checkpoint, interval)
+    return _finished(query, interval)
+
+
+def owner_of(spark: SparkSession, checkpoint: str) -> str | None:
+    """The number of the query that a checkpoint belongs to; None before its first run."""
+    path = f"{checkpoint}/metadata"
+    return json.loads(store.read_text(spark, path))["id"] if store.exists(spark, path) else None
+
+
+def _claimed(spark: SparkSession, path: str, checkpoint: str) -> bool:
+    """Whether a result folder is this checkpoint's already; one of another is refused.
+
+    Batches are numbered by checkpoint. Under a new one they begin at 0 and would lose
+    to the results of greater numbers that are there.
+    """
+    note, own = f"{path}/_owner", owner_of(spark, checkpoint)
+    if store.exists(spark, note):
+        if store.read_text(spark, note) != own:
+            raise ValueError(f"{path} belongs to a stream with another checkpoint")
+        return True
+    if own is None and any(name.startswith("slot=") for name in store.names(spark, path)):
+        raise ValueError(f"{path} holds results of another stream")
+    return False
+
+
 #: Folders that hold the results of the last batches; older ones are overwritten.
 KEPT_RESULTS = 4
 
@@ -124,12 +168,17 @@ def stream_average(
     Rows are added up before the shuffle, so few state partitions are enough for
     any input. The session's number of shuffle partitions is meant for big
     shuffles: each partition, even an empty one, would write its own state files
-    in every batch. The number is fixed by the first run on a checkpoint.
+    in every batch. The number is fixed by the first run on a checkpoint. A result folder
+    belongs to the checkpoint that began it, and any other one is refused.
     """
+    spark = labelled.sparkSession
+    claimed = _claimed(spark, path, checkpoint)
     average = average_by(labelled, key, value, name)
     writer = average.writeStream.outputMode("complete").foreachBatch(_write_batch(path))
-    with _shuffle_partitions(labelled.sparkSession, state_partitions):
+    with _shuffle_partitions(spark, state_partitions):
         query = _start(writer, checkpoint, interval)
+    if not claimed:
+        store.write_new(spark, f"{path}/_owner", query.id)
     return _finished(query, interval)
 
 
