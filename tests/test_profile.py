@@ -3,6 +3,7 @@ import random
 import statistics
 
 import pytest
+from pyspark.sql import functions as F
 
 from larder.operators import profile
 from larder.operators.profile import column_profile, extents
@@ -110,7 +111,8 @@ def test_size_of_ranges_counts_long_group_names(spark):
         [("x" * 1000, 0, False), ("y", 0, True), (None, 1, False)],
         "g string, place int, done boolean",
     )
-    assert profile._open_ranges(state, ["g", "place"]) == {0: 1065, 1: 65}
+    state = state.withColumn("held", F.lit(7))
+    assert profile._open_ranges(state, ["g", "place"]) == {0: (1065, 7), 1: (65, 7)}
 
 
 def test_extents_keep_types(spark):
@@ -134,3 +136,43 @@ def test_extents_keep_types(spark):
     ]
     with pytest.raises(ValueError, match="no numbers"):
         column_profile(df, ["n.n", "type"])
+
+
+MIXED = {
+    "normal": [random.Random(1).gauss(0, 1) for _ in range(3001)],
+    "ties": [float(random.Random(2).randrange(3)) for _ in range(2000)],
+    "huge": [1.7e308, -1.6e308, 1.0, 2.0, 1e-320],
+    "nulls": [None, 1.0, None, 4.0],
+    "two": [1.0, 9.0],
+}
+
+
+@pytest.mark.parametrize("by_value", [0, 4_000_000])
+@pytest.mark.parametrize("room", [-0.3, 0.0, 0.004])
+def test_whatever_the_sketch_says(spark, monkeypatch, by_value, room):
+    """Bounds that miss the middle cost a read and no more; so does counting by bins."""
+    monkeypatch.setattr(profile, "_ROOM", room)
+    if not by_value:
+        monkeypatch.setattr(profile, "_BY_VALUE", 40)
+    monkeypatch.setattr(profile, "_SKETCH", 64)
+    check(spark, MIXED)
+
+
+def test_sketches_with_an_error_bracket_the_middle(spark):
+    values = [math.exp(random.Random(9).gauss(0, 3)) * k for k in range(1, 20_002)]
+    check(spark, {"many": values, "few": values[:7]})
+
+
+@pytest.mark.parametrize(("by_value", "reads"), [(4_000_000, 2), (300, 3)])
+def test_reads_are_counted(spark, monkeypatch, by_value, reads):
+    monkeypatch.setattr(profile, "_BY_VALUE", by_value)
+    monkeypatch.setattr(profile, "_BINS", 4)
+    counter = spark.sparkContext.accumulator(0)
+
+    def seen(value):
+        counter.add(1)
+        return value
+
+    rows = spark.range(100_000, numPartitions=4).select(F.hash("id").cast("double").alias("v"))
+    column_profile(rows.select(F.udf(seen, "double")("v").alias("v")), ["v"]).collect()
+    assert counter.value == reads * 100_000
