@@ -11,6 +11,7 @@ from larder.bindings.registry import query
 from larder.bindings.transforms import EVENT_KEYWORD, FLAGSHIP_SQL
 from larder.operators import profile, recipes
 from larder.plans import quality_job as job
+from larder.quality import incremental
 from larder.schemas import VALIDATION_REPORT
 from larder.sources import fresh_folder, read_files, write_files
 
@@ -160,6 +161,20 @@ def dq_suite(spark: SparkSession, folder: str) -> DataFrame:
     return q.suite_metrics(table(spark, folder, "documents"), DOCUMENT_SUITE)
 
 
+@query(_results_sql(DOCUMENT_METRICS, '"check", "constraint", metric, constraint_status', "documents"))
+def dq_suite_incremental(spark: SparkSession, folder: str) -> DataFrame:
+    """The suite carried on over four days' loads, one of which arrives a second time, mended."""
+    documents, metrics = table(spark, folder, "documents"), fresh_folder(spark, "metrics")
+    part = F.pmod("doc_id", F.lit(4))
+    spoilt = documents.where(part == 1).withColumn("text", F.lit("spoilt"))
+    loads = [("0", documents.where(part == 0)), ("1", spoilt)]
+    loads += [(str(n), documents.where(part == n)) for n in (2, 3, 1)]
+    for day, load in loads:
+        incremental.check_day(load, DOCUMENT_SUITE, metrics, day, buckets=8)
+    results = incremental.results(spark, DOCUMENT_SUITE, metrics)
+    return results.select("check", "constraint", "metric", "constraint_status")
+
+
 @query(_results_sql(DOCUMENT_METRICS, '"check", "constraint", constraint_status', "documents"))
 def dq_results(spark: SparkSession, folder: str) -> DataFrame:
     results = q.run_suite(table(spark, folder, "documents"), DOCUMENT_SUITE)
@@ -313,15 +328,18 @@ def _verdict_sql(stage: str, metrics: list[tuple[str, str]]) -> str:
     + _verdict_sql("input", DOCUMENT_METRICS)
     + " UNION ALL "
     + _verdict_sql("output", AVERAGE_METRICS)
+    + " UNION ALL SELECT 'nothing', 0, 0, 'empty'"
 )
 def quality_gate(spark: SparkSession, folder: str) -> DataFrame:
-    """Verdicts on an input that has failures and on a result that has none."""
+    """Verdicts on an input that has failures, a result that has none, and a result without rows."""
     result = event_recipes(spark, folder).transform(
         recipes.recipe_difficulty, keyword=EVENT_KEYWORD
     )
     before = q.verdict(table(spark, folder, "documents"), DOCUMENT_SUITE, "input")
     after = q.verdict(result, q.suite_for("recipe_aggregate"), "output")
-    return before.unionByName(after)
+    no_rows = event_recipes(spark, folder).transform(recipes.recipe_difficulty, keyword="no such word")
+    nothing = q.verdict(no_rows, q.suite_for("recipe_aggregate"), "nothing")
+    return before.unionByName(after).unionByName(nothing)
 
 
 def _profile_sql(column: str, source: str, by: str = "") -> str:

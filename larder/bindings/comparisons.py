@@ -67,6 +67,28 @@ def reconcile_rows(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(f"""{SIDES_SQL}
+    SELECT o_custkey, o_orderstatus, count(*) FILTER (WHERE side = 1) AS source_rows,
+           count(*) FILTER (WHERE side = 2) AS target_rows
+    FROM (SELECT 1 AS side, * FROM o UNION ALL
+          SELECT 2, o.* REPLACE (CASE WHEN o_custkey % 50 = 7 THEN NULL ELSE o_orderpriority END
+                                 AS o_orderpriority) FROM o) AS u
+    GROUP BY o_custkey, o_orderstatus, o_orderpriority, cents
+    HAVING count(*) FILTER (WHERE side = 1) <> count(*) FILTER (WHERE side = 2)
+""")
+def reconcile_by_digest(spark: SparkSession, folder: str) -> DataFrame:
+    """A copy of the orders in which some customers' lost their priority."""
+    cents = F.round(F.col("o_totalprice") * 100).cast("bigint")
+    orders = table(spark, folder, "orders").withColumn("cents", cents)
+    lost = F.when(F.col("o_custkey") % 50 != 7, F.col("o_orderpriority"))
+    return compare.reconcile_by_digest(
+        orders,
+        orders.withColumn("o_orderpriority", lost),
+        ["o_custkey", "o_orderstatus"],
+        ["o_orderpriority", "cents"],
+    )
+
+
 COMPARED = {"o_orderkey": "bigint", "cents": "bigint", "o_orderstatus": "string"}
 
 

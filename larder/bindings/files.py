@@ -10,6 +10,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from larder.bindings.inputs import document_recipes, event_recipe_rows, event_recipes, iso, table
 from larder.bindings.registry import query
@@ -25,12 +26,14 @@ from larder.bindings.transforms import (
 )
 from larder.operators import quarantine as rules
 from larder.operators import recipes
+from larder.operators.drift import field_types, typed_with_rest
 from larder.plans import current_job, history_job
 from larder.plans import recipe_job as job
 from larder.schemas import CORRUPT_COLUMN, RECIPE, RECIPE_AGGREGATE
 from larder.sources import (
     fresh_folder,
     land_by_partition,
+    lookup,
     preprocess_recipes,
     read_arrival_day,
     read_days,
@@ -40,6 +43,7 @@ from larder.sources import (
     type_recipes,
     write_arrivals,
     write_files,
+    write_for_lookup,
 )
 from larder.sources.landing import EXECUTION_DAY
 
@@ -324,3 +328,111 @@ def recipe_history_by_dump(spark: SparkSession, folder: str) -> DataFrame:
     for (day,) in days.collect():
         history_job.merge_day(spark, layer, history, day)
     return history_job.read_history(spark, history)
+
+
+@query("""
+    SELECT c_custkey, CASE WHEN c_custkey % 5 = 1 THEN 'too many' WHEN c_custkey % 5 = 2 THEN 'too few'
+                           WHEN c_custkey % 5 = 3 THEN 'no number' END AS fault
+    FROM customer WHERE c_custkey % 5 IN (1, 2, 3)
+""")
+def quarantine_csv(spark: SparkSession, folder: str) -> DataFrame:
+    """CSV lines that do not fit their schema, found by what was kept of their text."""
+    fault = F.col("c_custkey") % 5
+    number = F.when(fault == 3, F.lit("many")).otherwise(F.col("c_nationkey").cast("string"))
+    more = F.when(fault == 1, F.lit(",more")).otherwise(F.lit(""))
+    rest = F.when(fault == 2, F.lit("")).otherwise(F.concat(F.lit(","), number, more))
+    lines = table(spark, folder, "customer").select(F.concat(F.col("c_custkey").cast("string"), rest))
+    path = fresh_folder(spark, "csv-lines")
+    write_files(lines, path, "text")
+    schema = T.StructType([T.StructField(n, T.LongType()) for n in ("c_custkey", "c_nationkey")])
+    read = read_files(spark, "csv", path, schema, header=False, keep_corrupt=True)
+    kept = fresh_folder(spark, "bad")
+    write_files(rules.quarantined(read, durations=()), kept, "parquet")
+    bad = read_files(spark, "parquet", kept)
+    fields = F.size(F.split(CORRUPT_COLUMN, ","))
+    kind = F.when(fields > 2, "too many").when(fields < 2, "too few").otherwise("no number")
+    key = F.split(CORRUPT_COLUMN, ",")[0].cast("bigint")
+    return bad.select(key.alias("c_custkey"), kind.alias("fault"))
+
+
+# Events as JSON lines whose fields change: users become text on the 11th, a field "more"
+# comes on the 21st, and the lines of signups are cut off.
+_DAY_OF = "CAST(ts AS DATE)"
+_SEEN = f"(SELECT *, {_DAY_OF} AS day FROM events WHERE event_type <> 'signup')"
+
+
+@query(f"""
+    SELECT day, field, type, count(*) AS n FROM (
+        SELECT day, 'event_id' AS field, 'BIGINT' AS type FROM {_SEEN}
+        UNION ALL SELECT day, 'kind', CASE WHEN event_type = 'view' THEN 'VOID' ELSE 'STRING' END
+        FROM {_SEEN}
+        UNION ALL SELECT day, 'user', CASE WHEN day < DATE '2024-01-11' THEN 'BIGINT' ELSE 'STRING' END
+        FROM {_SEEN}
+        UNION ALL SELECT day, 'more', 'OBJECT' FROM {_SEEN} WHERE day >= DATE '2024-01-21'
+        UNION ALL SELECT day, 'more.k', 'BIGINT' FROM {_SEEN} WHERE day >= DATE '2024-01-21'
+    ) AS f GROUP BY ALL
+""")
+def json_drift(spark: SparkSession, folder: str) -> DataFrame:
+    """The types of each field by day, those of nested objects among them."""
+    path = fresh_folder(spark, "drifting")
+    write_arrivals(_drifting(spark, folder), path, "day", "text")
+    day = F.to_date(F.regexp_extract("_metadata.file_path", "/([0-9]+/[0-9]+/[0-9]+)/[^/]*$", 1), "yyyy/MM/dd")
+    lines = spark.read.text(f"{path}/*/*/*").select("value", day.alias("day"))
+    docs = lines.withColumn("doc", F.try_parse_json("value"))
+    return field_types(docs, "doc", ["day"], depth=2)
+
+
+def _drifting(spark: SparkSession, folder: str) -> DataFrame:
+    events = table(spark, folder, "events").withColumn("day", F.to_date("ts"))
+    user = F.when(F.col("day") < "2024-01-11", F.col("user_id").cast("string")).otherwise(
+        F.concat(F.lit('"u'), F.col("user_id"), F.lit('"'))
+    )
+    kind = F.when(F.col("event_type") == "view", F.lit("null")).otherwise(
+        F.concat(F.lit('"'), F.col("event_type"), F.lit('"'))
+    )
+    more = F.when(F.col("day") >= "2024-01-21", F.concat(F.lit(', "more": '), "props")).otherwise(F.lit(""))
+    line = F.concat(
+        F.lit('{"event_id": '), "event_id", F.lit(', "user": '), user, F.lit(', "kind": '), kind, more, F.lit("}")
+    )
+    cut = F.when(F.col("event_type") == "signup", F.left(line, F.lit(9))).otherwise(line)
+    return events.select(cut.alias("value"), "day")
+
+
+@query("""
+    SELECT event_id, event_type, CASE WHEN day < DATE '2024-01-11' THEN user_id END AS "user",
+           CASE WHEN day >= DATE '2024-01-21' THEN 'u' || user_id || '/' || regexp_extract(props, '[0-9]+')
+                WHEN day >= DATE '2024-01-11' THEN 'u' || user_id END AS rest
+    FROM (SELECT *, CAST(ts AS DATE) AS day FROM events) AS e
+    WHERE event_type NOT IN ('signup', 'view')
+""")
+def json_rest(spark: SparkSession, folder: str) -> DataFrame:
+    """The lines as typed columns; what does not fit them survives in the layer as it came."""
+    schema = T.StructType(
+        [T.StructField("event_id", T.LongType()), T.StructField("user", T.LongType()), T.StructField("kind", T.StringType())]
+    )
+    path = fresh_folder(spark, "typed")
+    typed_with_rest(_drifting(spark, folder), schema).write.parquet(path)
+    rest = F.concat_ws(
+        "/", F.try_variant_get("rest", "$.user", "string"), F.try_variant_get("rest", "$.more.k", "string")
+    )
+    rows = spark.read.parquet(path).where(F.col("kind").isNotNull())
+    return rows.select(
+        "event_id",
+        F.col("kind").alias("event_type"),
+        "user",
+        F.when(F.col("rest").isNotNull(), rest).alias("rest"),
+    )
+
+
+@query("""
+    SELECT o_orderkey, o_custkey, o_totalprice FROM orders
+    WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_custkey % 97 = 5)
+""")
+def recipe_lookup(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders laid out by customer, and those of some customers found there."""
+    orders = table(spark, folder, "orders")
+    path = fresh_folder(spark, "by-customer")
+    write_for_lookup(orders, path, "o_custkey", files=8, group_bytes=1 << 16)
+    wanted = table(spark, folder, "customer").where("c_custkey % 97 = 5").select("c_custkey")
+    found = lookup(spark, path, "o_custkey", [r[0] for r in wanted.collect()], orders.schema)
+    return found.select("o_orderkey", "o_custkey", "o_totalprice")

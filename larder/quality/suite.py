@@ -160,13 +160,27 @@ def suite_metrics(df: DataFrame, suite: Suite) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def run_suite(df: DataFrame, suite: Suite, check: str | None = None) -> DataFrame:
-    """Results as rows ``ordinal, check, constraint, metric, constraint_status``."""
+def unique_columns(suite: Suite) -> list[str]:
+    """The columns that have to be unique, each once."""
+    return list(dict.fromkeys(c.column for c in suite.constraints if c.kind == UNIQUE))
+
+
+#: What a run of a suite gives.
+RESULTS = "ordinal int, check string, constraint string, metric double, constraint_status string"
+
+
+def labelled(metrics: DataFrame, suite: Suite, check: str | None = None) -> DataFrame:
+    """Metrics with the name of the check, the constraint's label and the status."""
     labels = F.array(*[F.lit(c.label) for c in suite.constraints])
-    return suite_metrics(df, suite).select(
+    return metrics.select(
         "ordinal",
         F.lit(check or suite.name).alias("check"),
         F.element_at(labels, F.col("ordinal") + 1).alias("constraint"),
         "metric",
         F.when(F.col("metric") == 1.0, "Success").otherwise("Failure").alias("constraint_status"),
     )
+
+
+def run_suite(df: DataFrame, suite: Suite, check: str | None = None) -> DataFrame:
+    """Results as rows ``ordinal, check, constraint, metric, constraint_status``."""
+    return labelled(suite_metrics(df, suite), suite, check)

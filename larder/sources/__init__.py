@@ -12,6 +12,7 @@ from larder.sources.landing import (
     type_recipes,
     write_arrivals,
 )
+from larder.sources.lookup import lookup, write_for_lookup
 from larder.sources.workspace import checkpoint_ready, fresh_folder
 
 __all__ = [
@@ -19,6 +20,7 @@ __all__ = [
     "checkpoint_ready",
     "fresh_folder",
     "land_by_partition",
+    "lookup",
     "preprocess_recipes",
     "read_arrival_day",
     "read_days",
@@ -29,4 +31,5 @@ __all__ = [
     "type_recipes",
     "write_arrivals",
     "write_files",
+    "write_for_lookup",
 ]

@@ -35,16 +35,29 @@ def read_files(
     path: str | list[str],
     schema: T.StructType | None = None,
     header: bool = True,
+    keep_corrupt: bool = False,
 ) -> DataFrame:
-    """Read any built-in file format; ``header`` matters to CSV only."""
+    """Read any built-in file format; ``header`` matters to CSV only.
+
+    ``keep_corrupt`` adds, for JSON and for CSV with a schema, the text of lines that do
+    not fit: CSV rows with too many or too few fields or with values of another type.
+    Without it such rows are cut, filled up or have NULLs.
+    """
     file_format = file_format.lower()
     if file_format == "json":
-        return read_json_lines(spark, path, schema)
+        return read_json_lines(spark, path, schema, keep_corrupt)
+    if keep_corrupt and (file_format != "csv" or schema is None):
+        raise ValueError("only JSON, and CSV with a schema, have lines that do not fit")
     reader = spark.read.format(file_format)
     if file_format == "csv":
         # A header that disagrees with the schema is an error, not a silent shift
         # of columns.
         reader = reader.option("header", header).option("enforceSchema", not header)
+    if keep_corrupt:
+        schema = with_corrupt_column(schema)
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
+        # A pruned reader does not look at the fields that nobody asked for.
+        reader = reader.option("columnPruning", False)
     if schema is not None:
         reader = reader.schema(schema)
     return reader.load(path)

@@ -1,0 +1,182 @@
+"""JSON and CSV that do not fit, look-ups by key, and late or repeated events."""
+
+import datetime as dt
+import json
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from larder.operators.drift import drift, field_types, typed_with_rest
+from larder.operators.quarantine import quarantined
+from larder.sources import lookup, read_files, write_arrivals, write_for_lookup
+from larder.streaming import late_rows, stream_deduplicated, stream_files
+
+LINES = [
+    '{"a": 1, "b": "x"}',
+    '{"a": "one", "b": "y"}',
+    '{"a": null, "b": 2, "c": {"d": [1], "e f": true, "g.h": 1.5}}',
+    '{"A": 7}',
+    '{"a": 9223372036854775808}',
+    "{}",
+    "[1, 2]",
+    "17",
+    "no json",
+    "",
+    None,
+]
+SCHEMA = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.StringType())])
+
+
+@pytest.fixture(scope="module")
+def lines(spark):
+    rows = [(i % 2, line) for i, line in enumerate(LINES)]
+    return spark.createDataFrame(rows, "`the day` int, value string").withColumn("doc", F.try_parse_json("value"))
+
+
+def test_no_field_is_lost(spark, lines, tmp_path):
+    typed_with_rest(lines, SCHEMA).write.parquet(str(tmp_path / "typed"))
+    got = spark.read.parquet(str(tmp_path / "typed"))
+    rows = got.select("a", "b", F.to_json("rest").alias("rest"), "_corrupt_record").collect()
+    held = {(r["a"], r["b"], None if r["rest"] is None else repr(json.loads(r["rest"])), r["_corrupt_record"]) for r in rows}
+    assert len(rows) == len(LINES)
+
+    def whole(i):
+        return repr(json.loads(LINES[i]))
+
+    assert held == {
+        (1, "x", None, None),
+        (None, "y", repr(dict(sorted(json.loads(LINES[1]).items()))), None),
+        (None, "2", whole(2), None),
+        (None, None, whole(3), None),
+        (None, None, whole(4), None),
+        (None, None, None, None),  # an empty object, and no line at all
+        *((None, None, None, LINES[i]) for i in (6, 7, 8, 9)),
+    }
+
+
+def test_clashing_names_are_refused(spark, lines):
+    with pytest.raises(ValueError, match="rest"):
+        typed_with_rest(lines, T.StructType([T.StructField("Rest", T.StringType())]))
+
+
+def test_types_of_each_field(lines):
+    got = field_types(lines, "doc", ["the day"], depth=2)
+    assert got.columns == ["the day", "field", "type", "n"]
+    assert {tuple(r) for r in got.collect()} == {
+        (0, "a", "BIGINT", 1), (1, "a", "STRING", 1), (0, "a", "VOID", 1), (0, "a", "DECIMAL", 1),
+        (0, "b", "STRING", 1), (1, "b", "STRING", 1), (0, "b", "BIGINT", 1), (1, "A", "BIGINT", 1),
+        (0, "c", "OBJECT", 1), (0, "c.d", "ARRAY", 1), (0, "c.e f", "BOOLEAN", 1), (0, "c.g\\.h", "DECIMAL", 1),
+    }
+    flat = {(r["field"], r["type"]): r["n"] for r in field_types(lines, "doc").collect()}
+    assert flat["b", "STRING"] == 2 and ("c.d", "ARRAY") not in flat
+    assert field_types(lines.where("false"), "doc").collect() == []
+
+
+def test_drift_names_what_is_unexpected(lines):
+    types = field_types(lines, "doc", ["the day"])
+    got = {tuple(r) for r in drift(types, "the day", {"a": "BIGINT", "b": "STRING"}).collect()}
+    assert got == {
+        ("a", "STRING", 1, 1, 1), ("a", "DECIMAL", 0, 0, 1), ("b", "BIGINT", 0, 0, 1),
+        ("A", "BIGINT", 1, 1, 1), ("c", "OBJECT", 0, 0, 1),
+    }
+    assert drift(types, "the day", {}).count() == 8
+
+
+def test_csv_lines_that_do_not_fit_are_kept(spark, tmp_path):
+    (tmp_path / "in.csv").write_text('a,b\n1,x\n2,y,z\nq,w\n3\n4,"o, p"\n')
+    read = read_files(spark, "csv", str(tmp_path), SCHEMA, keep_corrupt=True)
+    bad = ["2,y,z", "q,w", "3"]
+    assert [r["_corrupt_record"] for r in read.collect() if r["_corrupt_record"]] == bad
+    # A narrower read finds the same lines.
+    narrow = read.select("a", "_corrupt_record").collect()
+    assert [r["_corrupt_record"] for r in narrow if r["_corrupt_record"]] == bad
+    assert [r["reason"] for r in quarantined(read, durations=()).collect()] == ["corrupt record"] * 3
+    assert read_files(spark, "csv", str(tmp_path), SCHEMA).columns == ["a", "b"]
+    with pytest.raises(ValueError, match="only JSON"):
+        read_files(spark, "parquet", str(tmp_path), SCHEMA, keep_corrupt=True)
+
+
+def test_arrivals_are_written_by_day(spark, tmp_path):
+    rows = [(1, dt.date(2024, 1, 31)), (2, dt.date(2024, 2, 1)), (3, dt.date(2024, 2, 1)), (4, None)]
+    df = spark.createDataFrame(rows, "n int, day date")
+    for _ in range(2):  # what arrives later does not replace what is there
+        write_arrivals(df, str(tmp_path / "in"), "day")
+    assert spark.read.json(str(tmp_path / "in/2024/02/01")).count() == 4
+    assert spark.read.json(str(tmp_path / "in/2024/*/*")).count() == 6
+    assert not [p for p in (tmp_path / "in").iterdir() if p.name.startswith("_")]
+
+
+def nodes(node):
+    yield node
+    kind = node.nodeName()
+    inner = [node.executedPlan()] if kind.startswith("AdaptiveSparkPlan") else []
+    inner += [node.plan()] if "QueryStage" in kind else []
+    children = node.children()
+    for child in inner + [children.apply(i) for i in range(children.size())]:
+        yield from nodes(child)
+
+
+def rows_read(df):
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    return sum(n.metrics().apply("numOutputRows").value() for n in nodes(plan) if n.nodeName().startswith("Scan"))
+
+
+def test_look_ups_leave_row_groups_out(spark, tmp_path):
+    path, n = str(tmp_path / "table"), 40_000
+    rows = spark.range(n).select(
+        F.concat(F.lit("http://example.com/"), F.sha2(F.col("id").cast("string"), 256)).alias("url"), "id"
+    )
+    write_for_lookup(rows, path, "url", files=4, group_bytes=1 << 17, group_keys=5_000)
+    present = rows.where("id = 123").first()["url"]
+    found = lookup(spark, path, "url", [present], rows.schema)
+    assert [r["id"] for r in found.collect()] == [123]
+    assert 0 < rows_read(lookup(spark, path, "url", [present], rows.schema)) <= n / 8
+    # A key that lies in the range of a group but is not there: the filter leaves the group out.
+    absent = [present[:-1] + ("0" if present[-1] != "0" else "1")]
+    gone = lookup(spark, path, "url", absent, rows.schema)
+    assert gone.collect() == [] and rows_read(lookup(spark, path, "url", absent, rows.schema)) == 0
+    assert rows_read(read_files(spark, "parquet", path, rows.schema)) == n
+
+
+def test_look_ups_of_hot_and_missing_keys(spark, tmp_path):
+    path = str(tmp_path / "table")
+    rows = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.col("id").cast("string")).alias("key"), "id"
+    )
+    write_for_lookup(rows, path, "key", files=6)
+    assert lookup(spark, path, "key", ["hot", "1", "no"]).count() == 1001
+    holding = spark.read.parquet(path).where("key = 'hot'").select("_metadata.file_name").distinct().count()
+    assert holding > 1 and spark.read.parquet(path).where("key is null").count() == 1000
+
+
+def arrive(spark, folder, name, rows):
+    df = spark.createDataFrame(rows, "key string, at timestamp, note string").coalesce(1)
+    df.withColumn("day", F.to_date("at")).write.parquet(f"{folder}/{name}")
+    return df.withColumn("day", F.to_date("at")).schema
+
+
+def test_repeats_and_late_events_over_restarts(spark, tmp_path):
+    def at(day, hour=0):
+        return dt.datetime(2024, 1, day, hour)
+
+    source, landed, progress = (str(tmp_path / n) for n in ("in", "landed", "progress"))
+    waves = [
+        [("a", at(1), "first"), ("a", at(1), "again"), ("b", at(2), "first"), (None, at(2), "no key")],
+        [("a", at(2), "repeat over batches"), ("c", at(9), "first"), (None, at(3), "no key again")],
+        [("d", at(3), "late"), ("d", at(3), "late"), ("c", at(9, 5), "repeat"), ("e", at(8, 1), "in time"), ("f", None, "no time")],
+    ]
+    for n, wave in enumerate(waves):
+        schema = arrive(spark, source, f"wave{n}", wave)
+        for _ in range(2):  # a run without arrivals changes nothing
+            stream = stream_files(spark, f"{source}/*", schema, "parquet")
+            stream_deduplicated(stream, landed, progress, ["key"], "at", "2 days", ["day"])
+    kept = spark.read.parquet(landed)
+    got = {(r["key"], r["note"]) for r in kept.collect()}
+    assert kept.count() == len(got)
+    assert {k for k, _ in got} >= {"b", "c", "e", None} and ("d", "late") not in got
+    assert sum(k == "a" for k, _ in got) == 1 and sum(k is None for k, _ in got) == 1
+    late = late_rows(spark.read.parquet(f"{source}/*"), kept, ["key"]).collect()
+    assert {(r["key"], r["note"], r["reason"]) for r in late} - {("f", "no time", "late")} == {("d", "late", "late")}
+    assert len([r for r in late if r["key"] == "d"]) == 1
