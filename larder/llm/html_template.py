@@ -6,6 +6,8 @@ pages of a layout, and of the whole host, a token has an occurrence vector, how
 it occurs on each page. Tokens with the same vector form an equivalence class if they
 are on enough pages of different content.
 
+Pages are parsed once; what follows reads their tokens and blocks.
+
 A second look at every page checks the classes. A class is valid if its tokens come in
 one order on all pages and if it lies in the same slot, between the same two tokens, of
 the class around it. A class that is not falls apart into the tokens of each region, and
@@ -20,6 +22,7 @@ equal sums are equal vectors, and a host's pages meet only in partial aggregates
 from __future__ import annotations
 
 import html as entities
+import pickle
 import re
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -80,6 +83,11 @@ TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>",
 ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'=<>`]+))")
 
 
+#: Paths of blocks of prose, and of headings among them.
+PROSE = re.compile(r"/(?:p|h[1-6]|blockquote|pre)(?:\.[^/]*)?$")
+HEADING = re.compile(r"/h[1-6](?:\.[^/]*)?$")
+
+
 @dataclass
 class Region:
     """An open element: its place in the page's tree and what it says of its content.
@@ -122,6 +130,11 @@ class Block:
         """The length of a text that is not mostly links."""
         return len(self.text) if 2 * self.linked < len(self.text) else 0
 
+    @property
+    def content(self) -> bool:
+        """Whether it can be an article's: prose may be a link as a whole, lists of links may not."""
+        return self.own > 0 or bool(PROSE.search(self.path))
+
 
 @dataclass
 class Page:
@@ -131,6 +144,21 @@ class Page:
     blocks: list[Block] = field(default_factory=list)
 
 
+    def packed(self) -> bytes:
+        """The page as bytes, for tables that this module writes and reads."""
+        blocks = [tuple(getattr(b, name) for name in FIELDS) for b in self.blocks]
+        return pickle.dumps((self.tokens, blocks), protocol=5)
+
+    @classmethod
+    def unpacked(cls, data: bytes) -> Page:
+        tokens, blocks = pickle.loads(data)
+        return cls(tokens, [Block(*values) for values in blocks])
+
+
+#: The fields of a block, in order.
+FIELDS = list(Block.__dataclass_fields__)
+
+
 def number_of(token: str) -> int:
     """A token's number, of 63 bits."""
     return xxhash.xxh64_intdigest(token) >> 1
@@ -334,18 +362,57 @@ def extract(page: Page, template: set[int], main_path: str | None) -> str:
         return all(depth <= b.regions.index(main_path) for _, depth in b.weak)
 
     blocks = [b for b in page.blocks if not b.side or freed(b)]
-    slots = [b for b in blocks if b.number not in template]
-    inside = [b for b in slots if b.own and main_path in b.regions]
     marked = any(b.main and not b.side for b in blocks)
-    if marked and (not inside or main_path is None or layout_of(page) == MARKED + main_path):
+    slots = [b for i, b in enumerate(blocks) if b.number not in template or heads(blocks, i, template)]
+    inside = [b for b in slots if b.content and main_path in b.regions]
+    found = any(b.own for b in inside)
+    if marked and (not found or main_path is None or layout_of(page) == MARKED + main_path):
         return "\n".join(b.text for b in slots if b.main and not b.side)
-    return "\n".join(b.text for b in inside or [b for b in slots if b.own])
+    return "\n".join(b.text for b in (inside if found else [b for b in slots if b.content]))
+
+
+def heads(blocks: list[Block], at: int, template: set[int]) -> bool:
+    """Whether a text of the template is the heading, in the same region, of one that is not.
+
+    Articles of a host often have the same headings; what they head is the article's.
+    """
+    if not HEADING.search(blocks[at].path):
+        return False
+    for block in blocks[at + 1 :]:
+        if block.regions[:-1] != blocks[at].regions[:-1]:
+            return False
+        if not HEADING.search(block.path):
+            return block.number not in template
+    return False
+
+
+def parsed(pages: DataFrame, key: str, url: str, source: str) -> DataFrame:
+    """Every page once: ``key``, ``url``, ``host``, ``layout``, ``identity`` and the page as bytes."""
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        rows = []
+        for address, content in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            page = parse(content)
+            identity = xxhash.xxh64_intdigest(f"{address}\0{content}") >> 1
+            rows.append((host_of(address), layout_of(page), identity, page.packed()))
+        columns = list(zip(*rows, strict=True))
+        types = [pa.string(), pa.string(), pa.int64(), pa.binary()]
+        arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *arrays], names)
+
+    names = ["key", "url", "host", "layout", "identity", "page"]
+    slim = pages.select(
+        col(key).alias("key"), col(url).cast("string").alias("url"), col(source).cast("string").alias("html")
+    )
+    kind = slim.schema["key"].dataType.simpleString()
+    shape = f"key {kind}, url string, host string, layout string, identity long, page binary"
+    return stored(slim.mapInArrow(by_batches(work, 128), shape), "pages")
 
 
 TOKENS = "host string, layout string, path string, number long, up long, rest long, page_hash long, n long, slot long"
 
 
-def occurrences(pages: DataFrame, url: str, source: str) -> DataFrame:
+def occurrences(pages: DataFrame) -> DataFrame:
     """One row for each distinct token of a page: its host, layout, count and text weight.
 
     Texts have a number and no ``path``. ``rest`` is the page's longest text besides the
@@ -354,11 +421,8 @@ def occurrences(pages: DataFrame, url: str, source: str) -> DataFrame:
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows = []
-        urls, sources = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        for address, content in zip(urls, sources, strict=True):
-            page = parse(content)
-            identity = xxhash.xxh64_intdigest(f"{address}\0{content}")
-            host, layout = host_of(address), layout_of(page)
+        for host, layout, identity, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            page = Page.unpacked(data)
             counts: dict[int, list] = {}
             for number, above, path in page.tokens:
                 known = counts.get(number)
@@ -382,8 +446,7 @@ def occurrences(pages: DataFrame, url: str, source: str) -> DataFrame:
         names = [part.split()[0] for part in TOKENS.split(", ")]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
 
-    slim = pages.select(col(url).cast("string").alias("url"), col(source).cast("string").alias("html"))
-    return slim.mapInArrow(by_batches(work, 128), TOKENS)
+    return pages.select("host", "layout", "identity", "page").mapInArrow(by_batches(work, 128), TOKENS)
 
 
 #: Bits of each of the two sketches that tell how many different contents a token is with.
@@ -396,9 +459,7 @@ def sketch_bits(i: int) -> Column:
     return F.expr(f"if(shiftright({place}, 6) = {i % 2}, shiftleft(1L, cast({place} & 63 as int)), 0L)")
 
 
-def equivalence_classes(
-    pages: DataFrame, url: str, source: str, least_pages: int, least_share: float
-) -> DataFrame:
+def equivalence_classes(pages: DataFrame, least_pages: int, least_share: float) -> DataFrame:
     """The tokens of candidate classes: ``host``, ``layout``, ``class`` and ``part``.
 
     A token's vector is summed up by its pages, its total and the sum of its page
@@ -408,7 +469,7 @@ def equivalence_classes(
     longest other texts must show as many contents as pages are asked for, and half the
     share of the contents that the layout shows.
     """
-    seen = occurrences(pages, url, source)
+    seen = occurrences(pages)
     for i in range(4):
         seen = seen.withColumn(f"bits{i}", sketch_bits(i))
     seen = seen.withColumn("low", F.col("page_hash").bitwiseAND(F.lit((1 << 24) - 1)))
@@ -487,34 +548,29 @@ def read_layouts(rows: list[dict]) -> tuple[dict[str, dict[int, tuple[int, int]]
     return known, sizes
 
 
-HOST = r"^\s*(?:[a-zA-Z][\w+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)"
-
-
 def with_host(pages: DataFrame, table: DataFrame, weight: Column, broadcast_bytes: int) -> DataFrame:
     """The pages with their host's row, sent to them if the rows have few bytes, else joined."""
     size = table.agg(F.sum(weight + F.length("host") + 64)).first()[0] or 0
-    host = F.lower(F.coalesce(F.regexp_extract("url", HOST, 1), F.lit("")))
-    return pages.withColumn("host", host).join(F.broadcast(table) if size <= broadcast_bytes else table, "host", "left")
+    return pages.join(F.broadcast(table) if size <= broadcast_bytes else table, "host", "left")
 
 
-def valid_tokens(pages: DataFrame, url: str, source: str, tokens: DataFrame, broadcast_bytes: int) -> DataFrame:
+def valid_tokens(pages: DataFrame, tokens: DataFrame, broadcast_bytes: int) -> DataFrame:
     """The tokens of classes, parts of classes, or single ones, that are valid on all pages."""
     shown = F.struct("layout", "number", "class", "part")
     by_host = stored(tokens.groupBy("host").agg(F.collect_list(shown).alias("tokens")), "classes")
-    slim = pages.select(col(url).cast("string").alias("url"), col(source).cast("string").alias("html"))
-    joined = with_host(slim, by_host, F.size("tokens") * 64, broadcast_bytes).where("tokens is not null")
+    joined = with_host(pages, by_host, F.size("tokens") * 64, broadcast_bytes).where("tokens is not null")
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         known: dict[str, tuple] = {}
         got: dict[tuple[str, str, int], tuple[int, int]] = {}
-        hosts, sources = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        for i, (host, content) in enumerate(zip(hosts, sources, strict=True)):
+        rows = zip(*(c.to_pylist() for c in batch.columns[:3]), strict=True)
+        for i, (host, own, data) in enumerate(rows):
             if host not in known:
-                known[host] = read_layouts(batch.column(2)[i].as_py())
-            page = parse(content)
+                known[host] = read_layouts(batch.column(3)[i].as_py())
+            page = Page.unpacked(data)
             tokens, sizes = known[host]
             made, of = {}, None
-            for layout in (layout_of(page), ALL):
+            for layout in (own, ALL):
                 if layout in tokens:
                     if of is None or tokens[layout] != tokens[of]:
                         made, of = units(page, tokens[layout], sizes[layout]), layout
@@ -528,23 +584,21 @@ def valid_tokens(pages: DataFrame, url: str, source: str, tokens: DataFrame, bro
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
 
     shape = "host string, layout string, unit long, least long, most long"
-    checked = joined.select("host", "html", "tokens").mapInArrow(by_batches(work, 128), shape)
+    checked = joined.select("host", "layout", "page", "tokens").mapInArrow(by_batches(work, 128), shape)
     checked = checked.groupBy("host", "layout", "unit").agg(F.min("least").alias("least"), F.max("most").alias("most"))
     valid = checked.where("least >= 0 and least = most").select("host", "layout", "unit")
     units_of = tokens.withColumn("unit", F.explode(F.array_distinct(F.array("class", "part", "number"))))
     return units_of.join(valid, ["host", "layout", "unit"], "left_semi").drop("unit").distinct()
 
 
-def templates(
-    pages: DataFrame, url: str, source: str, least_pages: int, least_share: float, broadcast_bytes: int
-) -> DataFrame:
+def templates(pages: DataFrame, least_pages: int, least_share: float, broadcast_bytes: int) -> DataFrame:
     """One row for each host: by layout the text tokens of its template, and the article's region.
 
     The region is the layout's mark if that has a fifth of the unlinked text outside
     side regions, else the deepest holding element of the template that has most of it.
     """
-    tokens = stored(equivalence_classes(pages, url, source, least_pages, least_share), "candidates")
-    nested = valid_tokens(pages, url, source, tokens, broadcast_bytes)
+    tokens = stored(equivalence_classes(pages, least_pages, least_share), "candidates")
+    nested = valid_tokens(pages, tokens, broadcast_bytes)
     mark = (F.concat(F.lit(MARKED), "path") == F.col("layout")) & (F.col("slot") * 5 >= F.col("all_slot"))
     holds = (F.col("slot") * 10 >= F.col("all_slot") * 7) & F.col("path").rlike(HOLDER.pattern)
     holds = (mark | holds) & (F.col("slot") > 0)
@@ -576,28 +630,25 @@ def main_text(
     tags. Repeated pages stay repeated, NULL keys stay NULL, an empty table gives an
     empty result, and other columns are not read, whatever their names.
     """
-    made = stored(templates(pages, url, source, least_pages, least_share, broadcast_bytes), "templates")
+    pages = parsed(pages, key, url, source)
+    made = stored(templates(pages, least_pages, least_share, broadcast_bytes), "templates")
     weight = F.aggregate(
         "layouts",
         F.lit(0).cast("long"),
         lambda a, t: a + F.size(t["texts"]) * 8 + F.length(t["layout"]) + F.length(F.coalesce(t["region"], F.lit(""))),
     )
-    slim = pages.select(
-        col(key).alias("key"), col(url).cast("string").alias("url"), col(source).cast("string").alias("html")
-    )
-    joined = with_host(slim, made, weight, broadcast_bytes)
+    joined = with_host(pages, made, weight, broadcast_bytes)
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         keep = {name: batch.column(name) for name in ("key", "url", "host")}
         known: dict[str, dict[str, tuple[set[int], str | None]]] = {}
         out = []
-        hosts, sources = batch.column("host").to_pylist(), batch.column("html").to_pylist()
-        for i, (name, content) in enumerate(zip(hosts, sources, strict=True)):
+        rows = zip(*(batch.column(c).to_pylist() for c in ("host", "layout", "page")), strict=True)
+        for i, (name, layout, data) in enumerate(rows):
             if name not in known:
-                rows = batch.column("layouts")[i].as_py() or ()
-                known[name] = {r["layout"]: (set(r["texts"]), r["region"]) for r in rows}
-            page, host = parse(content), known[name]
-            layout = layout_of(page)
+                own = batch.column("layouts")[i].as_py() or ()
+                known[name] = {r["layout"]: (set(r["texts"]), r["region"]) for r in own}
+            page, host = Page.unpacked(data), known[name]
             texts, region = host.get(layout, (set(), None))
             others, region_of_all = host.get(ALL, (set(), None))
             if region is None and not layout.startswith(MARKED):
@@ -607,7 +658,7 @@ def main_text(
         arrays = [keep["key"], keep["url"], pa.array(out, pa.string()), sizes, keep["host"]]
         return pa.RecordBatch.from_arrays(arrays, ["key", "url", "text", "n_chars", "host"])
 
-    kind = slim.schema["key"].dataType.simpleString()
+    kind = pages.schema["key"].dataType.simpleString()
     shape = f"key {kind}, url string, text string, n_chars long, host string"
-    got = joined.select("key", "url", "host", "html", "layouts").mapInArrow(by_batches(work, 128), shape)
+    got = joined.select("key", "url", "host", "layout", "page", "layouts").mapInArrow(by_batches(work, 128), shape)
     return got.select(F.col("key").alias(key), F.col("url").alias(url), "text", "n_chars", "host")
