@@ -36,6 +36,17 @@ def without(df: DataFrame, names: Iterable[str]) -> list[str]:
     return [name for name in df.columns if name.lower() not in taken]
 
 
+def row_identity(names: Iterable[str]) -> Column:
+    """128 bits of a row's columns as 32 hexadecimal digits; equal rows have equal ones.
+
+    Hashes pass over NULLs, so which columns are NULL is hashed as well.
+    """
+    columns = [col(name) for name in names]
+    nulls = F.concat(*[F.when(c.isNull(), "1").otherwise("0") for c in columns])
+    halves = [F.xxhash64(nulls, *columns), F.xxhash64(F.lit(1), nulls, *columns)]
+    return F.concat(*[F.lpad(F.hex(half), 16, "0") for half in halves])
+
+
 def placed(df: DataFrame, *by: Column) -> DataFrame:
     """Rows sorted by range, written once, with ``part`` and the place ``seq`` in it.
 

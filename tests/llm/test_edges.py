@@ -443,14 +443,54 @@ def test_audit_of_damaged_files(spark, tmp_path):
         assert sorted((r["key"], r["state"]) for r in found) == [(i, expected.get(i, "ok")) for i in range(30)]
 
 
-def test_cycle_deviates_by_less_than_one_block(spark):
-    counts = weight_mix.cycle_counts({"a": 5.0, "b": 3.0, "c": 1.0, "d": 0.0, "e": 1e-9}, cycle=50)
-    assert sum(counts.values()) == 50 and min(counts.values()) >= 1 and "d" not in counts
-    had, n = Counter(), sum(counts.values())
-    for t, row in enumerate(weight_mix.cycle_schedule(spark, counts).orderBy("cycle_slot").collect()):
-        assert row["turn"] == had[row["mix_source"]]
-        had[row["mix_source"]] += 1
-        assert all(abs(had[s] - c * (t + 1) / n) < 1 for s, c in counts.items())
+def plain_schedule(weights, slots):
+    """Earliest deadline first, one slot after the other, in whole numbers."""
+    total, had, out = sum(weights.values()), dict.fromkeys(weights, 0), []
+    for slot in range(slots):
+        released = [s for s in sorted(weights) if had[s] * total // weights[s] <= slot]
+        chosen = min(released, key=lambda s: (-(-(had[s] + 1) * total // weights[s]), s))
+        out.append((chosen, had[chosen]))
+        had[chosen] += 1
+    return out
+
+
+@pytest.mark.parametrize(
+    "weights",
+    [
+        {"a": 5, "b": 3, "c": 1},
+        {"hot": 24170} | {f"s{i}": 3990 + i % 3 for i in range(19)},
+        {"most": 1 << 29, "some": 1 << 20, "few": 1},
+        {"alone": 7},
+    ],
+)
+def test_schedule_is_earliest_deadline_first(spark, monkeypatch, weights):
+    """Against the plain schedule, and within a block of the exact share at every slot."""
+    monkeypatch.setattr(weight_mix, "RUN", 64)
+    monkeypatch.setattr(weight_mix, "RUNS", 8)
+    table = spark.createDataFrame(list(weights.items()), "name string, weight long")
+    slots = 1500
+    got = weight_mix.schedule(table, slots).orderBy("mix_slot").collect()
+    assert [r["mix_slot"] for r in got] == list(range(slots))
+    assert [(r["name"], r["mix_block"]) for r in got] == plain_schedule(weights, slots)
+    had, total = Counter(), sum(weights.values())
+    for t, row in enumerate(got, 1):
+        had[row["name"]] += 1
+        assert all(abs(had[s] * total - t * w) < total for s, w in weights.items())
+
+
+def test_mix_of_very_many_sources(spark):
+    docs = spark.range(2600).select("id", F.concat(F.lit("host"), F.col("id") % 1300).alias("source"))
+    weights = weight_mix.tempered_weights(docs, "source", 0.5)
+    got = weight_mix.mixed(docs, weights, block=1).collect()
+    assert sorted(r["id"] for r in got if r["mix_epoch"] == 0) == list(range(2600))
+    assert len({r["mix_source"] for r in got[:]}) == 1300
+
+
+def test_blocks_grow_with_the_corpus(spark, monkeypatch):
+    monkeypatch.setattr(weight_mix, "MOST_SLOTS", 50)
+    docs = spark.range(1000).select("id", F.lit("a").alias("source"))
+    got = weight_mix.mixed(docs, {"a": 1.0}, block=2)
+    assert got.agg(F.max("mix_slot")).first()[0] + 1 == 50 and got.count() == 1000
 
 
 def test_mix(odd_documents, no_documents):
