@@ -1,7 +1,10 @@
 """A corpus from raw documents to packed token sequences, stage by stage.
 
 Each stage takes the documents that its predecessor kept and is written as Parquet
-before the next one reads it.
+before the next one reads it. Rows may have NULLs in any column: a NULL or empty text
+fails the quality rules, and a document without an id, source or language is one like
+others. Equal rows are told apart by nothing and count as copies. Tables without rows
+give tables without rows, and columns that documents do not have are left out.
 """
 
 from __future__ import annotations
@@ -12,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder.llm import curve_pack, language_id, quality_forest, queries, simhash_links, weight_mix
-from larder.llm.common import stored
+from larder.llm.common import row_identity, stored
 from larder.sources.workspace import fresh_folder
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -20,13 +23,13 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 LEAST_SCORE = 0.5
 
 
-#: Numbers of rejected documents that are sent to every executor at most; 8 bytes each.
-SENT_KEYS = 2_000_000
+#: Numbers of rejected documents that are sent to every executor at most; 32 bytes each.
+SENT_KEYS = 500_000
 
 
 def numbered(docs: DataFrame) -> DataFrame:
-    """The documents with a number of their content; equal rows have equal numbers."""
-    return docs.withColumn("content", F.xxhash64(*COLUMNS))
+    """The documents with a number of 128 bits of their content; equal rows have equal numbers."""
+    return docs.select(*COLUMNS, row_identity(COLUMNS).alias("content"))
 
 
 def beside(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
@@ -78,17 +81,9 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Only numbers, sources and sizes are scheduled; texts join the schedule and are
     written in its order.
     """
-    rows = numbered(docs)
-    size = F.octet_length("text").cast("long").alias("n_bytes")
-    slim = stored(rows.select("content", "source", size), "slim")
-    weights = weight_mix.tempered_weights(slim, "source", queries.SOURCE_POWER)
-    plan = weight_mix.mixed(slim, weights, size=F.col("n_bytes"), block=queries.MIX_BLOCK)
-    plan = stored(plan.select("content", "mix_slot", "mix_place"), "plan")
-    if slim.groupBy("content").count().where("count > 1").limit(1).count():
-        rows = rows.dropDuplicates(["content"])  # the plan has every repeat
-    made = rows.join(plan, "content")
-    ordered = made.repartitionByRange("mix_slot", "mix_place").sortWithinPartitions("mix_slot", "mix_place")
-    return ordered.select(*COLUMNS)
+    weights = weight_mix.tempered_weights(docs, "source", queries.SOURCE_POWER)
+    size = F.octet_length("text")
+    return weight_mix.interleaved(docs.select(*COLUMNS), weights, size, block=queries.MIX_BLOCK).select(*COLUMNS)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
