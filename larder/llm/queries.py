@@ -138,7 +138,7 @@ def _leaves(name: str, html: str) -> str:
 )"""
 
 
-WORN = f"CASE WHEN page_id % {DAMAGED} = 3 THEN '#' || substr(html, 2) ELSE html END"
+WORN = f"CASE WHEN page_id % {DAMAGED} = 3 THEN '#' || substr(coalesce(html, ''), 2) ELSE html END"
 query(
     op6_warc_fixity,
     f"""

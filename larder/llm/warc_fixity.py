@@ -15,8 +15,10 @@ from __future__ import annotations
 import gzip
 import hashlib
 import re
+import zlib
 from collections import deque
 from collections.abc import Callable, Iterator
+from contextlib import suppress
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -203,6 +205,8 @@ def write_warc(
 
     A record ends with two line ends, which is the writer's line separator, so the
     files are plain WARC files with the offsets of ``leaves``; ``compression`` may be gzip.
+    NULL keys, URLs and payloads are empty in their records, repeated pages are records
+    of their own, and without pages there are no files.
     """
     table = records(pages, **names).withColumn("digest", F.sha2(F.col("record").cast("binary"), 256))
     order = [F.col("key").asc_nulls_first(), F.col("url"), F.col("digest")]
@@ -218,9 +222,12 @@ def write_warc(
 
 
 def write_records(table: DataFrame, folder: str, compression: str) -> None:
-    """Write ``record`` by ``archive`` and ``position``; an archive's records are in one partition."""
+    """Write ``record`` by ``archive`` and ``position``; an archive's records are in one partition.
+
+    Records may be text or any bytes: the writer gives bytes out as they are.
+    """
     spread = table.sortWithinPartitions("archive", "position")
-    spread.select("archive", F.col("record").alias("value")).write.partitionBy("archive").option(
+    spread.select("archive", F.col("record").cast("string").alias("value")).write.partitionBy("archive").option(
         "lineSep", GAP
     ).option("compression", compression).text(folder)
 
@@ -260,13 +267,58 @@ def warc_files(spark: SparkSession, folder: str) -> DataFrame:
     return files.select(F.regexp_extract("path", r"archive=(\d+)", 1).cast("long").alias("archive"), "content")
 
 
+MEMBER = b"\x1f\x8b\x08"
+
+
 def plain(data: bytes) -> bytes:
-    """A file's bytes without its gzip compression, if it has one."""
-    return gzip.decompress(data) if data.startswith(b"\x1f\x8b") else data
+    """A file's bytes without its gzip compression, if it has one.
+
+    Damaged streams give what can be read of them: all up to the damage, and what follows
+    from the next gzip member on. A member's bytes that cannot be read are left out, so
+    the records in them are lost and the ones behind them are not.
+    """
+    if not data.startswith(MEMBER[:2]):
+        return data
+    try:
+        return gzip.decompress(data)
+    except (zlib.error, EOFError, OSError):
+        return b"".join(readable(data))
+
+
+def readable(data: bytes) -> Iterator[bytes]:
+    """What can be read of gzip members one after the other, damaged ones among them."""
+    at = data.find(MEMBER)
+    while at >= 0:
+        stream, made, fed = zlib.decompressobj(31), [], at
+        try:
+            while fed < len(data) and not stream.eof:
+                before = stream.copy()
+                made.append(stream.decompress(data[fed : fed + 1024]))
+                fed = min(fed + 1024, len(data))
+        except zlib.error:
+            # The last kilobyte byte by byte, up to the one that does not fit.
+            with suppress(zlib.error):
+                for i in range(fed, min(fed + 1024, len(data))):
+                    made.append(before.decompress(data[i : i + 1]))
+            next_from = at + 1  # broken bytes may have led past members that are sound
+        else:
+            next_from = max(fed - len(stream.unused_data), at + 1) if stream.eof else len(data)
+        # What looks like a member's head by chance, within one, does not begin a record.
+        got = b"".join(made)
+        sound = got.startswith(b"WARC/") or at == 0
+        if sound:
+            yield got
+        at = data.find(MEMBER, next_from if sound else at + 1)
 
 
 def read_warc(spark: SparkSession, folder: str) -> DataFrame:
-    """The leaves of WARC files, from their bytes; see ``split_records`` for broken ones."""
+    """The leaves of WARC files, from their bytes.
+
+    Offsets are those of the records without compression. See ``split_records`` for broken
+    records and ``plain`` for damaged compression: neither ends the audit, and what is
+    not readable shows as lost records of its archive. A record without a readable id has
+    a NULL key, and an empty file has no leaves.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -291,7 +343,10 @@ def copy_warc(
     change: Callable[[int | None, bytes], bytes | None],
     compression: str = "none",
 ) -> None:
-    """Write a replica from the bytes of WARC files, each record changed, or left out if None."""
+    """Write a replica from the bytes of WARC files, each record changed, or left out if None.
+
+    Records need not be text. What cannot be read of a damaged file is not copied.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -303,11 +358,11 @@ def copy_warc(
                     {
                         "archive": pa.array([archive] * len(made), pa.int64()),
                         "position": pa.array(range(len(made)), pa.int64()),
-                        "record": pa.array(made, pa.binary()).cast(pa.string()),
+                        "record": pa.array(made, pa.binary()),
                     }
                 )
 
-    table = warc_files(spark, folder).mapInArrow(run, "archive long, position long, record string")
+    table = warc_files(spark, folder).mapInArrow(run, "archive long, position long, record binary")
     write_records(table, target, compression)
 
 
