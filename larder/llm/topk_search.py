@@ -2,19 +2,21 @@
 
 The upper levels of the data tree are a net of pivots, taken farthest first from a
 bounded sample, so that any prefix of the net is a cover tree level. Every row joins
-its nearest pivot's cell, and a cell's rows are dealt to blocks of bounded size, each
-with a cover tree of its own. Queries form blocks in the same way.
+its nearest pivot's cell, and each pivot belongs to the nearest of the first ones. The
+net grows with the root of the rows. A first pivot's rows are dealt to blocks of bounded
+size, each with a cover tree of its own. Queries form blocks in the same way.
 
 A pair of a query node and a data node is left out when no product between them can
 reach the worst kth score that the node's queries already have. For centres p, q and
 covering radii a, b a product is at most <p, q> + a |q| + b |p| + a b. First every
-query block meets its own cell, which gives it kth scores to start from; then it is
-sent to the cells that its bound leaves, and inside a pair of blocks both trees are
-descended together.
+query block meets its own first pivot's rows, which gives it kth scores to start from;
+then it gets, of the other ones, the rows of those cells that its bounds leave, and inside
+a pair of blocks both trees are descended together.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,6 +31,9 @@ from larder.llm.common import by_batches, col, stored
 BLOCK = 1024
 QUERY_BLOCK = 512
 LEAF = 64
+#: Pivots of the upper level, and of the whole net at most; a net's cells have a row each in
+#: what is sent to every task.
+COARSE, MOST_PIVOTS = 16, 1024
 #: Below any score, and still a number after its sign is turned.
 NOTHING = -(1 << 63) + 1
 #: Products are exact in doubles while their parts stay below this.
@@ -107,6 +112,8 @@ class TopK:
 
     def __init__(self, queries: int, k: int) -> None:
         self.k = k
+        #: Products that were computed.
+        self.visited = 0
         self.scores = np.full((queries, k), NOTHING)
         self.ids = np.full((queries, k), np.iinfo(np.int64).max)
 
@@ -128,6 +135,7 @@ def dual_search(queries: np.ndarray, own: np.ndarray, floors: np.ndarray, rows:
     best = TopK(len(queries), k)
     # Bounds are sums of doubles; the slack keeps rounding from cutting a tie.
     qtree, dtree = CoverTree(queries), CoverTree(rows)
+    norms = np.linalg.norm(queries.astype(np.float64), axis=1)
     todo = [(qtree.root, dtree.root)]
     while todo:
         q, d = todo.pop()
@@ -136,9 +144,17 @@ def dual_search(queries: np.ndarray, own: np.ndarray, floors: np.ndarray, rows:
         worst = np.maximum(floors[members], best.scores[members, -1]).min()
         if bound + 1 + abs(bound) * 1e-9 < worst:
             continue
+        if not q.children:
+            # Below a query leaf each query has a bound of its own, which is tighter.
+            own_bounds = qtree.points[q.first : q.last] @ d.centre + norms[members] * d.radius
+            reach = np.maximum(floors[members], best.scores[members, -1])
+            members = members[own_bounds + 1 + np.abs(own_bounds) * 1e-9 >= reach]
+            if not len(members):
+                continue
         if not q.children and not d.children:
             at = dtree.order[d.first : d.last]
             scores = products(queries[members], rows[at])
+            best.visited += scores.size
             itself = own[members][:, None] == ids[at][None, :]
             scores[itself] = NOTHING
             best.add(members, scores, ids[at])
@@ -150,6 +166,21 @@ def dual_search(queries: np.ndarray, own: np.ndarray, floors: np.ndarray, rows:
     return best
 
 
+def parents_of(net: np.ndarray, coarse: int = COARSE) -> np.ndarray:
+    """For each pivot the nearest of the first ones."""
+    gaps = np.stack([np.linalg.norm(net - pivot, axis=1) for pivot in net[:coarse]])
+    return gaps.argmin(0)
+
+
+def cells_left(queries: np.ndarray, floors: np.ndarray, net: np.ndarray, radii: np.ndarray) -> np.ndarray:
+    """By query and cell whether a row of the cell can reach the query's floor.
+
+    ``radii`` are the covering radii of the cells, below zero for cells without rows.
+    """
+    bounds = queries @ net.T + np.linalg.norm(queries, axis=1)[:, None] * np.maximum(radii, 0)
+    return (bounds + 1 + np.abs(bounds) * 1e-9 >= floors[:, None]) & (radii >= 0)
+
+
 def floored(vectors: pa.Array, factor: int) -> list[np.ndarray | None]:
     """floor(factor * x) of every component; nothing where one is NULL or not finite."""
     out: list[np.ndarray | None] = []
@@ -174,8 +205,8 @@ def top_k(
     factor: int = 256,
     key: str = "vec_id",
     vector: str = "embedding",
-    pivots: int = 16,
-    sample: int = 2048,
+    pivots: int | None = None,
+    sample: int = 4096,
 ) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id`` and ``score`` of the k best rows of each query.
 
@@ -184,8 +215,8 @@ def top_k(
     give fewer rows. The score is the integer inner product of the floored vectors, and
     equal scores go to the smaller key.
 
-    The net is fitted on ``sample`` rows, those with the smallest hashes; every row is
-    indexed. Rows with a NULL key, a NULL vector or a component that is NULL or not
+    The net has ``pivots``, or the root of the number of rows and MOST_PIVOTS at most. It is
+    fitted on ``sample`` rows, those with the smallest hashes; every row is indexed. Rows with a NULL key, a NULL vector or a component that is NULL or not
     finite (or beyond 62 bits) take no part. A repeated key is a row of its own as
     candidate, and one query, with its first vector, as query. An empty table gives an
     empty result; other columns are not read.
@@ -208,7 +239,10 @@ def top_k(
     slim = slim.where("id is not null")
     rows = stored(slim.mapInArrow(by_batches(ints, 4096), "id long, dim int, v binary"), "vectors")
 
+    if pivots is None:
+        pivots = min(MOST_PIVOTS, max(COARSE, math.isqrt(rows.count())))
     nets: dict[int, np.ndarray] = {}
+    parents: dict[int, np.ndarray] = {}
     drawn = rows.select("dim", "v", F.xxhash64("id", "v").alias("hash")).orderBy("hash", "v").limit(sample)
     held: dict[int, list[np.ndarray]] = {}
     for row in drawn.collect():
@@ -216,31 +250,33 @@ def top_k(
     for dim, points in held.items():
         net, _ = farthest_first(np.array(points).reshape(len(points), dim), pivots)
         nets[dim] = np.array(points).reshape(len(points), dim)[net]
-    sent = spark.sparkContext.broadcast(nets)
+        parents[dim] = parents_of(nets[dim])
+    sent = spark.sparkContext.broadcast((nets, parents))
 
     def cells(batch: pa.RecordBatch) -> pa.RecordBatch:
         dims = batch.column("dim").to_numpy()
         raw = batch.column("v").to_pylist()
-        cell, reach, norm = np.zeros(len(dims), np.int64), np.zeros(len(dims)), np.zeros(len(dims))
+        cell, reach, coarse = np.zeros(len(dims), np.int64), np.zeros(len(dims)), np.zeros(len(dims), np.int64)
         for dim in np.unique(dims):
             at = np.flatnonzero(dims == dim)
             points = np.frombuffer(b"".join(raw[i] for i in at), np.int64).reshape(len(at), dim)
             points = points.astype(np.float64)
-            norm[at] = np.linalg.norm(points, axis=1)
-            net = sent.value.get(int(dim), np.zeros((1, dim)))
+            net = sent.value[0].get(int(dim), np.zeros((1, dim)))
+            above = sent.value[1].get(int(dim), np.zeros(1, np.int64))
             squares = (points**2).sum(1)[:, None] + (net**2).sum(1) - 2 * points @ net.T
             cell[at] = squares.argmin(1)
             reach[at] = np.linalg.norm(points - net[cell[at]], axis=1)
+            coarse[at] = above[cell[at]]
         return pa.RecordBatch.from_arrays(
-            [*batch.columns, pa.array(cell), pa.array(reach), pa.array(norm)],
-            ["id", "dim", "v", "cell", "reach", "norm"],
+            [*batch.columns, pa.array(cell), pa.array(coarse), pa.array(reach)],
+            ["id", "dim", "v", "fine", "cell", "reach"],
         )
 
-    shape = "id long, dim int, v binary, cell long, reach double, norm double"
+    shape = "id long, dim int, v binary, fine long, cell long, reach double"
     rows = stored(rows.mapInArrow(by_batches(cells, 4096), shape), "cells")
     isquery = F.col("id") % every == 0
     counted = (
-        rows.groupBy("dim", "cell")
+        rows.groupBy("dim", "cell", "fine")
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.max("reach").alias("radius"),
@@ -249,10 +285,17 @@ def top_k(
         .collect()
     )
     # One entry for each cell of the net, so its size is bounded by the parameters.
-    info = {(r["dim"], r["cell"]): (r["n"], r["radius"], r["queries"]) for r in counted}
+    info: dict[tuple[int, int], list[int]] = {}
+    radii: dict[int, np.ndarray] = {}
+    for r in counted:
+        held_here = info.setdefault((r["dim"], r["cell"]), [0, 0])
+        held_here[0] += r["n"]
+        held_here[1] += r["queries"]
+        of_dim = radii.setdefault(r["dim"], np.full(max(len(nets.get(r["dim"], ())), 1), -1.0))
+        of_dim[r["fine"]] = r["radius"]
 
     blocks = spark.createDataFrame(
-        [(dim, cell, -(-n // BLOCK), max(1, -(-q // QUERY_BLOCK))) for (dim, cell), (n, _, q) in info.items()],
+        [(dim, cell, -(-n // BLOCK), max(1, -(-q // QUERY_BLOCK))) for (dim, cell), (n, q) in info.items()],
         "dim int, cell long, blocks long, qblocks long",
     )
     hashed = F.xxhash64("id", "v")
@@ -261,6 +304,7 @@ def top_k(
         "dim",
         "v",
         "cell",
+        "fine",
         F.pmod(hashed, F.col("blocks")).alias("block"),
         F.pmod(hashed, F.col("qblocks")).alias("qblock"),
         "blocks",
@@ -270,6 +314,7 @@ def top_k(
         "v",
         F.col("dim").alias("row_dim"),
         F.col("cell").alias("row_cell"),
+        F.col("fine").alias("row_fine"),
         F.col("block").alias("row_block"),
     )
     first = Window.partitionBy("id").orderBy("v")
@@ -297,20 +342,20 @@ def top_k(
         return pd.DataFrame({"query_id": owner[some], "vec_id": best.ids[some], "score": best.scores[some]})
 
     # The grid of pairs: rows go to the query blocks that need their cell, queries to
-    # the blocks of those cells, and a task holds one block of either.
-    def pairs(wanted: DataFrame) -> DataFrame:
-        """``wanted``: queries with ``to_cell`` and ``floor``."""
+    # the blocks of its first pivot, and a task holds one block of either.
+    def pairs(wanted: DataFrame, needed: str | None = None) -> DataFrame:
+        """``wanted``: queries with ``to_cell`` and ``floor``; ``needed`` has the cells below, else all are."""
         at = ["dim", "to_cell", "block", "cell", "qblock"]
         to = ["row_dim", "row_cell", "row_block", "for_cell", "for_qblock"]
         blocks_there = F.sequence(F.lit(0).cast("long"), F.col("to_blocks") - 1)
         left = wanted.withColumn("block", F.explode(blocks_there))
-        needs = wanted.groupBy(
-            F.col("dim").alias("row_dim"),
-            F.col("to_cell").alias("row_cell"),
-            F.col("cell").alias("for_cell"),
-            F.col("qblock").alias("for_qblock"),
-        ).agg(F.count(F.lit(1)).alias("n"))
-        right = data.join(needs, ["row_dim", "row_cell"])
+        names = {"dim": "row_dim", "to_cell": "row_cell", "cell": "for_cell", "qblock": "for_qblock"}
+        needs = wanted.select(
+            *[F.col(name).alias(new) for name, new in names.items()],
+            *([F.explode(needed).alias("row_fine")] if needed else []),
+        ).distinct()
+        right = data.join(needs, ["row_dim", "row_cell", *(["row_fine"] if needed else [])])
+        left = left.drop(needed) if needed else left
         return left.groupBy(*at).cogroup(right.groupBy(*to)).applyInPandas(search, result)
 
     def best_of(found: DataFrame) -> DataFrame:
@@ -323,33 +368,35 @@ def top_k(
     floors = home.where(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("floor"))
     asked = queries.join(floors, "id", "left").withColumn("floor", F.coalesce("floor", F.lit(NOTHING)))
 
-    sizes = {place: (-(-n // BLOCK), radius) for place, (n, radius, _) in info.items()}
+    sizes = {place: -(-n // BLOCK) for place, (n, _) in info.items()}
+    keys = ["id", "dim", "v", "cell", "qblock", "floor"]
 
     def targets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The cells, other than its own, that a query's bound leaves."""
-        nets = sent.value
+        """For each query the first pivots, other than its own, with the cells that its bound leaves."""
+        nets, parents = sent.value
         for batch in batches:
-            keys = ["id", "dim", "v", "cell", "qblock", "floor"]
-            out: list[list] = [[] for _ in range(len(keys) + 2)]
-            for row in batch.select(keys).to_pylist():
-                q = np.frombuffer(row["v"], np.int64).astype(np.float64)
-                size = float(np.linalg.norm(q))
-                net = nets.get(row["dim"], np.zeros((1, row["dim"])))
-                middle = net @ q
-                for cell in range(len(net)):
-                    there = sizes.get((row["dim"], cell))
-                    if there is None or cell == row["cell"]:
-                        continue
-                    bound = middle[cell] + there[1] * size
-                    if bound + 1 + abs(bound) * 1e-9 < row["floor"]:
-                        continue
-                    for column, value in zip(out, [*(row[n] for n in keys), cell, there[0]], strict=True):
-                        column.append(value)
-            types = [pa.int64(), pa.int32(), pa.binary(), *[pa.int64()] * 5]
+            table = batch.select(keys).to_pydict()
+            out: list[list] = [[] for _ in range(len(keys) + 3)]
+            dims = np.array(table["dim"])
+            for dim in np.unique(dims):
+                at = np.flatnonzero(dims == dim)
+                points = np.frombuffer(b"".join(table["v"][i] for i in at), np.int64).reshape(len(at), dim)
+                floors = np.array([table["floor"][i] for i in at], np.float64)
+                net = nets.get(int(dim), np.zeros((1, dim)))
+                above = parents.get(int(dim), np.zeros(1, np.int64))
+                left = cells_left(points.astype(np.float64), floors, net, radii[int(dim)])
+                for i, cells in zip(at.tolist(), left, strict=True):
+                    found = np.flatnonzero(cells)
+                    for cell in np.unique(above[found]).tolist():
+                        if cell != table["cell"][i]:
+                            made = [*(table[n][i] for n in keys), cell, sizes[int(dim), cell], found[above[found] == cell]]
+                            for column, value in zip(out, made, strict=True):
+                                column.append(value)
+            types = [pa.int64(), pa.int32(), pa.binary(), *[pa.int64()] * 5, pa.list_(pa.int64())]
             arrays = [pa.array(c, t) for c, t in zip(out, types, strict=True)]
-            yield pa.RecordBatch.from_arrays(arrays, [*keys, "to_cell", "to_blocks"])
+            yield pa.RecordBatch.from_arrays(arrays, [*keys, "to_cell", "to_blocks", "needed"])
 
-    shape = "id long, dim int, v binary, cell long, qblock long, floor long, to_cell long, to_blocks long"
+    shape = "id long, dim int, v binary, cell long, qblock long, floor long, to_cell long, to_blocks long, needed array<long>"
     away = stored(asked.mapInArrow(targets, shape), "targets")
-    found = home.select("query_id", "vec_id", "score").union(pairs(away))
+    found = home.select("query_id", "vec_id", "score").union(pairs(away, "needed"))
     return best_of(stored(found, "found")).select("query_id", F.col("rank").cast("int"), "vec_id", "score")

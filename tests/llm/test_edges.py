@@ -241,6 +241,7 @@ def test_dual_trees_are_exact_and_prune():
     rows = (middles[rng.integers(0, 12, 3000)] + rng.integers(-3, 4, (3000, 8))).astype(np.int64)
     queries, own = rows[:40], np.arange(40)
     best = topk_search.dual_search(queries, own, np.full(40, topk_search.NOTHING), rows, np.arange(3000), 5)
+    assert best.visited < 0.5 * 40 * 3000
     for i in range(40):
         scores = rows @ rows[i]
         scores[i] = topk_search.NOTHING
@@ -248,6 +249,44 @@ def test_dual_trees_are_exact_and_prune():
         assert best.ids[i].tolist() == order.tolist() and best.scores[i].tolist() == scores[order].tolist()
 
 
+def test_cells_that_cannot_reach_are_left_out():
+    rng = np.random.default_rng(5)
+    middles = rng.integers(-200, 200, (40, 8))
+    rows = (middles[rng.integers(0, 40, 4000)] + rng.integers(-3, 4, (4000, 8))).astype(np.float64)
+    net, _ = topk_search.farthest_first(rows[:1000], 64)
+    net = rows[net]
+    gaps = np.linalg.norm(rows[:, None] - net[None], axis=2)
+    cell, radii = gaps.argmin(1), np.full(len(net), -1.0)
+    np.maximum.at(radii, cell, gaps.min(1))
+    queries = rows[:50]
+    scores = queries @ rows.T
+    floors = np.sort(scores, axis=1)[:, -6]
+    left = topk_search.cells_left(queries, floors, net, radii)
+    for i in range(50):
+        assert left[i][cell[scores[i] >= floors[i]]].all()
+    assert left.mean() < 0.3
+    assert (topk_search.parents_of(net)[: topk_search.COARSE] == np.arange(topk_search.COARSE)).all()
+
+
+def test_clustered_vectors_are_found_whatever_the_net(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    middles = rng.normal(size=(30, 6))
+    rows = middles[rng.integers(0, 30, 3000)] + rng.normal(size=(3000, 6)) / 20
+    df = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(rows)], "vec_id long, embedding array<double>")
+    monkeypatch.setattr(topk_search, "BLOCK", 64)
+    ints = np.floor(rows * 256).astype(np.int64)
+    for pivots in (None, 1, 200):
+        got = {}
+        for r in topk_search.top_k(df, k=4, every=100, pivots=pivots).collect():
+            got.setdefault(r["query_id"], {})[r["rank"]] = (r["vec_id"], r["score"])
+        assert sorted(got) == list(range(0, 3000, 100))
+        for q, found in got.items():
+            scores = ints @ ints[q]
+            scores[q] = topk_search.NOTHING
+            order = np.lexsort((np.arange(3000), -scores))[:4]
+            assert found == {n + 1: (int(i), int(scores[i])) for n, i in enumerate(order)}
+
+
 PAGES = [
     (1, "http://h.example/a", "<body><nav>Menu</nav><article><header><h1>T &amp; U</h1></header><p>one\n two<p>three</article>"),
     (2, "http://H.example/b", "<p>no article <b>bold</b><script>if (a < b) {}</script><p>second"),
