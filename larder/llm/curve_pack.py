@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from larder.llm.common import by_batches, col, part_starts, placed, stored
 from larder.llm.token_store import encoded, width_of
+from larder.llm.tokens import CACHED_PIECES
 
 LENGTH = 2048
 DIMENSIONS = 4
@@ -79,6 +80,7 @@ def packed(
     length: int = LENGTH,
     seed: int = 5,
     with_ids: bool = True,
+    cached: int = CACHED_PIECES,
 ) -> DataFrame:
     """One row for each piece of a document in a sequence, with the piece's ids.
 
@@ -89,7 +91,8 @@ def packed(
 
     A NULL or empty text has the end id alone and lies at the origin of the space.
     Copies share a key of the curve and lie side by side; ties are ordered by document
-    key and then by row. Repeated rows and NULL keys are documents of their own. An
+    key and then by row. ``cached`` is how many different pieces of text a worker remembers.
+    Repeated rows and NULL keys are documents of their own. An
     empty table gives an empty result, and other columns are not read.
     """
     width = width_of(path)
@@ -100,7 +103,7 @@ def packed(
 
         size = Tokenizer.from_file(path).get_vocab_size(with_added_tokens=True)
         points = token_points(max(size, end + 1), seed)
-        for keys, arrays in encoded(batches, path, end, blank_joins=True):
+        for keys, arrays in encoded(batches, path, end, blank_joins=True, cached=cached):
             counts = np.array([len(a) for a in arrays], np.int64)
             starts = np.cumsum(counts) - counts
             sums = np.add.reduceat(points[np.concatenate(arrays)], starts, axis=0)

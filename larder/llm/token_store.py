@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder.llm.common import col, part_starts
-from larder.llm.tokens import chunks, encoder
+from larder.llm.tokens import CACHED_PIECES, chunks, encoder
 
 BLOCK_BYTES = 1 << 20
 #: Ids hardly compress further at higher levels: level 3 saves a twentieth and takes 1.6 times as long.
@@ -37,10 +37,10 @@ BLOCKS = (
 
 
 def encoded(
-    batches: Iterator[pa.RecordBatch], path: str, end: int, blank_joins: bool = False
+    batches: Iterator[pa.RecordBatch], path: str, end: int, blank_joins: bool = False, cached: int = CACHED_PIECES
 ) -> Iterator[tuple[list, list[np.ndarray]]]:
     """Keys and id arrays, the end id last, of Arrow batches of key and text."""
-    coder = encoder(path, blank_joins)
+    coder = encoder(path, blank_joins, cached)
     for batch in batches:
         for start in range(0, batch.num_rows, 512):
             piece = batch.slice(start, 512)

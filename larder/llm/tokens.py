@@ -208,14 +208,14 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(total) + np.repeat(starts - before, lengths)
 
 
-_ENCODERS: dict[tuple[str, bool], TextEncoder] = {}
+_ENCODERS: dict[tuple[str, bool, int], TextEncoder] = {}
 
 
-def encoder(path: str, blank_joins: bool) -> TextEncoder:
+def encoder(path: str, blank_joins: bool, cached: int = CACHED_PIECES) -> TextEncoder:
     """The worker's encoder of a file; a worker keeps it from task to task."""
-    key = (path, blank_joins)
+    key = (path, blank_joins, cached)
     if key not in _ENCODERS:
-        _ENCODERS[key] = TextEncoder(path, blank_joins)
+        _ENCODERS[key] = TextEncoder(path, blank_joins, cached)
     return _ENCODERS[key]
 
 
