@@ -27,6 +27,21 @@ LEAST_SCORE = 0.5
 SENT_KEYS = 500_000
 
 
+#: Rows that a Python worker gets at once. Documents are long, and the batches of a session's
+#: default would take tens of megabytes on both sides of each worker's socket.
+BATCH_ROWS = 500
+
+
+#: Pieces of text that a worker's encoder remembers here: by this stage an executor has grown to
+#: what the stages before it took, so the encoder gets a quarter of its usual memory.
+CACHED_PIECES = 200_000
+
+
+def short_batches(spark: SparkSession) -> None:
+    """From here on this session hands Python workers few rows at a time."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
 def numbered(docs: DataFrame) -> DataFrame:
     """The documents with a number of 128 bits of their content; equal rows have equal numbers."""
     return docs.select(*COLUMNS, row_identity(COLUMNS).alias("content"))
@@ -45,6 +60,7 @@ def beside(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that break a quality limit or that the isolation forest sets apart go."""
+    short_batches(spark)
     rows = numbered(docs)
     labels = queries.table(spark, sf_dir, "labels")
     labels = rows.select("doc_id", "content").join(labels, "doc_id").select("content", "quality")
@@ -54,6 +70,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a recognised language go."""
+    short_batches(spark)
     rows = numbered(docs)
     found = language_id.identify(rows, ~queries.held_out(), key="content")
     unsure = (F.col("lang_pred") == language_id.UNKNOWN) | (F.col("score") < LEAST_SCORE)
@@ -65,6 +82,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     A number that occurs several times is that of equal rows, of which one stays.
     """
+    short_batches(spark)
     rows = numbered(docs)
     found = stored(simhash_links.near_duplicates(rows, key="content", words=3, bits=2), "links")
     first = F.col("content") == F.col("component_id")
@@ -88,8 +106,10 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all token sequences with their ids; the checksum is that of the ids given out."""
+    short_batches(spark)
     path = queries.tokenizer_path("byte_bpe_50k.json")
-    return curve_pack.packed(docs, path).withColumn("ids_crc32", F.crc32("ids"))
+    made = curve_pack.packed(docs, path, cached=CACHED_PIECES)
+    return made.withColumn("ids_crc32", F.crc32("ids"))
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
