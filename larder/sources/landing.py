@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Sequence
+from contextlib import nullcontext
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,7 @@ from larder.functions import duration_minutes
 from larder.operators.quarantine import tag_reason
 from larder.sources import store
 from larder.sources.files import read_files, read_json_lines
+from larder.sources.settings import small_slices
 
 STATUS_OK = "ok"
 STATUS_QUARANTINED = "quarantined"
@@ -27,7 +29,8 @@ def rebalanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     Without an exchange every task would write one small file per partition
     value it sees. The rebalance hint gathers a value's rows, and adaptive
     execution splits a value that holds far more rows than others over several
-    tasks, so a hot day neither drowns one writer nor one file.
+    tasks, so a hot day neither drowns one writer nor one file. Write the result, or
+    start its stream, within ``small_slices``.
     """
     return df.hint("rebalance", *[F.col(name) for name in partition_by])
 
@@ -42,12 +45,13 @@ def land_by_partition(
     """
     if rebalance:
         df = rebalanced(df, partition_by)
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by)
-        .parquet(path)
-    )
+    with small_slices(df.sparkSession) if rebalance else nullcontext():
+        (
+            df.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*partition_by)
+            .parquet(path)
+        )
 
 
 def read_landed(
@@ -121,7 +125,8 @@ def write_arrivals(df: DataFrame, root: str, day_column: str, file_format: str =
     spark = df.sparkSession
     beside = f"{root}/_arriving-{uuid.uuid4().hex}"
     marked = rebalanced(df.where(F.col(day_column).isNotNull()), [day_column])
-    marked.write.partitionBy(day_column).format(file_format).save(beside)
+    with small_slices(spark):
+        marked.write.partitionBy(day_column).format(file_format).save(beside)
     prefix = f"{day_column}="
     for name in store.names(spark, beside):
         if name.startswith(prefix):

@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 
 from larder.sources import store
 from larder.sources.landing import rebalanced
+from larder.sources.settings import small_slices
 
 PART = "part"
 
@@ -82,7 +83,8 @@ def write_parts(df: DataFrame, root: str, label: str, part: Column) -> dict[str,
     if PART in (name.lower() for name in df.columns):
         raise ValueError(f"rename the column {PART!r} first")
     marked = df.withColumn(PART, part.cast("string"))
-    rebalanced(marked, [PART]).write.partitionBy(PART).parquet(f"{root}/{folder}")
+    with small_slices(df.sparkSession):
+        rebalanced(marked, [PART]).write.partitionBy(PART).parquet(f"{root}/{folder}")
     made = [name for name in store.names(df.sparkSession, f"{root}/{folder}") if name.startswith(f"{PART}=")]
     return {name.removeprefix(f"{PART}="): f"{folder}/{name}" for name in made}
 

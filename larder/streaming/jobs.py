@@ -9,8 +9,8 @@ reachable by every executor.
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Callable, Sequence
+from contextlib import AbstractContextManager, nullcontext
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,6 +23,7 @@ from larder.schemas import CORRUPT_COLUMN, RECIPE_AGGREGATE, with_corrupt_column
 from larder.sources import store
 from larder.sources.landing import EXECUTION_DAY, rebalanced
 from larder.sources.layer import add_batch
+from larder.sources.settings import setting, small_slices
 
 
 def stream_files(
@@ -49,19 +50,9 @@ def stream_files(
     return reader.load(path)
 
 
-@contextmanager
-def _shuffle_partitions(spark: SparkSession, number: int) -> Iterator[None]:
-    """Another number of shuffle partitions for a query started in the block.
-
-    A streaming query copies the settings when it starts, so the session gets
-    its own number back at once.
-    """
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", number)
-    try:
-        yield
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+def _shuffle_partitions(spark: SparkSession, number: int) -> AbstractContextManager[None]:
+    """Another number of shuffle partitions for a query started in the block."""
+    return setting(spark, "spark.sql.shuffle.partitions", number)
 
 
 def _start(writer: DataStreamWriter, checkpoint: str, interval: str | None) -> StreamingQuery:
@@ -91,7 +82,9 @@ def stream_to_partitions(
         stream = rebalanced(stream, partition_by)
     writer = stream.writeStream.format("parquet").outputMode("append")
     writer = writer.partitionBy(*partition_by).option("path", path)
-    return _finished(_start(writer, checkpoint, interval), interval)
+    with small_slices(stream.sparkSession) if rebalance else nullcontext():
+        query = _start(writer, checkpoint, interval)
+    return _finished(query, interval)
 
 
 def stream_to_layer(
